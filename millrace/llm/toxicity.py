@@ -1,7 +1,8 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton over folded text.
 
-Folding: NFKD without marks, lower case, homoglyphs and digit substitutions as Latin letters (digits only inside words that
-hold letters), and one blank between words. The lexicon is learned from labelled rows: whole words, and stems (the
+Folding: NFKC, lower case, homoglyphs and digit substitutions as Latin letters (digits only inside words that
+hold letters), and one blank between words. Accents tell words of other languages apart and stay; whole words are also looked
+up without them. The lexicon is learned from labelled rows: whole words, and stems (the
 first 3 to 6 letters of words), weighted by the log odds of their document frequencies in toxic and clean rows. A neighbour
 that takes a lexicon word into clean rows makes an exception phrase, as do the phrases given; an exception phrase takes
 back the weight of the words inside it. The weights found are summed and divided by a slowly growing function of
@@ -55,7 +56,8 @@ def fold(text: str) -> list[str]:
     text = text.lower()
     plain = text.isascii()
     if not plain:
-        text = _MARKS.sub("", unicodedata.normalize("NFKD", text))
+        if not unicodedata.is_normalized("NFKC", text):
+            text = unicodedata.normalize("NFKC", text)
         if _FOREIGN.search(text):
             text = text.translate(_GLYPHS)
     if _SIGNED.search(text):
@@ -110,10 +112,10 @@ class Lexicon:
 
     def __init__(self, weights: dict[str, float], exceptions: tuple[str, ...] = EXCEPTIONS):
         self.weights, self.exceptions = weights, tuple(" ".join(fold(x)) for x in exceptions)
-        self._machine = None
+        self._machine = self._words = None
 
     def __getstate__(self):
-        return {"weights": self.weights, "exceptions": self.exceptions, "_machine": None}
+        return {"weights": self.weights, "exceptions": self.exceptions, "_machine": None, "_words": None}
 
     def _built(self):
         import ahocorasick
@@ -127,6 +129,11 @@ class Lexicon:
             self._machine.make_automaton()
         return self._machine
 
+    def _single(self) -> frozenset[str]:
+        if self._words is None:
+            self._words = frozenset(t.strip() for t in self.weights if t.endswith(" "))
+        return self._words
+
     def evidence(self, text: str | None) -> tuple[float, int]:
         words = fold(text or "")
         line = f" {' '.join(words)} "
@@ -139,6 +146,9 @@ class Lexicon:
                 else:
                     best[end - n + 1] = max(w, best.get(end - n + 1, 0.0))
         total = sum(w for at, w in best.items() if not any(a <= at < b for a, b in spared))
+        if self.weights and not line.isascii():
+            bare = set(_MARKS.sub("", unicodedata.normalize("NFD", line)).split()) - set(words)
+            total += sum(self.weights[f" {w} "] for w in bare & self._single())
         return total, len(words)
 
     def score(self, text: str | None) -> float:
