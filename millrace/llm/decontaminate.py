@@ -170,5 +170,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     even = F.expr("aggregate(transform(spans, (x, i) -> IF(i % 2 = 1, x, -x)), 0L, (a, x) -> a + x)")
     return hits(docs, items, id_col, text_col, **how).select(
         F.col("_id").alias(id_col), "n_words", even.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (even > 0).alias("contaminated"), "spans",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (even > 0).alias("contaminated"),
     )
