@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, toxicity, urls, warc
+from . import chat, decontaminate, jaccard, secrets, sketches, tokens, toxicity, urls, warc
 from .shared import table
 
 #: Conversation -1, whose texts are control strings.
@@ -34,18 +34,31 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, lexicon).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.compare(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_url_filter, op3_chat_format, op4_warc, op6_ngram_jaccard, op8_toxicity)
+    f.__name__: f
+    for f in (op1_decontaminate, op2_url_filter, op3_chat_format, op4_warc, op5_token_files, op6_ngram_jaccard, op7_secret_scan, op8_toxicity, op9_fingerprints)
 }
 
 _OP1 = r"""

@@ -10,7 +10,8 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,3 +43,17 @@ def width(spark: SparkSession) -> int:
 def filled(column: pa.Array) -> pa.Array:
     """The text column with nulls as empty texts, with 32-bit or 64-bit offsets as it came."""
     return column.fill_null("") if column.null_count else column
+
+
+def range_of(rows: DataFrame, id_col: str, ranges: int) -> Column:
+    """The range, by approximate quantiles, that an integer id lies in: a balanced tree of comparisons. Null ids are in the first one."""
+    known = rows.where(F.col(id_col).isNotNull())
+    bounds = sorted({int(x) for x in known.approxQuantile(id_col, [k / ranges for k in range(1, ranges)], 0.25 / ranges)}) if ranges > 1 else []
+
+    def tree(lo: int, hi: int) -> str:
+        if lo == hi:
+            return str(lo)
+        mid = (lo + hi) // 2
+        return f"IF(`{id_col}` < {bounds[mid]}L, {tree(lo, mid)}, {tree(mid + 1, hi)})"
+
+    return F.when(F.col(id_col).isNull(), F.lit(0)).otherwise(F.expr(tree(0, len(bounds))))
