@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, secrets, sketches, tokens, toxicity, urls, warc
+from . import bpe, chat, decontaminate, jaccard, secrets, sketches, tokens, toxicity, urls, warc
 from .shared import table
 
 #: Conversation -1, whose texts are control strings.
@@ -56,9 +56,13 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.compare(table(spark, sf_dir, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_url_filter, op3_chat_format, op4_warc, op5_token_files, op6_ngram_jaccard, op7_secret_scan, op8_toxicity, op9_fingerprints)
+    for f in (op1_decontaminate, op2_url_filter, op3_chat_format, op4_warc, op5_token_files, op6_ngram_jaccard, op7_secret_scan, op8_toxicity, op9_fingerprints, op10_byte_bpe)
 }
 
 _OP1 = r"""
