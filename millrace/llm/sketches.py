@@ -127,7 +127,7 @@ def likeness(a: np.ndarray, pa_: np.ndarray, b: np.ndarray, pb: np.ndarray, cell
         only_a, only_b, ended = peel(one[0] - two[0], one[1] ^ two[1], one[2] ^ two[2])
         shared = na[todo] - only_a
         ended &= shared == nb[todo] - only_b
-        out[todo[ended]] = (shared / (na[todo] + nb[todo] - shared))[ended]
+        out[todo[ended]] = shared[ended] / (na[todo] + nb[todo] - shared)[ended]
         todo = todo[~ended]
         cells *= 2
     return out
