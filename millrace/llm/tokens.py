@@ -234,7 +234,7 @@ def write(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_
     """Token files below the folder: (bucket, path, n_tokens), a row per range of document ids, in their order."""
     ranges = ranges or 2 * width(docs.sparkSession)
     rows = encoded(docs.select(F.col(id_col).cast("long").alias(id_col), text_col), path, id_col, text_col)
-    dealt = rows.withColumn("bucket", range_of(docs.select(F.col(id_col).cast("long").alias("i")), "i", ranges)).repartition(ranges, "bucket").sortWithinPartitions("bucket", "i", "ids")
+    dealt = rows.withColumn("bucket", range_of(docs.select(F.col(id_col).cast("long").alias("i")), "i", ranges)).repartitionById(ranges, F.col("bucket")).sortWithinPartitions("bucket", "i", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = encoder(path).tokenizer.get_vocab_size()
