@@ -94,4 +94,40 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CA
   CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to FROM q
 """
 
-ORACLE: dict[str, str] = {"op1_decontaminate": _OP1, "op3_chat_format": _OP3, "op4_warc": _OP4}
+_OP6 = r"""
+WITH RECURSIVE words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM words),
+grams AS (SELECT doc_id, hash(unnest(g)) AS t FROM sets),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM grams a JOIN grams b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+link AS (SELECT x, y FROM common JOIN sets p ON p.doc_id = x JOIN sets q ON q.doc_id = y WHERE 100 * n >= 80 * (len(p.g) + len(q.g) - n)),
+ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(v, u) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.v, ways.y FROM reach JOIN ways ON ways.x = reach.u),
+lowest AS (SELECT v, min(u) AS component_id FROM reach GROUP BY v)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id FROM sets JOIN lowest ON v = doc_id
+"""
+
+
+def _op7() -> str:
+    kinds = [*secrets.KINDS, *secrets.EXTRA]
+    quoted = [(k, p.replace("'", "''"), g, n) for k, p, g, n in kinds]
+    parts = "\nUNION ALL ".join(
+        f"SELECT doc_id, source, {number} AS number, '{kind}' AS kind, {least} AS least, unnest(regexp_split_to_array(text, '{p}')[1:len(regexp_extract_all(text, '{p}'))]) AS gap, unnest(regexp_extract_all(text, '{p}')) AS whole, unnest(regexp_extract_all(text, '{p}', {g})) AS secret, unnest(range(len(regexp_extract_all(text, '{p}')))) AS i FROM t"
+        for number, (kind, p, g, least) in enumerate(quoted)
+    )
+    base = len(secrets.KINDS)
+    spelled = "string_agg(kind || ':' || CAST(z - length(whole) AS VARCHAR) || ':' || CAST(z AS VARCHAR), ',' ORDER BY z - length(whole), number)"
+    return f"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+m AS ({parts}),
+placed AS (SELECT *, CAST(sum(length(gap) + length(whole)) OVER (PARTITION BY doc_id, number ORDER BY i) AS BIGINT) AS z FROM m),
+kept AS (SELECT * FROM placed WHERE length(secret) >= least),
+held AS (SELECT secret, count(DISTINCT doc_id) AS repositories, count(DISTINCT source) AS owners FROM kept GROUP BY secret),
+judged AS (SELECT kept.*, owners >= {secrets.OWNERS} AND repositories >= {secrets.REPOSITORIES} AS wide FROM kept JOIN held USING (secret)),
+per AS (SELECT doc_id, {", ".join(f"count(*) FILTER (WHERE kind = '{k[0]}') AS n_{k[0]}" for k in secrets.KINDS)}, {spelled} FILTER (WHERE number < {base}) AS base, {spelled} FILTER (WHERE number < {base} OR NOT wide) AS spans,
+  count(*) FILTER (WHERE NOT wide) AS n_live, count(*) FILTER (WHERE wide) AS n_example FROM judged GROUP BY doc_id)
+SELECT t.doc_id, {", ".join(f"coalesce(n_{k[0]}, 0) AS n_{k[0]}" for k in secrets.KINDS)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM t LEFT JOIN per USING (doc_id)
+"""
+
+
+ORACLE: dict[str, str] = {"op1_decontaminate": _OP1, "op3_chat_format": _OP3, "op4_warc": _OP4, "op6_ngram_jaccard": _OP6, "op7_secret_scan": _op7()}
