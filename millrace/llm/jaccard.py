@@ -5,15 +5,17 @@ class. A class's sketch is a sparse bit vector: each n-gram flips one bit, so tw
 the sets differ in elements. Sets with Jaccard similarity of at least t differ in at most T = (1-t)/(1+t) * (|A|+|B|) elements.
 
 Size bands grow by BAND; a pair belongs to the band of its larger set, so a class joins in its own band and, if a partner may be
-that large, in the next. In a band with threshold T the sketch is cut into K = T+1+E blocks. A linked pair agrees in E+1
-blocks at least, so each class may leave out its E worst blocks by any order that depends on a block's content alone: the best
-agreeing block is then kept on both sides. Worst are blocks whose n-grams are all frequent in the corpus. A block is joined by
-a 64-bit code of its bits (the XOR of a code for each set bit).
+that large, in the next. In a band with threshold T the sketch is cut into K = T+1+E blocks; a linked pair agrees in E+1 blocks at
+least. A block is joined by a 64-bit code of its bits (the XOR of a code for each set bit). Codes are dealt out packed, by range.
 
-Codes are dealt out packed, by range, and sorted there. A bucket (classes that share a block) isn't expanded to pairs: all members are
-verified on their texts against the least one; what fails there is compared within the bucket only as far as the triangle
-inequality of Jaccard distances leaves it possible, and only between different components. Links, components and sets stay on
-the executors; what is broadcast is the table of n-gram frequencies, of fixed size.
+1. Every class's codes are met with all others'. A class with fewer than E+1 blocks that any other class has is linked with none and leaves.
+2. The classes left are joined again. A bucket (classes that share a block) isn't expanded to pairs: its members are paired with one pivot,
+   the one with the fewest rare n-grams, which in a family of edited copies is near the original. Pairs that agree in E+1 blocks are verified
+   on their texts.
+3. Two members of a bucket that aren't both linked with its pivot may still be linked. Such pairs are kept only where they lie in different components
+   and their dense parity sketches' Hamming distance leaves a link possible, and are verified too.
+
+Links, components and sets stay on the executors; what is broadcast is the table of n-gram frequencies, of fixed size, and tables of checked size.
 
 Defined results: a null or empty text has no n-grams, is linked with nothing and is its own component; repeated rows each
 get a row and link with each other by their text; rows with a null id get a row and make no links of their own; other columns aren't read.
@@ -35,6 +37,8 @@ from .words import SPACED, buffers, grams, mix, slices, word_hashes
 SHINGLE, PERCENT, BAND = 5, 80, 1.6
 #: Counters of n-gram frequencies, and in how many parts they travel.
 COUNTERS, PARTS = 1 << 20, 16
+#: Text whose codes are packed together, and packs a task sorts one by one.
+PACK_BYTES, BINS = 4 << 20, 4
 #: Members verified against one text by one task at most.
 FAN = 1024
 #: Ids in a broadcast semi-join; more are joined by a shuffle.
@@ -84,25 +88,32 @@ def band_table(percent: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(starts), (2 * top * (100 - percent)) // (100 + percent)
 
 
-def sketch_keys(tok: np.ndarray, ptr: np.ndarray, freq: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of every block that a class joins on."""
+def spare(differ: np.ndarray) -> np.ndarray:
+    """E of each band: how many blocks more than T + 1 there are."""
+    return (differ + 1) // 2
+
+
+def sketch_keys(tok: np.ndarray, ptr: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, band, least, key) of every block of every class, in its own band and where needed in the next.
+
+    Blocks without bits would meet in all classes, so a class leaves them out: of E+1 blocks that it shares with a linked one, as many as it has
+    empty ones may be missing, and at least ``least`` are met. A class with more than E empty blocks keeps them.
+    """
     n = np.diff(ptr)
     starts, differ = band_table(percent, int(n.max(initial=1)) * 100 // percent + 1)
     own = np.searchsorted(starts, n, "right") - 1
     reach = np.searchsorted(starts, n * 100 // percent, "right") - 1
-    rows, keys = [], []
-    low = freq[(tok >> np.uint64(44)).astype(np.int64)]
+    rows, bands, leasts, keys = [], [], [], []
     for step in (0, 1):
         use = (n > 0) & (own + step <= reach)
         if not use.any():
             continue
         row = np.repeat(np.flatnonzero(use), n[use])
-        at = np.flatnonzero(np.repeat(use, n))
+        x = tok[np.repeat(use, n)]
         band = own + step
         t = differ[np.maximum(band, 0)]
-        blocks = np.where(use, t + 1 + (t + 1) // 2, 0)
+        blocks = np.where(use, t + 1 + spare(t), 0)
         base = np.concatenate([[0], np.cumsum(blocks)])
-        x = tok[at]
         deal = mix(x + np.uint64(0x51ED270B) * (band[row] + 1).astype(np.uint64))
         block = base[row] + (((deal >> np.uint64(32)) * blocks[row].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(block, kind="stable")
@@ -110,18 +121,30 @@ def sketch_keys(tok: np.ndarray, ptr: np.ndarray, freq: np.ndarray, percent: int
         first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
         code = np.zeros(base[-1], np.uint64)
         code[block[first]] = np.bitwise_xor.reduceat(deal[order], first)
-        worst = np.full(base[-1], 255, np.uint64)
-        worst[block[first]] = np.minimum.reduceat(low[at][order], first)
         of = np.repeat(np.arange(len(n)), blocks)
         number = np.arange(base[-1]) - base[of]
-        key = mix(code + mix((number * 64 + band[of]).astype(np.uint64)))
-        # the best T + 1 blocks of each class: least frequency first, then by the code
-        rank = (worst << np.uint64(56)) | (key >> np.uint64(8))
-        best = np.lexsort((rank, of))
-        keep = best[(np.arange(base[-1]) - base[of]) <= t[of]]
-        rows.append(of[keep])
-        keys.append(key[keep])
-    return (np.concatenate(rows), np.concatenate(keys)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        empty = np.ones(base[-1], bool)
+        empty[block[first]] = False
+        gone = np.bincount(of[empty], minlength=len(n))
+        keep = ~empty | (gone > spare(t))[of]
+        of, number = of[keep], number[keep]
+        rows.append(of)
+        bands.append(band[of])
+        leasts.append(np.maximum(1, spare(t) + 1 - gone)[of])
+        keys.append(mix(code[keep] + mix((number * 64 + band[of]).astype(np.uint64))))
+    if not rows:
+        return *[np.zeros(0, np.int64)] * 3, np.zeros(0, np.uint64)
+    return np.concatenate(rows), np.concatenate(bands), np.concatenate(leasts), np.concatenate(keys)
+
+
+def dense_sketch(tok: np.ndarray, ptr: np.ndarray) -> list[bytes]:
+    """Each set's parity sketch, of a width by its size: 1,024 bits, 8,192 or 65,536."""
+    out = []
+    for a, b in zip(ptr[:-1].tolist(), ptr[1:].tolist(), strict=True):
+        width_ = 1024 if b - a <= 1500 else 8192 if b - a <= 12_000 else 65_536
+        odd = np.bincount((mix(tok[a:b]) % np.uint64(width_)).astype(np.int64), minlength=width_) & 1
+        out.append(np.packbits(odd.astype(np.uint8)).tobytes())
+    return out
 
 
 def _profile(docs: DataFrame, n: int) -> DataFrame:
@@ -169,15 +192,18 @@ def _frequencies(parts: DataFrame) -> np.ndarray:
 
 
 def _keys(docs: DataFrame, freq: np.ndarray, n: int, percent: int, ranges: int) -> DataFrame:
-    """Join codes, packed by range: for each class of a batch its digest, size, and number of codes, then the codes."""
+    """Join codes, packed by range: for each class of a batch its digest, size, rareness, band and number of codes, then the codes."""
     sent = docs.sparkSession.sparkContext.broadcast(freq.astype(np.uint8).tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(sent.value, np.uint8).astype(np.uint64)
+        table = np.frombuffer(sent.value, np.uint8)
+        rare = int(table.min())
         seen: np.ndarray = np.zeros(0, np.int64)
-        for b in batches:
-            raw, at = buffers(b.column("t"))
-            ids, sizes, rows, keys, base = [], [], [], [], 0
+
+        def packed(raw: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+            nonlocal seen
+            parts: list[list[np.ndarray]] = [[] for _ in range(7)]
+            base = 0
             for lo, hi in slices(at):
                 tok, ptr = shingles(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], n)
                 sid = _identity(tok, ptr)[0]
@@ -185,92 +211,129 @@ def _keys(docs: DataFrame, freq: np.ndarray, n: int, percent: int, ranges: int)
                 new = np.zeros(len(sid), bool)
                 new[np.unique(sid, return_index=True)[1]] = True
                 new &= ~np.isin(sid, seen) & (size > 0)
-                seen = np.concatenate([seen, sid[new]])[-200_000:]  # copies met lately need no second set of codes
+                seen = np.concatenate([seen, sid[new]])[-20_000:]  # copies met lately need no second set of codes
                 tok = tok[np.repeat(new, size)]
                 size = size[new]
-                row, key = sketch_keys(tok, np.concatenate([[0], np.cumsum(size)]), table, percent)
-                ids.append(sid[new])
-                sizes.append(size)
-                rows.append(row + base)
-                keys.append(key)
+                ptr = np.concatenate([[0], np.cumsum(size)])
+                odd = np.concatenate([[0], np.cumsum(table[(tok >> np.uint64(44)).astype(np.int64)] == rare)])[ptr]
+                row, band, least, key = sketch_keys(tok, ptr, percent)
+                for p, x in zip(parts, (sid[new], size, np.diff(odd) * 1000 // np.maximum(size, 1), row + base, band, least, key), strict=True):
+                    p.append(x)
                 base += len(size)
             if not base:
-                continue
-            sid, size, row, key = (np.concatenate(x) for x in (ids, sizes, rows, keys))
-            bin_ = ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-            order = np.lexsort((row, bin_))
-            bin_, row, key = bin_[order], row[order], key[order]
-            cut = np.flatnonzero(np.concatenate([[True], bin_[1:] != bin_[:-1]]))
-            run_ = np.flatnonzero(np.concatenate([[True], (bin_[1:] != bin_[:-1]) | (row[1:] != row[:-1])]))
+                return
+            sid, size, odd, row, band, least, key = map(np.concatenate, parts)
+            bin_ = ((key >> np.uint64(32)) * np.uint64(BINS * ranges) >> np.uint64(32)).astype(np.int64)
+            order = np.lexsort((band, row, bin_))
+            bin_, row, band, least, key = bin_[order], row[order], band[order], least[order], key[order]
+            new_bin = np.concatenate([[True], bin_[1:] != bin_[:-1]])
+            new_run = new_bin | np.concatenate([[True], (row[1:] != row[:-1]) | (band[1:] != band[:-1])])
+            cut, run_ = np.flatnonzero(new_bin), np.flatnonzero(new_run)
             many = np.diff(np.append(run_, len(row)))
             of = np.searchsorted(run_, np.append(cut, len(row)))
-            out: list[list] = [[] for _ in range(5)]
+            out: list[list] = [[] for _ in range(8)]
             for j, c in enumerate(cut.tolist()):
                 a, z = of[j], of[j + 1]
                 end = cut[j + 1] if j + 1 < len(cut) else len(row)
                 who = row[run_[a:z]]
-                for x, y in zip(out, (int(bin_[c]), sid[who].tobytes(), size[who].astype(np.uint32).tobytes(), many[a:z].astype(np.uint32).tobytes(), key[c:end].tobytes()), strict=True):
+                packed = (sid[who], size[who].astype(np.uint32), odd[who].astype(np.uint16), band[run_[a:z]].astype(np.uint8), least[run_[a:z]].astype(np.uint32), many[a:z].astype(np.uint32), key[c:end])
+                for x, y in zip(out, (int(bin_[c]), *(v.tobytes() for v in packed)), strict=True):
                     x.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], ["bin", "sid", "size", "many", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], ["bin", "sid", "size", "odd", "band", "least", "many", "keys"])
+
+        for whole in batches:
+            raw, at = buffers(whole.column("t"))
+            for part_lo, part_hi in slices(at, PACK_BYTES):
+                yield from packed(raw[at[part_lo] : at[part_hi]], at[part_lo : part_hi + 1] - at[part_lo])
+
+    return docs.mapInArrow(run, "bin int, sid binary, size binary, odd binary, band binary, least binary, many binary, keys binary")
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(key, sid, band, least) of the blocks that two or more classes share, sorted by key and then by the pivot's order."""
+    bins: dict[int, list] = {}
+    for b in batches:
+        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            bins.setdefault(r[0], []).append(r[1:])
+    for k in list(bins):
+        sid, _, odd, band, least, many, key = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*bins.pop(k), strict=True), (np.int64, np.uint32, np.uint16, np.uint8, np.uint32, np.uint32, np.uint64), strict=True))
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        same = key[1:] == key[:-1]
+        held = np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(key) else np.zeros(0, bool)
+        order, key = order[held], key[held]
+        if not len(key):
+            continue
+        who = np.repeat(np.arange(len(sid)), many)[order]
+        order = np.lexsort((sid[who], odd[who], key))
+        key, who = key[order], who[order]
+        once = np.concatenate([[True], (key[1:] != key[:-1]) | (sid[who][1:] != sid[who][:-1])])
+        key, who = key[once], who[once]
+        same = key[1:] == key[:-1]
+        held = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        key, who = key[held], who[held]
+        if len(key):
+            yield key, sid[who], band[who].astype(np.int64), least[who].astype(np.int64)
+
+
+def _tallied(cols: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    """Distinct rows of the columns, and how often each occurs."""
+    order = np.lexsort(cols[::-1])
+    cols = [c[order] for c in cols]
+    first = np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in cols], axis=0)]))
+    return pa.RecordBatch.from_arrays([*(pa.array(c[first], pa.int64()) for c in cols), pa.array(np.diff(np.append(first, len(cols[0]))), pa.int64())], [*names, "n"])
+
+
+def _shared_blocks(packed: DataFrame, ranges: int) -> DataFrame:
+    """(sid): classes that share enough blocks with others to be linked with one."""
 
-    return docs.mapInArrow(run, "bin int, sid binary, size binary, many binary, keys binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, sid, band, least in _met(batches):
+            yield _tallied([sid, band, least], ["sid", "band", "least"])
+
+    met = packed.repartition(ranges, "bin").mapInArrow(run, "sid bigint, band bigint, least bigint, n bigint")
+    return met.groupBy("sid", "band", "least").agg(F.sum("n").alias("n")).where("n >= least").select("sid").distinct()
+
+
+def _pivot_edges(packed: DataFrame, ranges: int) -> DataFrame:
+    """(a, b, maybe): members b of buckets with pivot a, and whether they share enough blocks to be linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, sid, band, least in _met(batches):
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            head = np.repeat(first, np.diff(np.append(first, len(key))))
+            rest = np.arange(len(key)) != head
+            yield _tallied([sid[head][rest], sid[rest], band[rest], np.maximum(least[head], least)[rest]], ["a", "b", "band", "least"])
 
+    met = packed.repartition(ranges, "bin").mapInArrow(run, "a bigint, b bigint, band bigint, least bigint, n bigint")
+    pairs = met.groupBy("a", "b", "band", "least").agg(F.sum("n").alias("n"))
+    return pairs.groupBy("a", "b").agg(F.max(F.col("n") >= F.col("least")).alias("maybe"))
 
-def _buckets(packed: DataFrame, percent: int, ranges: int) -> DataFrame:
-    """Edges (a, b) from each bucket's least member, and buckets of three or more (bucket, a, members)."""
 
-    def groups(key: np.ndarray) -> np.ndarray:
-        return np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+def _sketched(rows: DataFrame, n: int) -> DataFrame:
+    """(sid, size, bits) of each row's class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins: dict[int, list] = {}
         for b in batches:
-            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                bins.setdefault(r[0], []).append(r[1:])
-        for k in list(bins):
-            sid, size, many, key = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*bins.pop(k), strict=True), (np.int64, np.uint32, np.uint32, np.uint64), strict=True))
-            order = np.argsort(key, kind="stable")
-            key = key[order]
-            same = key[1:] == key[:-1]
-            held = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-            order, key = order[held], key[held]
-            who = np.repeat(np.arange(len(sid)), many)[order]
-            s, z = sid[who], size[who].astype(np.int64)
-            order = np.lexsort((s, key))
-            key, s, z = key[order], s[order], z[order]
-            if not len(key):
-                continue
-            once = np.concatenate([[True], (key[1:] != key[:-1]) | (s[1:] != s[:-1])])
-            key, s, z = key[once], s[once], z[once]
-            at = groups(key)
-            m = np.diff(np.append(at, len(key)))
-            head = np.repeat(at, m)
-            member = (np.arange(len(key)) != head) & (m[np.searchsorted(at, head)] > 1)
-            a, b, za, zb = s[head][member], s[member], z[head][member], z[member]
-            near = 100 * np.minimum(za, zb) >= percent * np.maximum(za, zb)
-            pair = np.unique(np.stack([a[near], b[near]], 1), axis=0) if near.any() else np.zeros((0, 2), np.int64)
-            # many buckets of one family have the same members: each list once
-            big = np.flatnonzero(m > 2)
-            lists = mix(_sum(mix(s.view(np.uint64)), np.append(at, len(key)))).view(np.int64)
-            big = big[np.unique(lists[big], return_index=True)[1]]
-            flat = np.concatenate([np.arange(at[g], at[g] + m[g]) for g in big.tolist()]) if len(big) else np.zeros(0, np.int64)
-            n, k_ = len(pair), len(big)
-            whole = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(m[big])]).astype(np.int32)), pa.array(s[flat], pa.int64()))
-            sizes = pa.ListArray.from_arrays(whole.offsets, pa.array(z[flat], pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0], pa.int64()), pa.array(pair[:, 1], pa.int64()), *[pa.nulls(n, pa.int64()), *[pa.nulls(n, pa.list_(pa.int64()))] * 2]], ["a", "b", "bucket", "members", "sizes"])
-            yield pa.RecordBatch.from_arrays([pa.array(s[at[big]], pa.int64()), pa.nulls(k_, pa.int64()), pa.array(lists[big], pa.int64()), whole, sizes], ["a", "b", "bucket", "members", "sizes"])
-
-    dealt = packed.repartition(ranges, "bin")
-    return dealt.mapInArrow(run, "a bigint, b bigint, bucket bigint, members array<bigint>, sizes array<bigint>")
+            raw, at = buffers(b.column("t"))
+            for lo, hi in slices(at):
+                tok, ptr = shingles(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], n)
+                bits = [np.frombuffer(x, ">i8").tolist() for x in dense_sketch(tok, ptr)]
+                yield pa.RecordBatch.from_arrays([pa.array(_identity(tok, ptr)[0], pa.int64()), pa.array(np.diff(ptr), pa.int64()), pa.array(bits, pa.list_(pa.int64()))], ["sid", "size", "bits"])
+
+    return rows.mapInArrow(run, "sid bigint, size bigint, bits array<bigint>")
+
+
+def _texts(docs: DataFrame, classes: DataFrame, used: DataFrame) -> DataFrame:
+    """(s1, t): the text of one document of each class in ``used`` (s1)."""
+    wanted = staged(used.join(classes, "s1").select("s1", "rep"))
+    few = wanted.count() <= SEMI_IDS
+    return docs.join(F.broadcast(wanted) if few else wanted, docs["i"] == wanted["rep"]).select("s1", "t")
 
 
 def _verified(edges: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """(a, b, shared, n_a, n_b) of each edge, counted on the texts of one document of either class."""
-    used = edges.select("a").union(edges.select("b")).distinct().toDF("s1").join(classes, "s1").select("s1", "rep")
-    used = staged(used)
-    few = used.count() <= SEMI_IDS
-    texts = docs.join(F.broadcast(used) if few else used, docs["i"] == used["rep"]).dropDuplicates(["s1"]) if not few else docs.join(F.broadcast(used), docs["i"] == used["rep"])
-    texts = texts.select("s1", "t")
+    texts = _texts(docs, classes, edges.select("a").union(edges.select("b")).distinct().toDF("s1"))
     load = edges.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("salts"))
     centre = texts.withColumnRenamed("s1", "a").join(load, "a").select("a", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(None).cast("bigint").alias("b"), "t")
     dealt = edges.join(load, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), "b")
@@ -313,9 +376,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     profile = noted.where("part is null").select("i", "n", "s1", "s2")
     freq = _frequencies(noted.where("part is not null"))
     classes = staged(profile.where("n > 0 and i is not null").groupBy("s1", "s2", "n").agg(F.min("i").alias("rep")))
-    found = staged(_buckets(_keys(rows, freq, n, percent, ranges), percent, ranges))
-    edges = found.where("b is not null").select("a", "b").distinct()
-    checked = staged(_verified(edges, classes, rows, n))
+    alive = _shared_blocks(_keys(rows, freq, n, percent, ranges), ranges).toDF("s1")
+    some = staged(_texts(rows, classes, alive).withColumnRenamed("s1", "i"))
+    # without the classes that left, others have fewer shared blocks
+    alive = _shared_blocks(_keys(some, freq, n, percent, ranges), ranges).toDF("i")
+    some = staged(some.join(alive, "i", "left_semi"))
+    edges = staged(_pivot_edges(_keys(some, freq, n, percent, ranges), ranges))
+    checked = staged(_verified(edges.where("maybe").select("a", "b"), classes, some.join(classes, some["i"] == classes["s1"]).select(F.col("rep").alias("i"), "t"), n))
     member = classes.select("s1", "rep")
 
     def grown(links: DataFrame) -> DataFrame:
@@ -324,22 +391,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     links = checked.where(_linked(percent)).select("a", "b")
     groups = grown(links)
-    # members that aren't linked with their bucket's least one: distances to it bound those between members
-    far = (100 - percent) / 100
-    listed = found.where("bucket is not null").dropDuplicates(["bucket"])
-    inside = listed.select("bucket", "a", F.explode(F.arrays_zip("members", "sizes")).alias("m"), F.element_at("sizes", 1).alias("za"))
-    inside = inside.select("bucket", "a", F.col("m.members").alias("x"), F.col("m.sizes").alias("z"), "za")
-    gap = checked.select("a", F.col("b").alias("x"), (1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("d"), (~_linked(percent)).alias("off"))
-    open_ = inside.where("a <> x").join(gap, ["a", "x"], "left").select("bucket", "x", "z", F.coalesce("d", 1 - F.least("z", "za") / F.greatest("z", "za")).alias("lo"), F.coalesce("d", F.lit(1.0)).alias("hi"), F.coalesce("off", F.lit(True)).alias("off"))
-    open_ = staged(open_)
-    lost = open_.where("off")
-    x, y = lost.toDF("bucket", "x", "zx", "lx", "hx", "ox"), open_.join(lost.select("bucket").distinct(), "bucket", "left_semi").toDF("bucket", "y", "zy", "ly", "hy", "oy")
-    apart = (F.col("lx") - F.col("hy") <= far + 1e-9) & (F.col("ly") - F.col("hx") <= far + 1e-9)
-    size = F.expr(f"100 * least(zx, zy) >= {percent} * greatest(zx, zy)")
-    left = x.join(y, "bucket").where((F.col("x") != F.col("y")) & (~F.col("oy") | (F.col("x") < F.col("y"))) & apart & size).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    # members of one pivot, of which not both are linked with it
     label = member.join(groups.toDF("rep", "label"), "rep", "left").select("s1", F.coalesce("label", "rep").alias("label"))
-    left = left.join(label.toDF("a", "la"), "a").join(label.toDF("b", "lb"), "b").where("la <> lb").select("a", "b").join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    left = staged(left)
+    told = staged(edges.select("a", "b").join(links.withColumn("on", F.lit(True)), ["a", "b"], "left").join(_sketched(some, n).toDF("b", "size", "bits"), "b").join(label.toDF("b", "label"), "b").select("a", "b", "size", "bits", "label", F.coalesce("on", F.lit(False)).alias("on")))
+    x = told.where("not on").select("a", *(F.col(c).alias(f"{c}_x") for c in ("b", "size", "bits", "label")))
+    y = told.join(told.where("not on").select("a").distinct(), "a", "left_semi").select("a", *(F.col(c).alias(f"{c}_y") for c in ("b", "size", "bits", "label", "on")))
+    apart = F.aggregate(F.zip_with("bits_x", "bits_y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    most = F.expr(f"(size_x + size_y) * {100 - percent} div {100 + percent}")
+    # the first 1,024 bits bound the distance too, in compiled code; the rest only of large sets
+    begun = F.expr(" + ".join(f"bit_count(element_at(bits_x, {k}) ^ element_at(bits_y, {k}))" for k in range(1, 17)))
+    near = F.expr(f"100 * least(size_x, size_y) >= {percent} * greatest(size_x, size_y)") & ((F.size("bits_x") != F.size("bits_y")) | ((begun <= most) & ((F.size("bits_x") == 16) | (apart <= most))))
+    other = (F.col("label_x") != F.col("label_y")) & (F.col("on_y") | (F.col("b_x") < F.col("b_y")))
+    left = x.join(y, (x["a"] == y["a"]) & other & near).select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b")).distinct()
+    done = edges.where("maybe").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    left = staged(left.join(done, ["a", "b"], "left_anti"))
     if left.limit(1).count():
         more = staged(_verified(left, classes, rows, n))
         links = links.union(more.where(_linked(percent)).select("a", "b"))
