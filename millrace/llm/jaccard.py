@@ -36,9 +36,10 @@ from .words import SPACED, buffers, grams, mix, slices, word_hashes
 
 SHINGLE, PERCENT, BAND = 5, 80, 1.6
 #: Counters of n-gram frequencies, and in how many parts they travel.
-COUNTERS, PARTS = 1 << 20, 16
-#: Text whose codes are packed together, and packs a task sorts one by one.
-PACK_BYTES, BINS = 4 << 20, 4
+COUNTERS, PARTS = 1 << 18, 16
+_SHIFT = np.uint64(64 - 18)
+#: Text whose codes are packed together, and bytes of codes that are sorted together.
+PACK_BYTES, BIN_BYTES = 8 << 20, 16 << 20
 #: Members verified against one text by one task at most.
 FAN = 1024
 #: Ids in a broadcast semi-join; more are joined by a shuffle.
@@ -159,7 +160,7 @@ def _profile(docs: DataFrame, n: int) -> DataFrame:
             type_i, done = b.column("i").type, []
             for lo, hi in slices(at):
                 tok, ptr = shingles(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], n)
-                freq += np.bincount((tok >> np.uint64(44)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+                freq += np.bincount((tok >> _SHIFT).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
                 done.append((np.diff(ptr), *_identity(tok, ptr)))
             m = b.num_rows
             cols = [np.concatenate(x) for x in zip(*done, strict=True)] if done else [np.zeros(0, np.int64)] * 3
@@ -191,8 +192,8 @@ def _frequencies(parts: DataFrame) -> np.ndarray:
     return np.log2(above).astype(np.uint64)
 
 
-def _keys(docs: DataFrame, freq: np.ndarray, n: int, percent: int, ranges: int) -> DataFrame:
-    """Join codes, packed by range: for each class of a batch its digest, size, rareness, band and number of codes, then the codes."""
+def _keys(docs: DataFrame, freq: np.ndarray, n: int, percent: int, bins: int) -> DataFrame:
+    """Join codes, packed by range: for each class of a batch its digest, rareness, band and number of codes, then the codes (40 bits beside the range)."""
     sent = docs.sparkSession.sparkContext.broadcast(freq.astype(np.uint8).tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +203,7 @@ def _keys(docs: DataFrame, freq: np.ndarray, n: int, percent: int, ranges: int)
 
         def packed(raw: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
             nonlocal seen
-            parts: list[list[np.ndarray]] = [[] for _ in range(7)]
+            parts: list[list[np.ndarray]] = [[] for _ in range(6)]
             base = 0
             for lo, hi in slices(at):
                 tok, ptr = shingles(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], n)
@@ -215,15 +216,15 @@ def _keys(docs: DataFrame, freq: np.ndarray, n: int, percent: int, ranges: int)
                 tok = tok[np.repeat(new, size)]
                 size = size[new]
                 ptr = np.concatenate([[0], np.cumsum(size)])
-                odd = np.concatenate([[0], np.cumsum(table[(tok >> np.uint64(44)).astype(np.int64)] == rare)])[ptr]
+                odd = np.concatenate([[0], np.cumsum(table[(tok >> _SHIFT).astype(np.int64)] == rare)])[ptr]
                 row, band, least, key = sketch_keys(tok, ptr, percent)
-                for p, x in zip(parts, (sid[new], size, np.diff(odd) * 1000 // np.maximum(size, 1), row + base, band, least, key), strict=True):
+                for p, x in zip(parts, (sid[new], np.diff(odd) * 255 // np.maximum(size, 1), row + base, band, least, key), strict=True):
                     p.append(x)
                 base += len(size)
             if not base:
                 return
-            sid, size, odd, row, band, least, key = map(np.concatenate, parts)
-            bin_ = ((key >> np.uint64(32)) * np.uint64(BINS * ranges) >> np.uint64(32)).astype(np.int64)
+            sid, odd, row, band, least, key = map(np.concatenate, parts)
+            bin_ = ((key >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
             order = np.lexsort((band, row, bin_))
             bin_, row, band, least, key = bin_[order], row[order], band[order], least[order], key[order]
             new_bin = np.concatenate([[True], bin_[1:] != bin_[:-1]])
@@ -231,22 +232,22 @@ def _keys(docs: DataFrame, freq: np.ndarray, n: int, percent: int, ranges: int)
             cut, run_ = np.flatnonzero(new_bin), np.flatnonzero(new_run)
             many = np.diff(np.append(run_, len(row)))
             of = np.searchsorted(run_, np.append(cut, len(row)))
-            out: list[list] = [[] for _ in range(8)]
+            out: list[list] = [[] for _ in range(7)]
             for j, c in enumerate(cut.tolist()):
                 a, z = of[j], of[j + 1]
                 end = cut[j + 1] if j + 1 < len(cut) else len(row)
                 who = row[run_[a:z]]
-                packed = (sid[who], size[who].astype(np.uint32), odd[who].astype(np.uint16), band[run_[a:z]].astype(np.uint8), least[run_[a:z]].astype(np.uint32), many[a:z].astype(np.uint32), key[c:end])
+                packed = (sid[who], odd[who].astype(np.uint8), band[run_[a:z]].astype(np.uint8), least[run_[a:z]].astype(np.uint32), many[a:z].astype(np.uint32), key[c:end].view(np.uint8).reshape(-1, 8)[:, :5])
                 for x, y in zip(out, (int(bin_[c]), *(v.tobytes() for v in packed)), strict=True):
                     x.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], ["bin", "sid", "size", "odd", "band", "least", "many", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], ["bin", "sid", "odd", "band", "least", "many", "keys"])
 
         for whole in batches:
             raw, at = buffers(whole.column("t"))
             for part_lo, part_hi in slices(at, PACK_BYTES):
                 yield from packed(raw[at[part_lo] : at[part_hi]], at[part_lo : part_hi + 1] - at[part_lo])
 
-    return docs.mapInArrow(run, "bin int, sid binary, size binary, odd binary, band binary, least binary, many binary, keys binary")
+    return docs.mapInArrow(run, "bin int, sid binary, odd binary, band binary, least binary, many binary, keys binary")
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -256,7 +257,10 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
             bins.setdefault(r[0], []).append(r[1:])
     for k in list(bins):
-        sid, _, odd, band, least, many, key = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*bins.pop(k), strict=True), (np.int64, np.uint32, np.uint16, np.uint8, np.uint32, np.uint32, np.uint64), strict=True))
+        sid, odd, band, least, many, five = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*bins.pop(k), strict=True), (np.int64, np.uint8, np.uint8, np.uint32, np.uint32, np.uint8), strict=True))
+        wide = np.zeros((len(five) // 5, 8), np.uint8)
+        wide[:, :5] = five.reshape(-1, 5)
+        key = wide.view(np.uint64).ravel()
         order = np.argsort(key, kind="stable")
         key = key[order]
         same = key[1:] == key[:-1]
@@ -284,18 +288,23 @@ def _tallied(cols: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(pa.array(c[first], pa.int64()) for c in cols), pa.array(np.diff(np.append(first, len(cols[0]))), pa.int64())], [*names, "n"])
 
 
-def _shared_blocks(packed: DataFrame, ranges: int) -> DataFrame:
+def _dealt(packed: DataFrame, bins: int) -> DataFrame:
+    parts = max(1, min(bins, width(packed.sparkSession)))
+    return packed.repartitionById(parts, F.col("bin") % parts)
+
+
+def _shared_blocks(packed: DataFrame, bins: int) -> DataFrame:
     """(sid): classes that share enough blocks with others to be linked with one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sid, band, least in _met(batches):
             yield _tallied([sid, band, least], ["sid", "band", "least"])
 
-    met = packed.repartition(ranges, "bin").mapInArrow(run, "sid bigint, band bigint, least bigint, n bigint")
+    met = _dealt(packed, bins).mapInArrow(run, "sid bigint, band bigint, least bigint, n bigint")
     return met.groupBy("sid", "band", "least").agg(F.sum("n").alias("n")).where("n >= least").select("sid").distinct()
 
 
-def _pivot_edges(packed: DataFrame, ranges: int) -> DataFrame:
+def _pivot_edges(packed: DataFrame, bins: int) -> DataFrame:
     """(a, b, maybe): members b of buckets with pivot a, and whether they share enough blocks to be linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +314,7 @@ def _pivot_edges(packed: DataFrame, ranges: int) -> DataFrame:
             rest = np.arange(len(key)) != head
             yield _tallied([sid[head][rest], sid[rest], band[rest], np.maximum(least[head], least)[rest]], ["a", "b", "band", "least"])
 
-    met = packed.repartition(ranges, "bin").mapInArrow(run, "a bigint, b bigint, band bigint, least bigint, n bigint")
+    met = _dealt(packed, bins).mapInArrow(run, "a bigint, b bigint, band bigint, least bigint, n bigint")
     pairs = met.groupBy("a", "b", "band", "least").agg(F.sum("n").alias("n"))
     return pairs.groupBy("a", "b").agg(F.max(F.col("n") >= F.col("least")).alias("maybe"))
 
@@ -371,17 +380,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, n_shingles, component_id) of each row: the least id that links of at least ``percent`` reach from it."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    ranges = width(spark)
     noted = staged(_profile(rows, n))
     profile = noted.where("part is null").select("i", "n", "s1", "s2")
     freq = _frequencies(noted.where("part is not null"))
     classes = staged(profile.where("n > 0 and i is not null").groupBy("s1", "s2", "n").agg(F.min("i").alias("rep")))
-    alive = _shared_blocks(_keys(rows, freq, n, percent, ranges), ranges).toDF("s1")
+    # about 0.7 codes an n-gram, of 6 bytes or more
+    bins = max(4, min(4 * width(spark), (profile.agg(F.sum("n")).first()[0] or 0) * 4 // BIN_BYTES))
+    alive = _shared_blocks(_keys(rows, freq, n, percent, bins), bins).toDF("s1")
     some = staged(_texts(rows, classes, alive).withColumnRenamed("s1", "i"))
     # without the classes that left, others have fewer shared blocks
-    alive = _shared_blocks(_keys(some, freq, n, percent, ranges), ranges).toDF("i")
+    alive = _shared_blocks(_keys(some, freq, n, percent, bins), bins).toDF("i")
     some = staged(some.join(alive, "i", "left_semi"))
-    edges = staged(_pivot_edges(_keys(some, freq, n, percent, ranges), ranges))
+    edges = staged(_pivot_edges(_keys(some, freq, n, percent, bins), bins))
     checked = staged(_verified(edges.where("maybe").select("a", "b"), classes, some.join(classes, some["i"] == classes["s1"]).select(F.col("rep").alias("i"), "t"), n))
     member = classes.select("s1", "rep")
 
