@@ -34,7 +34,9 @@ from . import files
 from .shared import range_of, shared_dir, staged, width
 from .words import buffers
 
-END_ID, SHARD_TOKENS, ROUNDS, ROUND_PAIRS, MIN_COUNT, KEPT_WORDS = 1, 1 << 20, 6, 512, 24, 400_000
+END_ID, SHARD_TOKENS, ROUNDS, ROUND_PAIRS, MIN_COUNT, KEPT_WORDS = 1, 1 << 20, 4, 1024, 24, 800_000
+#: Words that go through the library in one call.
+JOINED = 64
 _MAGIC = b"RPG1"
 _NULL = -(1 << 63)
 
@@ -51,11 +53,26 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
+    def _words(self, need: list[tuple[bytes, str]]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids of words of letters, many in one text: a word's last id is one that closes words."""
+        groups = [need[i : i + JOINED] for i in range(0, len(need), JOINED)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(w for _, w in g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            cut = np.flatnonzero(self.closes[ids]) + 1
+            if len(cut) == len(group) and cut[-1] == len(ids):
+                raw, ends = ids.tobytes(), [0, *(4 * cut).tolist()]
+                yield from ((p, raw[a:z]) for (p, _), a, z in zip(group, ends, ends[1:], strict=False))
+            else:  # a word that lower case takes apart
+                yield from zip([p for p, _ in group], self._encode([w for _, w in group]), strict=True)
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of UTF-8 texts as little-endian 32-bit integers."""
         cut = [t.lower().split() for t in texts]  # bytes.lower() touches A-Z only, as the normaliser does again
@@ -73,8 +90,10 @@ class WordEncoder:
                     cores.update(ends[piece])
                 else:
                     cores.add(piece)
-            need = [p for p in cores if p not in known]
-            known.update(zip(need, self._encode([p.decode() for p in need]), strict=True))
+            need = [(p, p.decode()) for p in cores if p not in known]
+            known.update(self._words([x for x in need if x[1].isalpha()]))
+            other = [x for x in need if not x[1].isalpha()]
+            known.update(zip([p for p, _ in other], self._encode([w for _, w in other]), strict=True))
             known.update((p, known[a] + known[b]) for p, (a, b) in ends.items())
         return [b"".join(map(known.__getitem__, c)) for c in cut]
 
@@ -86,52 +105,59 @@ def encoder(path: str) -> WordEncoder:
 
 def repair(seq: np.ndarray, vocabulary: int, ends: np.ndarray, rounds: int = ROUNDS, round_pairs: int = ROUND_PAIRS, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(packed sequence, rules, where each document ends in it). ``ends`` are the documents' ends in ``seq``."""
-    seq = seq.astype(np.int64)
+    small = vocabulary + rounds * round_pairs <= 1 << 16  # then a pair fits in 32 bits, which sort faster
+    kind, shift = (np.uint32, 16) if small else (np.uint64, 32)
+    mask, never = (1 << shift) - 1, (1 << 2 * shift) - 1  # the greatest code is no pair: symbols don't reach it
+    seq = seq.astype(kind)
     rules: list[np.ndarray] = []
-    shift, top = 24, vocabulary
+    top = vocabulary
     last = np.zeros(len(seq), bool)
     last[ends - 1] = True
     for _ in range(rounds):
-        if len(seq) < 2 or top + round_pairs >= 1 << shift:
+        if len(seq) < 2:
             break
-        pair = (seq[:-1] << shift) | seq[1:]
-        pair[last[:-1]] = -1
+        pair = (seq[:-1] << kind(shift)) | seq[1:]
+        pair[last[:-1]] = never
         ordered = np.sort(pair)
         first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         count = np.diff(np.append(first, len(ordered)))
-        often = np.flatnonzero((count >= min_count) & (ordered[first] >= 0))
+        often = np.flatnonzero((count >= min_count) & (ordered[first] != never))
         if not len(often):
             break
         best = often[np.argsort(-count[often], kind="stable")[: 4 * round_pairs]]
         # a symbol that ends one chosen pair begins no other, so occurrences of different pairs never overlap
         begins, finishes, chosen = set(), set(), []
         for p in ordered[first[best]].tolist():
-            a, b = p >> shift, p & ((1 << shift) - 1)
-            if a not in finishes and b not in begins:
+            a, b = p >> shift, p & mask
+            if a not in finishes and b not in begins and (a != b or (a not in begins and b not in finishes)):
                 begins.add(a)
                 finishes.add(b)
                 chosen.append(p)
                 if len(chosen) == round_pairs:
                     break
-        chosen_ = np.sort(np.array(chosen, np.int64))
-        is_first = np.zeros(top, bool)
-        is_first[chosen_ >> shift] = True
-        at = np.flatnonzero(is_first[seq[:-1]])
-        spot = np.minimum(np.searchsorted(chosen_, pair[at]), len(chosen_) - 1)
-        hit = chosen_[spot] == pair[at]
+        if not chosen:
+            break
+        chosen_ = np.sort(np.array(chosen, kind))
+        left, right = chosen_ >> kind(shift), chosen_ & kind(mask)
+        is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
+        is_left[left], is_right[right] = True, True
+        at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
+        code = pair[at]
+        spot = np.minimum(np.searchsorted(chosen_, code), len(chosen_) - 1)
+        hit = chosen_[spot] == code
         at, spot = at[hit], spot[hit]
-        if len(at):  # runs of one symbol (a, a): every second occurrence
-            same = chosen_[spot] >> shift == chosen_[spot] & ((1 << shift) - 1)
+        same = left[spot] == right[spot]
+        if same.any():  # runs of one symbol (a, a): every second occurrence
             run = np.concatenate([[True], (np.diff(at) != 1) | ~same[1:]])
             begin = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
             even = (np.arange(len(at)) - begin) % 2 == 0
             at, spot = at[even], spot[even]
-        seq[at] = top + spot
+        seq[at] = (top + spot).astype(kind)
+        last[at] |= last[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        last[at] = last[at + 1]
         seq, last = seq[keep], last[keep]
-        rules.append(np.stack([chosen_ >> shift, chosen_ & ((1 << shift) - 1)], 1))
+        rules.append(np.stack([left, right], 1).astype(np.int64))
         top += len(chosen_)
     return seq, (np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)), np.flatnonzero(last) + 1
 
@@ -150,13 +176,12 @@ def lengths(rules: np.ndarray, vocabulary: int) -> np.ndarray:
 
 def expand(packed: np.ndarray, rules: np.ndarray, vocabulary: int) -> np.ndarray:
     """The ids of a piece of the packed sequence."""
-    seq = packed.astype(np.int64)
-    while len(seq) and (big := seq >= vocabulary).any():
-        at = np.arange(len(seq)) + np.cumsum(big) - big
-        out = np.empty(len(seq) + int(big.sum()), np.int64)
-        out[at[~big]] = seq[~big]
-        pair = rules[seq[big] - vocabulary]
-        out[at[big]], out[at[big] + 1] = pair[:, 0], pair[:, 1]
+    seq, rules = packed.astype(np.int32), rules.astype(np.int32)
+    while len(at := np.flatnonzero(seq >= vocabulary)):
+        pair = rules[seq[at] - vocabulary]
+        out = np.repeat(seq, 1 + (seq >= vocabulary))
+        to = at + np.arange(len(at))
+        out[to], out[to + 1] = pair[:, 0], pair[:, 1]
         seq = out
     return seq
 
