@@ -296,12 +296,36 @@ def _dealt(packed: DataFrame, bins: int) -> DataFrame:
 def _shared_blocks(packed: DataFrame, bins: int) -> DataFrame:
     """(sid): classes that share enough blocks with others to be linked with one."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sid, band, least in _met(batches):
-            yield _tallied([sid, band, least], ["sid", "band", "least"])
+    parts = max(1, min(bins, width(packed.sparkSession)))
+    kinds = (np.int64, np.uint8, np.uint32, np.uint32)
 
-    met = _dealt(packed, bins).mapInArrow(run, "sid bigint, band bigint, least bigint, n bigint")
-    return met.groupBy("sid", "band", "least").agg(F.sum("n").alias("n")).where("n >= least").select("sid").distinct()
+    def tally(cols: tuple[np.ndarray, ...], n: np.ndarray) -> tuple[np.ndarray, ...]:
+        order = np.lexsort(cols[::-1])
+        cols = tuple(c[order] for c in cols)
+        first = np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in cols], axis=0)]))
+        return *(c[first] for c in cols), np.add.reduceat(n[order], first)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, sid, band, least in _met(batches):
+            to = (mix(sid.view(np.uint64).copy()) % np.uint64(parts)).astype(np.int64)
+            to, *cols = tally((to, sid, band, least), np.ones(len(sid), np.int64))
+            cut = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
+            rows = [[c[x:y].astype(k).tobytes() for x, y in zip(cut, [*cut[1:], len(to)], strict=True)] for c, k in zip(cols, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(to[cut], pa.int32()), *(pa.array(r, pa.binary()) for r in rows)], ["bin", "sid", "band", "least", "n"])
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[] for _ in kinds]
+        for b in batches:
+            for h, c in zip(held, b.columns[1:], strict=True):
+                h += c.to_pylist()
+        sid, band, least, n = (np.frombuffer(b"".join(h), k) for h, k in zip(held, kinds, strict=True))
+        if len(sid):
+            sid, _, least, n = tally((sid, band, least), n.astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(sid[n >= least]), pa.int64())], ["sid"])
+
+    # a task's tallies travel packed, by the class's hash
+    met = _dealt(packed, bins).mapInArrow(count, "bin int, sid binary, band binary, least binary, n binary")
+    return met.repartitionById(parts, F.col("bin")).mapInArrow(pick, "sid bigint")
 
 
 def _pivot_edges(packed: DataFrame, bins: int) -> DataFrame:
