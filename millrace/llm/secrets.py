@@ -3,7 +3,7 @@
 Base kinds (``KINDS``) are found leftmost and non-overlapping in each whole text; a match whose secret is too short is dropped. ``EXTRA`` kinds are
 the method's own candidates. Every candidate's secret is hashed; over the whole corpus a hash gets the number of distinct
 repositories and owners that hold it. A secret of at least ``owners`` owners and ``repositories`` repositories is a widely copied example; all
-others are specific to an owner and look live. Base spans always stay; an extra span is reported if it looks live.
+others are specific to an owner and look live. A private key is judged by its body and its span is the whole block, so a header alone is no secret. Base spans always stay; an extra span is reported if it looks live.
 
 Spans are in code points, end exclusive: texts are cut at the matches, and lengths summed up. Texts stay in their partitions; what
 is shuffled is one row per (secret, owner, repository), pre-aggregated.
@@ -25,6 +25,13 @@ def _any_case(word: str) -> str:
 
 
 _NAMES = "|".join(map(_any_case, ("password", "passwd", "secret", "token", "api_?key")))
+#: A private key's block: what lies between its header and its footer, or the base64 lines that follow a header without a footer. Repetitions are
+#: possessive, so that long keys need no stack.
+_FOOTER = r"-----END [A-Z ]{0,30}PRIVATE KEY-----"
+_GAP = r"(?:[\s\"'>|,]|\\[nrt])"
+_FIELDS = rf"(?:{_GAP}*+(?:Proc-Type|DEK-Info):\x20*[A-Za-z0-9,-]+)*+"
+_LINES = rf"(?:{_GAP}*+[A-Za-z0-9+/]{{16,}}={{0,2}})*+(?:{_GAP}*+[A-Za-z0-9+/]{{1,15}}={{1,2}})?+"
+_PEM = rf"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY-----([^-]*+(?:-(?!----)[^-]*+)*+(?={_FOOTER})|{_FIELDS}{_LINES})(?:{_FOOTER})?+"
 #: (kind, pattern, group of the secret, its least length). A run's least length is in the pattern where no shorter match can hide a longer one.
 KINDS = (
     ("assign", rf"({_NAMES})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12),
@@ -35,12 +42,17 @@ EXTRA = (
     ("bearer", r"[Bb]earer\x20+([A-Za-z0-9._~+/=-]{20,})", 1, 20),
     ("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 32),
     ("vendor", r"(?:gh[pousr]_|glpat-|xox[abprs]-|sk_live_|sk-)[A-Za-z0-9_-]{16,}", 0, 19),
-    ("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", 0, 20),
+    ("pem", _PEM, 1, 16),
 )
 OWNERS, REPOSITORIES, BROADCAST_ROWS = 3, 3, 200_000
 _SPAN = "array<struct<start:bigint,number:int,end:bigint,kind:string,secret:bigint>>"
 
 
+def _secret(kind: str, secret: Column) -> Column:
+    """What is hashed: of a private key its body only, however its lines are broken."""
+    return F.regexp_replace(secret, r"\\[nrt]|[^A-Za-z0-9+/=]", "") if kind == "pem" else secret
+
+
 def found(text: Column, number: int, kind: str, pattern: str, group: int, least: int) -> Column:
     """Spans of one kind in a text."""
     p = F.lit(pattern)
@@ -52,8 +64,9 @@ def found(text: Column, number: int, kind: str, pattern: str, group: int, least:
     def step(acc: Column, z: Column) -> Column:
         start = acc["at"] + F.char_length(z["gap"])
         end = start + F.char_length(z["whole"])
-        span = F.struct(start.alias("start"), F.lit(number).alias("number"), end.alias("end"), F.lit(kind).alias("kind"), F.xxhash64(z["secret"]).alias("secret"))
-        out = F.when(F.char_length(z["secret"]) >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
+        secret = _secret(kind, z["secret"])
+        span = F.struct(start.alias("start"), F.lit(number).alias("number"), end.alias("end"), F.lit(kind).alias("kind"), F.xxhash64(secret).alias("secret"))
+        out = F.when(F.char_length(secret) >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
         return F.struct(end.alias("at"), out.alias("out"))
 
     return F.when(text.rlike(pattern), F.aggregate(zipped, first, step, lambda acc: acc["out"])).otherwise(F.array().cast(_SPAN))
