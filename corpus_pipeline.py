@@ -22,11 +22,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least id."""
-    groups = jaccard.near_duplicates(docs)
-    # rows that go; a table of ids only
-    drop = staged(groups.where("component_id <> doc_id").select("doc_id").distinct())
-    kept = docs.join(F.broadcast(drop) if drop.count() <= jaccard.SEMI_IDS else drop, "doc_id", "left_anti")
+    """One row of each group of near copies: the one with the least id; ids that aren't null come first.
+
+    Rows are told apart by id and text, so rows that share an id, or have none, are judged by their own texts. Of rows with the same id and
+    text one stays. Rows without words are no copies.
+    """
+    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text"), F.lit(""))))
+    groups = staged(jaccard.near_duplicates(keyed.select("_key", "text"), "_key").where("n_shingles > 0").groupBy("_key", "component_id").agg(F.count(F.lit(1)).alias("n")))
+    named = groups.join(keyed.select("_key", "doc_id").distinct(), "_key")
+    least = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("least")).select("least._key")
+    # rows that go; a table of keys only
+    drop = staged(groups.select("_key").join(least, "_key", "left_anti"))
+    repeated = staged(groups.where("n > 1").join(least, "_key", "left_semi").select("_key"))
+
+    def met(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return rows.join(F.broadcast(keys) if keys.count() <= jaccard.SEMI_IDS else keys, "_key", how)
+
+    kept = met(keyed, drop, "left_anti")
+    if repeated.limit(1).count():
+        kept = met(kept, repeated, "left_anti").unionByName(met(kept, repeated, "left_semi").dropDuplicates(["_key"]))
     return kept.select(*docs.columns)
 
 

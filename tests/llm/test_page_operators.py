@@ -244,3 +244,20 @@ def test_pipeline_stages(spark, tmp_path):
     for r in got.values():
         assert r.text == docs[r.doc_id] or r.doc_id == 305
         assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest() and r.n_tokens == len(r.ids)
+
+
+def test_near_copies_of_repeated_and_missing_ids(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(11)
+    words = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in "nrst"]
+    same, twice, orphan, own, copied, clean, alone = (" ".join(rng.choice(words) for _ in range(80)) for _ in range(7))
+    rows = [(7, same), (7, same), (8, same), (None, same), (None, same + " more"), (9, twice), (9, twice), (None, orphan), (None, orphan), (None, orphan + " more")]
+    rows += [(20, own), (20, copied), (10, copied), (21, copied + " more"), (30, clean), (None, alone), (40, ""), (41, ""), (None, None), (None, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    kept = pipeline.drop_near_copies(spark, df, "")
+    assert kept.columns == df.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    orphans = [x for x in got if x[0] is None and (x[1] or "").startswith(orphan)]
+    assert len(orphans) == 1
+    want = [(7, same), (9, twice), *orphans, (20, own), (10, copied), (30, clean), (None, alone), (40, ""), (41, ""), (None, None), (None, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
