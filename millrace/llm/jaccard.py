@@ -357,21 +357,28 @@ def _sketched(rows: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, "sid bigint, size bigint, bits array<bigint>")
 
 
-def _texts(docs: DataFrame, classes: DataFrame, used: DataFrame) -> DataFrame:
-    """(s1, t): the text of one document of each class in ``used`` (s1)."""
+def _texts(docs: DataFrame, classes: DataFrame, used: DataFrame, n: int) -> DataFrame:
+    """(s1, t): the text of one document of each class in ``used`` (s1). Other texts with that document's id are left out by their own digest."""
     wanted = staged(used.join(classes, "s1").select("s1", "rep"))
     few = wanted.count() <= SEMI_IDS
-    return docs.join(F.broadcast(wanted) if few else wanted, docs["i"] == wanted["rep"]).select("s1", "t")
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw, at = buffers(b.column("t"))
+            s1 = b.column("s1").to_numpy(zero_copy_only=False)
+            keep = [_identity(*shingles(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], n))[0] == s1[lo:hi] for lo, hi in slices(at)]
+            yield b.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
+
+    return docs.join(F.broadcast(wanted) if few else wanted, docs["i"] == wanted["rep"]).select("s1", "t").mapInArrow(own, "s1 bigint, t string")
 
 
-def _verified(edges: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    """(a, b, shared, n_a, n_b) of each edge, counted on the texts of one document of either class."""
-    texts = _texts(docs, classes, edges.select("a").union(edges.select("b")).distinct().toDF("s1"))
+def _verified(edges: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """(a, b, shared, n_a, n_b) of each edge, counted on the classes' texts (s1, t)."""
     load = edges.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("salts"))
     centre = texts.withColumnRenamed("s1", "a").join(load, "a").select("a", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(None).cast("bigint").alias("b"), "t")
     dealt = edges.join(load, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), "b")
     member = dealt.join(texts.withColumnRenamed("s1", "b"), "b").select("a", "salt", "b", "t")
-    parts = width(docs.sparkSession)
+    parts = width(edges.sparkSession)
     both = centre.unionByName(member).repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", F.col("b").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,12 +418,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # about 0.7 codes an n-gram, of 6 bytes or more
     bins = max(4, min(4 * width(spark), (profile.agg(F.sum("n")).first()[0] or 0) * 4 // BIN_BYTES))
     alive = _shared_blocks(_keys(rows, freq, n, percent, bins), bins).toDF("s1")
-    some = staged(_texts(rows, classes, alive).withColumnRenamed("s1", "i"))
+    some = staged(_texts(rows, classes, alive, n).withColumnRenamed("s1", "i"))
     # without the classes that left, others have fewer shared blocks
     alive = _shared_blocks(_keys(some, freq, n, percent, bins), bins).toDF("i")
     some = staged(some.join(alive, "i", "left_semi"))
     edges = staged(_pivot_edges(_keys(some, freq, n, percent, bins), bins))
-    checked = staged(_verified(edges.where("maybe").select("a", "b"), classes, some.join(classes, some["i"] == classes["s1"]).select(F.col("rep").alias("i"), "t"), n))
+    likely = edges.where("maybe").select("a", "b")
+    used = staged(likely.select("a").union(likely.select("b")).distinct().toDF("s1"))
+    checked = staged(_verified(likely, some.withColumnRenamed("i", "s1").join(F.broadcast(used) if used.count() <= SEMI_IDS else used, "s1", "left_semi"), n))
     member = classes.select("s1", "rep")
 
     def grown(links: DataFrame) -> DataFrame:
@@ -440,7 +449,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     done = edges.where("maybe").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     left = staged(left.join(done, ["a", "b"], "left_anti"))
     if left.limit(1).count():
-        more = staged(_verified(left, classes, rows, n))
+        more = staged(_verified(left, _texts(rows, classes, left.select("a").union(left.select("b")).distinct().toDF("s1"), n), n))
         links = links.union(more.where(_linked(percent)).select("a", "b"))
         groups = grown(links)
     ids = classes.join(groups.toDF("rep", "label"), "rep", "left").select("s1", "s2", "n", F.coalesce("label", "rep").alias("component_id"))

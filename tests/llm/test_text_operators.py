@@ -157,6 +157,17 @@ def test_near_duplicates_with_a_common_passage(spark):
     assert sorted(map(tuple, jaccard.near_duplicates(frame(spark, docs)).collect()), key=str) == brute_components(docs)
 
 
+def test_near_duplicates_of_ids_with_two_texts(spark):
+    rng = random.Random(12)
+    docs = []
+    for k in range(40):
+        one, two = prose(rng, 60 + k), prose(rng, 60 + k)
+        docs += [(1000 + k, one), (1000 + k, two), (2000 + k, one + " more"), (3000 + k, two + " words")]
+        docs += [(4000 + k, prose(rng, 50)), (4000 + k, prose(rng, 50))]
+    got = sorted(map(tuple, jaccard.near_duplicates(frame(spark, docs)).collect()))
+    assert got == sorted((i, len(t.split()) - 4, i if i >= 4000 else 1000 + i % 1000) for i, t in docs)
+
+
 def test_near_duplicates_of_an_empty_table(spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], EMPTY)).count() == 0
 
