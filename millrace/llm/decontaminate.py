@@ -9,8 +9,8 @@ that contains it, and a window counts where its words (as a 64-bit hash) are tho
 The benchmark's fingerprints are broadcast in blocks of at most ``block_bytes`` of item text; a larger benchmark takes more
 blocks, one after another, never a larger broadcast. Documents aren't shuffled.
 
-Defined results: a null or empty text has no words, no hits and no items; items without words, null items and null ids
-(as texts) never match; repeated items count by their id once; repeated documents give a row each; other columns of
+Defined results: a null or empty text has no words, no hits and no items; items without words and null items
+never match; items with a null id hit words as others do, and count together as one item without a name; repeated items count by their id once; repeated documents give a row each; other columns of
 either table aren't read.
 """
 
@@ -32,6 +32,11 @@ WINDOW, KGRAM, BLOCK_BYTES = 10, 5, 16 << 20
 BROADCAST_ROWS = 1_000_000
 
 
+def _named(items: set[str | None]) -> list[str | None]:
+    """In order, the item without an id first."""
+    return sorted(items, key=lambda i: (i is not None, i or ""))
+
+
 def _winnow(h: np.ndarray, inside: np.ndarray, span: int) -> np.ndarray:
     """Which k-grams are the least of some ``span`` consecutive ones of one text."""
     n = len(h) - span + 1
@@ -49,7 +54,7 @@ def _winnow(h: np.ndarray, inside: np.ndarray, span: int) -> np.ndarray:
 class Prints:
     """A block of benchmark items as sorted arrays: kept fingerprints, window hashes with their items, short items."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW, k: int = KGRAM):
+    def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW, k: int = KGRAM):
         self.window, self.k = window, k
         names = [i for i, _ in items]
         words, ptr = word_hashes(*buffers(pa.array([t for _, t in items], pa.large_string())), ALNUM)
@@ -65,10 +70,10 @@ class Prints:
             self.short[n] = self._index(grams(words, n)[ptr[rows]], rows, names)
 
     @staticmethod
-    def _index(h: np.ndarray, row: np.ndarray, names: list[str]) -> tuple[np.ndarray, list[list[str]]]:
+    def _index(h: np.ndarray, row: np.ndarray, names: list[str | None]) -> tuple[np.ndarray, list[list[str | None]]]:
         order = np.argsort(h, kind="stable")
         keys, first = np.unique(h[order], return_index=True)
-        return keys, [sorted({names[r] for r in rows.tolist()}) for rows in np.split(row[order], first[1:])] if len(keys) else []
+        return keys, [_named({names[r] for r in rows.tolist()}) for rows in np.split(row[order], first[1:])] if len(keys) else []
 
 
 def _find(keys: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +91,7 @@ def _scan(p: Prints, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, dict[
     hits: dict[int, tuple[list, set]] = {}
     row = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
 
-    def note(starts: np.ndarray, length: int, found: np.ndarray, owners: list[list[str]]) -> None:
+    def note(starts: np.ndarray, length: int, found: np.ndarray, owners: list[list[str | None]]) -> None:
         for s, f in zip(starts.tolist(), found.tolist(), strict=True):
             r = int(row[s])
             spans, items = hits.setdefault(r, ([], set()))
@@ -125,7 +130,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _apply(docs: DataFrame, id_col: str, text_col: str, block: list[tuple[str, str]], window: int, k: int, keep_text: bool) -> DataFrame:
+def _apply(docs: DataFrame, id_col: str, text_col: str, block: list[tuple[str | None, str]], window: int, k: int, keep_text: bool) -> DataFrame:
     spark, again = docs.sparkSession, "_spans" in docs.columns
     sent = spark.sparkContext.broadcast(pickle.dumps(Prints(block, window, k)))
     kind = dict(docs.dtypes)[id_col]
@@ -143,7 +148,7 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, block: list[tuple[str, s
                 for r, (s, names) in hits.items():
                     old = spans[lo + r]
                     spans[lo + r] = [x for pair in merged([*s, *zip(old[::2], old[1::2], strict=True)]) for x in pair]
-                    items[lo + r] = sorted({*items[lo + r], *names})
+                    items[lo + r] = _named({*items[lo + r], *names})
             cols = [b.column("_id"), pa.array(np.concatenate(counts) if counts else [], pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
             names = ["_id", "_n", "_spans", "_items"]
             yield pa.RecordBatch.from_arrays([*cols, b.column("_text")] if keep_text else cols, [*names, "_text"] if keep_text else names)
@@ -153,13 +158,13 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, block: list[tuple[str, s
 
 
 def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, k: int = KGRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document: its id, ``n_words``, merged word intervals ``spans`` (start, end, start, end ...), ``items``."""
-    named = items.select(F.col(item_col).cast("string").alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
+    """One row per document: its id, ``n_words``, merged word intervals ``spans`` (start, end, start, end ...), ``items`` (null for those without an id)."""
+    named = items.select(F.col(item_col).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null")
     total = named.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     for n in range(blocks):
         # a block's items reach the driver: about block_bytes of text
-        block = [(r.i, r.t) for r in named.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == n).collect()]
+        block = [(r.i, r.t) for r in named.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == n).collect()]
         last = n == blocks - 1
         docs = _apply(docs, id_col, text_col, block, window, k, not last)
         if not last:

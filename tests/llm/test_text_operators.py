@@ -84,6 +84,34 @@ def test_decontamination(spark, odd, block_bytes):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(((i, t) for (i, t) in docs if not brute_hits([(i, t)], items)[0][5]), key=str)
 
 
+@pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 200])
+def test_decontamination_by_items_without_ids(spark, block_bytes):
+    rng = random.Random(13)
+    items = [(None, prose(rng, 30)), (None, prose(rng, 12)), (None, "short passage here"), (None, None), (5, prose(rng, 20))]
+    items.append((6, items[0][1]))
+    texts = [*(f"{prose(rng, 5)} {t} {prose(rng, 5)}" for _, t in items), f"{items[1][1]} {items[4][1]}", f"{items[1][1]} {items[2][1]}", prose(rng, 40)]
+    docs = list(enumerate(texts))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = sorted(map(tuple, decontaminate.decontaminate(frame(spark, docs), bench, block_bytes=block_bytes).collect()))
+    # as the query's SQL has it: items without an id count as one, and their names are left out of the digest
+    want = []
+    for i, n, n_hit, _, _, bad in brute_hits(docs, items):
+        named = sorted({str(k) for k, t in items if k is not None and t and t in texts[i]})
+        none = any(k is None and t and t in texts[i] for k, t in items)
+        want.append((i, n, n_hit, len(named) + none, hashlib.sha256(",".join(named).encode()).hexdigest(), bad))
+    assert got == sorted(want)
+    assert {r[0] for r in got if r[5]} == {0, 1, 2, 4, 5, 6, 7}
+    assert {r.doc_id for r in decontaminate.clean(frame(spark, docs), bench, block_bytes=block_bytes).collect()} == {3, 8}
+    duckdb = pytest.importorskip("duckdb")
+    from millrace.llm.queries import ORACLE
+
+    con = duckdb.connect()
+    for name, rows, kind in (("documents", docs, "doc_id BIGINT, text VARCHAR"), ("benchmark", items, "item_id BIGINT, text VARCHAR")):
+        con.execute(f"CREATE TABLE {name} ({kind})")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    assert got == sorted(con.execute(ORACLE["op1_decontaminate"]).fetchall())
+
+
 def test_decontamination_of_empty_tables(spark):
     none, bench = spark.createDataFrame([], EMPTY), spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.decontaminate(none, bench).count() == 0
