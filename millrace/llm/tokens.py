@@ -7,7 +7,7 @@ document ids into one file per range, in ascending order. A file is a row of sha
     rules (left, right);  expansion length of each rule;  the packed sequence
 
 Re-Pair replaces the most frequent pairs of neighbours by new symbols, round by round; a round takes up to ``ROUND_PAIRS`` pairs that share no
-symbol order (greedily, most frequent first), until no pair occurs ``MIN_COUNT`` times or ``ROUNDS`` are done. Pairs never cross the end of a document, so a document's
+symbol order (greedily, most frequent first), until no pair occurs ``MIN_COUNT`` times. Pairs never cross the end of a document, so a document's
 symbols are a contiguous piece: reading one needs its piece and the rules only.
 
 Words are encoded once per worker: white space separates the tokenizer's words, so a text is cut there and every distinct piece goes
@@ -19,6 +19,7 @@ other columns aren't read.
 
 from __future__ import annotations
 
+import itertools
 import os
 import struct
 import zlib
@@ -34,7 +35,7 @@ from . import files
 from .shared import range_of, shared_dir, staged, width
 from .words import buffers
 
-END_ID, SHARD_TOKENS, ROUNDS, ROUND_PAIRS, MIN_COUNT, KEPT_WORDS = 1, 1 << 20, 4, 1024, 24, 800_000
+END_ID, SHARD_TOKENS, ROUND_PAIRS, MIN_COUNT, KEPT_WORDS = 1, 1 << 20, 1024, 24, 800_000
 #: Words that go through the library in one call.
 JOINED = 64
 _MAGIC = b"RPG1"
@@ -103,19 +104,19 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def repair(seq: np.ndarray, vocabulary: int, ends: np.ndarray, rounds: int = ROUNDS, round_pairs: int = ROUND_PAIRS, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(packed sequence, rules, where each document ends in it). ``ends`` are the documents' ends in ``seq``."""
-    small = vocabulary + rounds * round_pairs <= 1 << 16  # then a pair fits in 32 bits, which sort faster
-    kind, shift = (np.uint32, 16) if small else (np.uint64, 32)
-    mask, never = (1 << shift) - 1, (1 << 2 * shift) - 1  # the greatest code is no pair: symbols don't reach it
-    seq = seq.astype(kind)
+def repair(seq: np.ndarray, vocabulary: int, ends: np.ndarray, rounds: int | None = None, round_pairs: int = ROUND_PAIRS, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(packed sequence, rules, where each document ends in it). ``ends`` are the documents' ends in ``seq``. ``rounds``: at most so many."""
     rules: list[np.ndarray] = []
     top = vocabulary
     last = np.zeros(len(seq), bool)
     last[ends - 1] = True
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         if len(seq) < 2:
             break
+        # while symbols fit in 16 bits a pair fits in 32, which sort faster
+        kind, shift = (np.uint32, 16) if top + round_pairs <= 1 << 16 else (np.uint64, 32)
+        mask, never = (1 << shift) - 1, (1 << 2 * shift) - 1  # the greatest code is no pair: symbols don't reach it
+        seq = seq.astype(kind, copy=not rules)
         pair = (seq[:-1] << kind(shift)) | seq[1:]
         pair[last[:-1]] = never
         ordered = np.sort(pair)

@@ -315,6 +315,22 @@ def test_repair_round_trip():
         assert n < 5000 or k > 10 or len(packed) < len(seq) / 2
 
 
+@pytest.mark.parametrize("vocabulary", [100, (1 << 16) - 1500])
+def test_repair_goes_on_until_no_pair_is_frequent(vocabulary):
+    rng = np.random.default_rng(3)
+    doc = np.append(rng.integers(2, 90, 1000), 1)
+    other = [np.append(rng.integers(2, 90, 2000), 1) for _ in range(30)]
+    docs = [*[doc] * 40, *other]
+    seq = np.concatenate(docs)
+    packed, rules, ends = tokens.repair(seq, vocabulary, np.cumsum([len(d) for d in docs]), round_pairs=64)
+    assert np.array_equal(tokens.expand(packed, rules, vocabulary), seq)
+    assert ends[:40].tolist() == list(range(1, 41)) and tokens.lengths(rules, vocabulary).max() == len(doc)
+    inside = np.ones(len(packed), bool)
+    inside[ends - 1] = False
+    _, counts = np.unique(np.stack([packed[:-1], packed[1:]], 1)[inside[:-1]].astype(np.int64), axis=0, return_counts=True)
+    assert counts.max() < tokens.MIN_COUNT
+
+
 def test_token_files(spark, odd, tmp_path):
     from tokenizers import Tokenizer
 
