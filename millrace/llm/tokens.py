@@ -7,11 +7,12 @@ document ids into one file per range, in ascending order. A file is a row of sha
     rules (left, right);  expansion length of each rule;  the packed sequence
 
 Re-Pair replaces the most frequent pairs of neighbours by new symbols, round by round; a round takes up to ``ROUND_PAIRS`` pairs that share no
-symbol order (greedily, most frequent first), until no pair occurs ``MIN_COUNT`` times. Pairs never cross the end of a document, so a document's
-symbols are a contiguous piece: reading one needs its piece and the rules only.
+symbol order (greedily, most frequent first), until no pair occurs often enough to pay for its rule: a rule costs two symbols and an expansion length in the
+file, an occurrence saves one symbol, and rules that need a wider symbol must save more than the wider sequence costs. Pairs never cross the
+end of a document, so a document's symbols are a contiguous piece: reading one needs its piece and the rules only. Symbols have as many bits as they need (16 or more).
 
 Words are encoded once per worker: white space separates the tokenizer's words, so a text is cut there and every distinct piece goes
-through the library once; a bounded table keeps them.
+through the library once; a bounded table keeps them. The file's reserved strings inside a text get their ids, as the library gives them.
 
 Defined results: a null text is empty and gives the end id alone; rows with null ids come first; equal ids come in order of their ids' bytes; no rows, no files;
 other columns aren't read.
@@ -19,8 +20,8 @@ other columns aren't read.
 
 from __future__ import annotations
 
-import itertools
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,10 +36,12 @@ from . import files
 from .shared import range_of, shared_dir, staged, width
 from .words import buffers
 
-END_ID, SHARD_TOKENS, ROUND_PAIRS, MIN_COUNT, KEPT_WORDS = 1, 1 << 20, 1024, 24, 800_000
+END_ID, SHARD_TOKENS, ROUND_PAIRS, KEPT_WORDS = 1, 1 << 20, 4096, 800_000
 #: Words that go through the library in one call.
 JOINED = 64
-_MAGIC = b"RPG1"
+_MAGIC = b"RPG2"
+#: Bits of an expansion length in the reckoning of a rule's cost.
+_LENGTH_BITS = 16
 _NULL = -(1 << 63)
 
 
@@ -53,11 +56,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        names = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.reserved = re.compile(b"|".join(map(re.escape, names)) if names else rb"(?!)").search
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -76,7 +80,8 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of UTF-8 texts as little-endian 32-bit integers."""
-        cut = [t.lower().split() for t in texts]  # bytes.lower() touches A-Z only, as the normaliser does again
+        # bytes.lower() touches A-Z only, as the normaliser does again; reserved strings are found before that, in their own case
+        cut = [[p if self.reserved(p) else p.lower() for p in t.split()] if self.reserved(t) else t.lower().split() for t in texts]
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
         known = self.known
@@ -104,15 +109,18 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def repair(seq: np.ndarray, vocabulary: int, ends: np.ndarray, rounds: int | None = None, round_pairs: int = ROUND_PAIRS, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(packed sequence, rules, where each document ends in it). ``ends`` are the documents' ends in ``seq``. ``rounds``: at most so many."""
+def symbol_bits(symbols: int) -> int:
+    """Bits of a symbol in a file where so many are in use."""
+    return max(16, (symbols - 1).bit_length())
+
+
+def repair(seq: np.ndarray, vocabulary: int, ends: np.ndarray, round_pairs: int = ROUND_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(packed sequence, rules, where each document ends in it). ``ends`` are the documents' ends in ``seq``."""
     rules: list[np.ndarray] = []
     top = vocabulary
     last = np.zeros(len(seq), bool)
     last[ends - 1] = True
-    for _ in itertools.count() if rounds is None else range(rounds):
-        if len(seq) < 2:
-            break
+    while len(seq) >= 2:
         # while symbols fit in 16 bits a pair fits in 32, which sort faster
         kind, shift = (np.uint32, 16) if top + round_pairs <= 1 << 16 else (np.uint64, 32)
         mask, never = (1 << shift) - 1, (1 << 2 * shift) - 1  # the greatest code is no pair: symbols don't reach it
@@ -122,22 +130,27 @@ def repair(seq: np.ndarray, vocabulary: int, ends: np.ndarray, rounds: int | Non
         ordered = np.sort(pair)
         first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         count = np.diff(np.append(first, len(ordered)))
-        often = np.flatnonzero((count >= min_count) & (ordered[first] != never))
+        bits = symbol_bits(top)
+        often = np.flatnonzero(count > 2 + _LENGTH_BITS // bits)  # (count - 2) * bits > _LENGTH_BITS
+        often = often[ordered[first[often]] != never]
         if not len(often):
             break
         best = often[np.argsort(-count[often], kind="stable")[: 4 * round_pairs]]
         # a symbol that ends one chosen pair begins no other, so occurrences of different pairs never overlap
-        begins, finishes, chosen = set(), set(), []
-        for p in ordered[first[best]].tolist():
+        begins, finishes, chosen, saved = set(), set(), [], 0
+        for p, n in zip(ordered[first[best]].tolist(), count[best].tolist(), strict=True):
             a, b = p >> shift, p & mask
             if a not in finishes and b not in begins and (a != b or (a not in begins and b not in finishes)):
                 begins.add(a)
                 finishes.add(b)
                 chosen.append(p)
+                saved += (n - 2) * bits - _LENGTH_BITS
                 if len(chosen) == round_pairs:
                     break
-        if not chosen:
-            break
+        if top + len(chosen) > 1 << bits and saved <= len(seq) + 2 * (top - vocabulary):  # one more bit a symbol costs more
+            chosen = chosen[: (1 << bits) - top]
+            if not chosen:
+                break
         chosen_ = np.sort(np.array(chosen, kind))
         left, right = chosen_ >> kind(shift), chosen_ & kind(mask)
         is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
@@ -187,34 +200,47 @@ def expand(packed: np.ndarray, rules: np.ndarray, vocabulary: int) -> np.ndarray
     return seq
 
 
+def _spelled(x: np.ndarray, bits: int) -> bytes:
+    """Symbols: their low 16 bits, then a plane for each higher bit."""
+    x = x.astype(np.uint64)
+    return b"".join([x.astype("<u2").tobytes(), *(np.packbits((x >> np.uint64(k)).astype(np.uint8) & 1).tobytes() for k in range(16, bits))])
+
+
 def shard_bytes(ids: list[int | None], docs: list[np.ndarray], vocabulary: int) -> bytes:
     """A shard of documents."""
     count = np.array([len(d) for d in docs], np.int64)
     packed, rules, ends = repair(np.concatenate(docs), vocabulary, np.cumsum(count))
-    small = "<u2" if vocabulary + len(rules) <= 1 << 16 else "<u4"
-    head = struct.pack("<4sIIIIB", _MAGIC, len(docs), len(rules), len(packed), vocabulary, int(small[-1]))
-    return b"".join([head, np.array([_NULL if i is None else i for i in ids], "<i8").tobytes(), ends.astype("<u4").tobytes(), count.astype("<u4").tobytes(), rules.astype(small).tobytes(), lengths(rules, vocabulary).astype("<u4").tobytes(), packed.astype(small).tobytes()])
+    bits, long_ = symbol_bits(vocabulary + len(rules)), lengths(rules, vocabulary)
+    wide = "<u2" if not len(long_) or long_.max() < 1 << 16 else "<u4"
+    head = struct.pack("<4sIIIIBB", _MAGIC, len(docs), len(rules), len(packed), vocabulary, bits, int(wide[-1]))
+    return b"".join([head, np.array([_NULL if i is None else i for i in ids], "<i8").tobytes(), ends.astype("<u4").tobytes(), count.astype("<u4").tobytes(), _spelled(rules.ravel(), bits), long_.astype(wide).tobytes(), _spelled(packed, bits)])
 
 
 class Shard:
     """A shard as read; ``document(k)`` decodes one document from its own piece."""
 
     def __init__(self, stream):
-        head = stream.read(21)
+        head = stream.read(22)
         self.empty = not head
         if self.empty:
             return
-        magic, n, n_rules, n_packed, self.vocabulary, wide = struct.unpack("<4sIIIIB", head)
+        magic, n, n_rules, n_packed, self.vocabulary, bits, wide = struct.unpack("<4sIIIIBB", head)
         if magic != _MAGIC:
             raise ValueError("not a token file")
 
         def array(count: int, kind: str) -> np.ndarray:
             return np.frombuffer(stream.read(count * np.dtype(kind).itemsize), kind, count)
 
+        def symbols(count: int) -> np.ndarray:
+            out = array(count, "<u2").astype(np.int64)
+            for k in range(16, bits):
+                out |= np.unpackbits(array(-(-count // 8), "u1"), count=count).astype(np.int64) << k
+            return out
+
         self.ids, self.ends, self.counts = array(n, "<i8"), array(n, "<u4").astype(np.int64), array(n, "<u4").astype(np.int64)
-        self.rules = array(2 * n_rules, f"<u{wide}").reshape(-1, 2).astype(np.int64)
-        self.lengths = array(n_rules, "<u4")
-        self.packed = array(n_packed, f"<u{wide}")
+        self.rules = symbols(2 * n_rules).reshape(-1, 2)
+        self.lengths = array(n_rules, f"<u{wide}")
+        self.packed = symbols(n_packed)
 
     def document(self, k: int) -> np.ndarray:
         return expand(self.packed[self.ends[k - 1] if k else 0 : self.ends[k]], self.rules, self.vocabulary)

@@ -306,7 +306,7 @@ def test_repair_round_trip():
     for n, k in ((1, 3), (50, 2), (5000, 4), (20_000, 40), (3000, 1)):
         docs = [np.append(rng.integers(2, 2 + k, int(m)), 1) for m in rng.integers(0, n + 1, 5)]
         seq = np.concatenate(docs)
-        packed, rules, ends = tokens.repair(seq, 100, np.cumsum([len(d) for d in docs]), min_count=4)
+        packed, rules, ends = tokens.repair(seq, 100, np.cumsum([len(d) for d in docs]))
         assert np.array_equal(tokens.expand(packed, rules, 100), seq)
         for d, a, b in zip(docs, [0, *ends], ends, strict=False):
             assert np.array_equal(tokens.expand(packed[a:b], rules, 100), d)
@@ -328,7 +328,10 @@ def test_repair_goes_on_until_no_pair_is_frequent(vocabulary):
     inside = np.ones(len(packed), bool)
     inside[ends - 1] = False
     _, counts = np.unique(np.stack([packed[:-1], packed[1:]], 1)[inside[:-1]].astype(np.int64), axis=0, return_counts=True)
-    assert counts.max() < tokens.MIN_COUNT
+    bits = tokens.symbol_bits(vocabulary + len(rules))
+    pays = (counts - 2) * bits > 16
+    # no rule pays for itself any more, or all symbols of this width are in use
+    assert not pays.any() or vocabulary + len(rules) == 1 << bits
 
 
 def test_token_files(spark, odd, tmp_path):
@@ -336,10 +339,11 @@ def test_token_files(spark, odd, tmp_path):
 
     path = P.path("word_bpe_49k.json")
     docs = [x for x in odd if x[0] is not None] + families(6, (40,), (200,)) + [(9000, "<|endoftext|> it's don't. 'll 12.5 a.b, ...,. ΣΑΣ İx ﬁ Å")]
+    docs += [(9001, "<|endoftext|> hi"), (9002, "Ab<|startoftext|>Cd<|ENDOFTEXT|> <|endoftext|>.<|endoftext|>, x"), (9003, "<|endoftext|"), (9004, "\n<|startoftext|>\n")]
     written = tokens.write(frame(spark, docs), shared_dir(spark), path, shard_tokens=500)
     got = sorted(map(tuple, tokens.read(written).collect()), key=lambda r: r[1])
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    assert t.encode("<|endoftext|> hi", add_special_tokens=False).ids == [49407, 1883]
     at, want = 0, []
     for i, text in sorted(docs, key=lambda d: (d[0], d[1] or "")):
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
