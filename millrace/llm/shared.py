@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,14 +20,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new path below the session's checkpoint folder; a temporary folder is set only where none is set (tests)."""
+    """A new path below the session's checkpoint folder. Where none is set, a temporary folder is used in local mode only (tests); elsewhere that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def quoted(name: str) -> str:
+    """A column's name as SQL and ``F.col`` take it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free(taken: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted column names, with underscores added until none is among those taken (upper and lower case count as equal)."""
+    used, out = {t.lower() for t in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, and its lineage ends there."""
     spark = df.sparkSession
@@ -35,6 +54,40 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_digest(id_: Column, text: Column) -> Column:
+    """128 bits that tell rows apart by id and text; a null id is one of its own, a null text is empty."""
+    return F.unhex(F.md5(F.concat(F.coalesce(id_.cast("string"), F.lit("")), F.lit("|"), id_.isNull().cast("string"), F.md5(F.coalesce(text, F.lit(""))))))
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Deletes the folders of staged tables that nothing reads any more; one that is gone already is passed over."""
+    for df in frames:
+        spark = df.sparkSession
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+#: Rows of one key from which on it is a hot key, at least; and how many hot keys there are at most.
+HOT_ROWS, HOT_KEYS = 1000, 100_000
+
+
+def looked_up(rows: DataFrame, table_: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table_``, in which each key is once; ``how`` is inner or left. Both should be staged: they are read twice.
+
+    A key of a large part of the rows is joined by broadcast, so no task gets all its rows: such keys have over 1 / HOT_KEYS of the
+    rows each, so there are HOT_KEYS at most, whatever the size. All other keys are joined as Spark chooses.
+    """
+    few = max(HOT_ROWS, rows.count() // HOT_KEYS)
+    hot = staged(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > few).select(*keys))
+    if not hot.limit(1).count():
+        return rows.join(table_, keys, how)
+    named = F.broadcast(hot)
+    of_hot = table_.join(named, keys, "left_semi")
+    cold = rows.join(named, keys, "left_anti").join(table_, keys, how)
+    return rows.join(named, keys, "left_semi").join(F.broadcast(of_hot), keys, how).unionByName(cold)
+
+
 def width(spark: SparkSession) -> int:
     """How many partitions a shuffle has in this session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -47,6 +100,8 @@ def filled(column: pa.Array) -> pa.Array:
 
 def range_of(rows: DataFrame, id_col: str, ranges: int) -> Column:
     """The range, by approximate quantiles, that an integer id lies in: a balanced tree of comparisons. Null ids are in the first one."""
+    if dict(rows.dtypes)[id_col] not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{id_col}: ids must be integers here, not {dict(rows.dtypes)[id_col]}")
     known = rows.where(F.col(id_col).isNotNull())
     bounds = sorted({int(x) for x in known.approxQuantile(id_col, [k / ranges for k in range(1, ranges)], 0.25 / ranges)}) if ranges > 1 else []
 
@@ -54,6 +109,6 @@ def range_of(rows: DataFrame, id_col: str, ranges: int) -> Column:
         if lo == hi:
             return str(lo)
         mid = (lo + hi) // 2
-        return f"IF(`{id_col}` < {bounds[mid]}L, {tree(lo, mid)}, {tree(mid + 1, hi)})"
+        return f"IF({quoted(id_col)} < {bounds[mid]}L, {tree(lo, mid)}, {tree(mid + 1, hi)})"
 
     return F.when(F.col(id_col).isNull(), F.lit(0)).otherwise(F.expr(tree(0, len(bounds))))

@@ -83,12 +83,11 @@ def slices(at: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]
         lo = min(hi, n)
 
 
-def word_hashes(raw: np.ndarray, at: np.ndarray, lexer: Lexer) -> tuple[np.ndarray, np.ndarray]:
-    """Every word's hash in order, and at which word each text begins (and the last one ends)."""
+def word_places(raw: np.ndarray, at: np.ndarray, lexer: Lexer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word begins and ends (exclusive), in order, and at which word each text begins (and the last one ends)."""
     n = len(raw)
-    rows = len(at) - 1
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(rows + 1, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
     word = lexer.is_word[raw]
     start, end = word.copy(), word.copy()
     start[1:] &= ~word[:-1]
@@ -97,13 +96,25 @@ def word_hashes(raw: np.ndarray, at: np.ndarray, lexer: Lexer) -> tuple[np.ndarr
     start[edge] = word[edge]
     edge = at[1:][at[1:] > 0] - 1
     end[edge] = word[edge]
-    first, last = np.flatnonzero(start), np.flatnonzero(end)
+    first = np.flatnonzero(start)
+    return first, np.flatnonzero(end) + 1, np.searchsorted(first, at)
+
+
+def place_hashes(raw: np.ndarray, first: np.ndarray, end: np.ndarray, lexer: Lexer) -> np.ndarray:
+    """The hash of each word."""
+    n = len(raw)
     _powers(n + 1)
     value = lexer.value[raw]
     sums = np.zeros(n + 1, np.uint64)
     np.multiply(value, _pow[:n], out=value)
     np.cumsum(value, out=sums[1:])
-    return mix((sums[last + 1] - sums[first]) * _inv[first]), np.searchsorted(first, at)
+    return mix((sums[end] - sums[first]) * _inv[first])
+
+
+def word_hashes(raw: np.ndarray, at: np.ndarray, lexer: Lexer) -> tuple[np.ndarray, np.ndarray]:
+    """Every word's hash in order, and at which word each text begins (and the last one ends)."""
+    first, end, ptr = word_places(raw, at, lexer)
+    return place_hashes(raw, first, end, lexer) if len(first) else np.zeros(0, np.uint64), ptr
 
 
 def grams(words: np.ndarray, k: int) -> np.ndarray:
