@@ -9,7 +9,8 @@ Spans are in code points, end exclusive: texts are cut at the matches, and lengt
 is shuffled is one row per (secret, owner, repository), pre-aggregated.
 
 Defined results: a null or empty text has no spans; a null owner counts as one owner, a null id as one repository; repeated rows each get
-a row and count once; other columns aren't read, and are kept by ``redact``.
+a row and count once; rows that share an id are told apart by their texts (128-bit digests); an empty table gives no rows; other columns aren't read, whatever
+their names, and are kept by ``redact``.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import staged
+from .shared import free, looked_up, quoted, row_digest, staged
 
 
 def _any_case(word: str) -> str:
@@ -45,7 +46,7 @@ EXTRA = (
     ("pem", _PEM, 1, 16),
 )
 OWNERS, REPOSITORIES, BROADCAST_ROWS = 3, 3, 200_000
-_SPAN = "array<struct<start:bigint,number:int,end:bigint,kind:string,secret:bigint>>"
+_SPAN = "array<struct<start:bigint,number:int,end:bigint,kind:string,secret:string>>"
 
 
 def _secret(kind: str, secret: Column) -> Column:
@@ -58,30 +59,26 @@ def found(text: Column, number: int, kind: str, pattern: str, group: int, least:
     p = F.lit(pattern)
     whole = F.regexp_extract_all(text, p, F.lit(0))
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole))
-    zipped = F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), F.regexp_extract_all(text, p, F.lit(group)).alias("secret"))
+    zipped = F.arrays_zip(gaps.alias("gap"), whole.alias("whole"))
     first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("out"))
 
     def step(acc: Column, z: Column) -> Column:
         start = acc["at"] + F.char_length(z["gap"])
         end = start + F.char_length(z["whole"])
-        secret = _secret(kind, z["secret"])
-        span = F.struct(start.alias("start"), F.lit(number).alias("number"), end.alias("end"), F.lit(kind).alias("kind"), F.xxhash64(secret).alias("secret"))
+        secret = _secret(kind, F.regexp_extract(z["whole"], pattern, group) if group else z["whole"])
+        span = F.struct(start.alias("start"), F.lit(number).alias("number"), end.alias("end"), F.lit(kind).alias("kind"), F.md5(secret).alias("secret"))
         out = F.when(F.char_length(secret) >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
         return F.struct(end.alias("at"), out.alias("out"))
 
     return F.when(text.rlike(pattern), F.aggregate(zipped, first, step, lambda acc: acc["out"])).otherwise(F.array().cast(_SPAN))
 
 
-def _key(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(id_col), F.col(text_col))
-
-
 def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str) -> DataFrame:
     """(row key, id, owner, base spans, extra spans) of each document, without its text."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
     base = [found(text, n, *k) for n, k in enumerate(KINDS)]
     extra = [found(text, n, *k) for n, k in enumerate(EXTRA, len(KINDS))]
-    rows = docs.select(_key(id_col, text_col).alias("row"), F.col(id_col).alias("i"), F.col(owner_col).cast("string").alias("owner"), F.array_sort(F.concat(*base)).alias("base"), F.array_sort(F.concat(*extra)).alias("extra"))
+    rows = docs.select(row_digest(F.col(quoted(id_col)), F.col(quoted(text_col))).alias("row"), F.col(quoted(id_col)).alias("i"), F.col(quoted(owner_col)).cast("string").alias("owner"), F.array_sort(F.concat(*base)).alias("base"), F.array_sort(F.concat(*extra)).alias("extra"))
     return staged(rows)
 
 
@@ -94,15 +91,16 @@ def ownership(rows: DataFrame) -> DataFrame:
 
 def _judged(rows: DataFrame, owners: int, repositories: int) -> DataFrame:
     """(row, shared) of rows with candidates: the secrets of theirs that are widely copied."""
-    wide = ownership(rows).where((F.col("owners") >= owners) & (F.col("repositories") >= repositories)).select("secret")
+    wide = staged(ownership(rows).where((F.col("owners") >= owners) & (F.col("repositories") >= repositories)).select("secret"))
     held = rows.select("row", F.explode(F.array_distinct(F.transform(F.concat("base", "extra"), lambda s: s["secret"]))).alias("secret")).distinct()
-    return held.join(wide, "secret").groupBy("row").agg(F.collect_set("secret").alias("shared"))
+    found = held.join(F.broadcast(wide), "secret") if wide.count() <= BROADCAST_ROWS else looked_up(staged(held), wide, ["secret"])
+    return staged(found.groupBy("row").agg(F.collect_set("secret").alias("shared")))
 
 
 def _classified(docs: DataFrame, id_col: str, text_col: str, owner_col: str, owners: int, repositories: int) -> DataFrame:
     rows = candidates(docs, id_col, text_col, owner_col)
-    none = F.array().cast("array<bigint>")
-    some = rows.where("size(base) + size(extra) > 0").join(_judged(rows, owners, repositories), "row", "left").withColumn("shared", F.coalesce("shared", none))
+    none = F.array().cast("array<string>")
+    some = looked_up(rows.where("size(base) + size(extra) > 0"), _judged(rows, owners, repositories), ["row"], "left").withColumn("shared", F.coalesce("shared", none))
     return some.unionByName(rows.where("size(base) + size(extra) = 0").withColumn("shared", none))
 
 
@@ -131,15 +129,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", owners: int = OWNERS, repositories: int = REPOSITORIES, mask: str = "[secret]") -> DataFrame:
     """``docs`` with every live-looking secret's span replaced by ``mask``; widely copied examples stay."""
     rows = _classified(docs, id_col, text_col, owner_col, owners, repositories)
-    cut = rows.where("size(base) + size(extra) > 0").select(F.col("row").alias("_row"), F.array_sort(_live(F.concat("base", "extra"))).alias("_cut")).where("size(_cut) > 0").dropDuplicates(["_row"])
+    row, spans = free(docs.columns, "row", "cut")
+    cut = rows.where("size(base) + size(extra) > 0").select(F.col("row").alias(row), F.array_sort(_live(F.concat("base", "extra"))).alias(spans)).where(F.size(spans) > 0).dropDuplicates([row])
     cut = staged(cut)
-    text = F.col(text_col)
+    text = F.col(quoted(text_col))
     first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
         more = F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int")), F.when(s["start"] >= acc["at"], mask).otherwise(""))
         return F.struct(F.greatest(s["end"], acc["at"]).alias("at"), more.alias("out"))
 
-    new = F.aggregate("_cut", first, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2**31 - 1))))
-    joined = docs.withColumn("_row", _key(id_col, text_col)).join(F.broadcast(cut) if cut.count() <= BROADCAST_ROWS else cut, "_row", "left")
-    return joined.select(*(F.coalesce(new, text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
+    new = F.aggregate(spans, first, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2**31 - 1))))
+    joined = docs.withColumn(row, row_digest(F.col(quoted(id_col)), text)).join(F.broadcast(cut) if cut.count() <= BROADCAST_ROWS else cut, row, "left")
+    return joined.select(*(F.coalesce(new, text).alias(c) if c == text_col else F.col(quoted(c)) for c in docs.columns))
