@@ -4,15 +4,15 @@ Paragraphs are a text's lines, cut further after words whose hash says so (about
 has several too. Each paragraph's 64-bit digest (with its number of occurrences so far, so repeats count) is put in ``HASHES`` cells of a sketch; a cell
 holds how many it got, and the XOR of the digests and of check codes. Sketches of two versions subtract cell by cell; what they share cancels, and
 peeling cells that hold one digest recovers the differing digests. Where peeling stops short, both are sketched again with
-twice the cells, until it succeeds. The likeness is shared / all paragraphs.
+twice the cells, until it succeeds (or, should check codes collide, until there are ``MOST`` cells a digest; then the digests themselves are compared). The likeness is shared / all paragraphs.
 
 The fingerprint written is the sketch of ``CELLS`` cells with the number of paragraphs and a digest of the whole text, in hex; equal texts have equal ones.
 
-The next document is the row after in order of id: rows are dealt by ranges of ids, whose bounds are quantiles, each range also gets the first row of
-the next one, and is read as a sorted stream. No window over all rows, and no range is held in memory.
+The next document is the row after in order of id: rows are dealt by ranges of ids, whose bounds are quantiles, as many as the texts' bytes need, one to a partition; each range
+also gets the first row of the next one, and is read as a sorted stream. No window over all rows, and no range is held in memory.
 
 Defined results: a null text is empty; two texts without paragraphs are alike by 1.0; rows with null ids come first; equal ids come in order of their texts;
-a single row is its own next one; an empty table gives no rows; other columns aren't read.
+a single row is its own next one; an empty table gives no rows; ids must be integers (any other type is a TypeError); other columns aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import range_of, width
+from .shared import quoted, range_of, width
 from .words import SPACED, mix, word_hashes
 
-CELLS, HASHES, CUT = 24, 3, 8
+CELLS, HASHES, CUT, MOST, RANGE_BYTES = 24, 3, 8, 64, 128 << 20
 _SALTS = [np.uint64(x) for x in (0x9AE16A3B2F90404F, 0xC949C7DEFEED5EED, 0xB492B66FBE98F273)]
 
 
@@ -122,6 +122,11 @@ def likeness(a: np.ndarray, pa_: np.ndarray, b: np.ndarray, pb: np.ndarray, cell
     na, nb = np.diff(pa_), np.diff(pb)
     out, todo = np.ones(rows), np.flatnonzero((na > 0) | (nb > 0))
     while len(todo):
+        if cells > CELLS + MOST * int((na + nb)[todo].max()):
+            for r in todo.tolist():
+                shared = len(np.intersect1d(a[pa_[r] : pa_[r + 1]], b[pb[r] : pb[r + 1]], assume_unique=True))
+                out[r] = shared / (na[r] + nb[r] - shared)
+            break
         sub = [_rows(d, p, todo) for d, p in ((a, pa_), (b, pb))]
         one, two = (sketch(d, p, cells) for d, p in sub)
         only_a, only_b, ended = peel(one[0] - two[0], one[1] ^ two[1], one[2] ^ two[2])
@@ -150,14 +155,14 @@ def by_ranges(docs: DataFrame, id_col: str, text_col: str, ranges: int) -> DataF
 
     The last range ends with the first row of all. What the driver gets is one bound and one first id per range.
     """
-    rows = docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    rows = docs.select(F.col(quoted(id_col)).alias("i"), F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("t"))
     dealt = rows.withColumn("bucket", range_of(rows, "i", ranges))
     firsts = sorted((r.bucket, r.nulls, r.low) for r in dealt.groupBy("bucket").agg(F.min("i").alias("low"), F.max(F.col("i").isNull()).alias("nulls")).collect())
     table = [(bucket, None if nulls else low, firsts[k - 1][0]) for k, (bucket, nulls, low) in enumerate(firsts)]
     first = docs.sparkSession.createDataFrame(table, f"bucket int, low {dict(rows.dtypes)['i']}, before int")
     tails = dealt.join(F.broadcast(first), "bucket").where(F.col("i").eqNullSafe(F.col("low"))).select("i", "t", F.col("before").alias("bucket"), F.lit(True).alias("tail"))
     both = dealt.withColumn("tail", F.lit(False)).unionByName(tails)
-    return both.repartition(ranges, "bucket").sortWithinPartitions("bucket", "tail", "i", "t").select("bucket", "i", "t", "tail")
+    return both.repartitionById(ranges, F.col("bucket")).sortWithinPartitions("bucket", "tail", "i", "t").select("bucket", "i", "t", "tail")
 
 
 def edited(text: str, following: str) -> str:
@@ -170,7 +175,8 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", at_
     """A row per document: fingerprints of it and its edited text, and its likeness to that and to the next document."""
     kind = dict(docs.dtypes)[id_col]
     names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    dealt = by_ranges(docs, id_col, text_col, 2 * width(docs.sparkSession))
+    size = docs.agg(F.sum(F.octet_length(F.col(quoted(text_col))))).first()[0] or 0
+    dealt = by_ranges(docs, id_col, text_col, max(2 * width(docs.sparkSession), -(-size // RANGE_BYTES)))
 
     def made(ids: list, texts: list[str], type_) -> pa.RecordBatch:
         own = [t.encode() for t in texts]
