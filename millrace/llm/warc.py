@@ -3,13 +3,14 @@
 Writing: an HTTP response with chunked transfer framing per page. Of pages with equal payloads of at least ``REVISIT_BYTES``, the one with the
 largest id is the response and the others are revisit records that refer to it. A block longer than ``segment_bytes`` goes on in
 continuation records, which carry their origin's id and their number, the last one also the total length. Every record is a gzip member.
+A page's record id follows from its id and payload, so a revisit names the record that it refers to.
 
 Reading: archives are parsed as streams, record by record. Unsegmented records are complete at once; segments are grouped by
-their origin and sorted by number across all archives, their total length is verified, the chunked framing is decoded, and
-the payload's digest is compared with the record's.
+their origin (and the copy of it, where a record was written twice) and sorted by number across all archives, their total length is verified, the chunked framing
+is decoded, and the payload's digest is compared with the record's.
 
 Defined results: a null payload is empty; a null url leaves the header out; a null page id is kept as null and is a response; rows that repeat the
-largest id are each the response. Missing, repeated or short segments and wrong digests raise an error.
+largest id are each the response; an empty table gives no archives and no rows; other columns aren't read, whatever their names. Missing, repeated or short segments and wrong digests raise an error.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import files
-from .shared import shared_dir, staged, width
+from .shared import looked_up, quoted, shared_dir, staged, width
 
 REVISIT_BYTES, SEGMENT_BYTES, CHUNK_BYTES, BROADCAST_ROWS = 1000, 32 << 10, 8 << 10, 200_000
 DATE = "2024-01-01T00:00:00Z"
@@ -70,36 +71,43 @@ def _base32(hex_digest: str) -> str:
     return "sha1:" + base64.b32encode(bytes.fromhex(hex_digest)).decode()
 
 
+def record_id(page: int | None, digest: str) -> str:
+    """The id of a page's record; that of a page without an id is random."""
+    return f"<urn:uuid:{uuid.uuid4() if page is None else uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}:{digest}')}>"
+
+
 def records(page: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, segment_bytes: int) -> Iterator[bytes]:
     """The records of a page."""
-    name = f"<urn:uuid:{uuid.uuid4()}>"
-    common = [("WARC-Record-ID", name), ("WARC-Date", DATE), ("WARC-Payload-Digest", _base32(digest)), ("X-Payload-Length", str(len(payload)))]
+    name, copy = record_id(page, digest), uuid.uuid4().hex
+    target = [] if url is None else [("WARC-Target-URI", re.sub(r"[\x00-\x20]", lambda m: f"%{ord(m[0]):02X}", url))]
+    common = [("WARC-Record-ID", name), ("WARC-Date", DATE), ("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", _base32(digest)), ("X-Payload-Length", str(len(payload))), *target]
     if page is not None:
         common.append(("X-Page-Id", str(page)))
-    if url is not None:
-        common.append(("WARC-Target-URI", re.sub(r"[\x00-\x20]", lambda m: f"%{ord(m[0]):02X}", url)))
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
     if refers_to is not None:
-        yield _record([("WARC-Type", "revisit"), *common, ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("X-Refers-To-Page-Id", str(refers_to))], head)
+        refers = [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id(refers_to, digest)), ("WARC-Refers-To-Date", DATE), ("X-Refers-To-Page-Id", str(refers_to))]
+        yield _record([("WARC-Type", "revisit"), *common, *refers], head)
         return
     block = head + chunked(payload)
     if len(block) <= segment_bytes:
         yield _record([("WARC-Type", "response"), *common], block)
         return
     pieces = [block[i : i + segment_bytes] for i in range(0, len(block), segment_bytes)]
-    yield _record([("WARC-Type", "response"), *common, ("WARC-Segment-Number", "1")], pieces[0])
+    yield _record([("WARC-Type", "response"), *common, ("X-Copy", copy), ("WARC-Segment-Number", "1")], pieces[0])
     for n, piece in enumerate(pieces[1:], 2):
         last = [("WARC-Segment-Total-Length", str(len(block)))] if n == len(pieces) else []
-        yield _record([("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", DATE), ("WARC-Segment-Origin-ID", name), ("WARC-Segment-Number", str(n)), *last], piece)
+        own = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", DATE), *target, ("X-Copy", copy)]
+        yield _record([*own, ("WARC-Segment-Origin-ID", name), ("WARC-Segment-Number", str(n)), *last], piece)
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """Archives of all pages below the folder: (path, records), a row for each archive."""
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("body"))
+    rows = pages.select(F.col(quoted(id_col)).cast("long").alias("page_id"), F.col(quoted(url_col)).alias("url"), F.coalesce(F.col(quoted(html_col)), F.lit("")).cast("binary").alias("body"))
     rows = rows.withColumn("digest", F.sha1("body")).withColumn("size", F.octet_length("body"))
     best = rows.where(F.col("size") >= REVISIT_BYTES).groupBy("digest").agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("digest", "first")
     best = staged(best)
-    dealt = rows.join(F.broadcast(best) if best.count() <= BROADCAST_ROWS else best, "digest", "left")
+    # beyond that size the payloads that have copies are dealt by digest, a digest of very many rows still by broadcast
+    dealt = rows.join(F.broadcast(best), "digest", "left") if best.count() <= BROADCAST_ROWS else looked_up(rows, best, ["digest"], "left")
     dealt = dealt.select("page_id", "url", "body", "digest", F.when(F.col("page_id") < F.col("first"), F.col("first")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +193,7 @@ def read(archives: DataFrame) -> DataFrame:
                         if kind == "continuation" or "warc-segment-number" in headers:
                             origin = headers["warc-segment-origin-id" if kind == "continuation" else "warc-record-id"]
                             total = headers.get("warc-segment-total-length")
-                            parts.append((origin, int(headers["warc-segment-number"]), int(total) if total else None, None if kind == "continuation" else "\n".join(f"{k}: {v}" for k, v in headers.items()), block))
+                            parts.append((f"{origin} {headers.get('x-copy', '')}", int(headers["warc-segment-number"]), int(total) if total else None, None if kind == "continuation" else "\n".join(f"{k}: {v}" for k, v in headers.items()), block))
                             held += len(block)
                         elif kind in ("response", "revisit"):
                             done.append(_whole(headers, block))

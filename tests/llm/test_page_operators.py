@@ -8,7 +8,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, files, secrets, urls, warc
+from millrace.llm import chat, files, secrets, shared, urls, warc
 from millrace.llm.shared import shared_dir
 
 # urls -----------------------------------------------------------------------------------------------------------------------------------------
@@ -134,6 +134,27 @@ def test_segments_from_many_archives(spark):
         warc.read(archives.where(F.col("path") != out[1][0])).collect()
 
 
+def test_archives_have_standard_headers(spark):
+    rows = [(k, f"http://a/{k}", h) for k, h in enumerate(("x" * 20_000, "x" * 20_000, "y" * 9000, "z", None))] + [(2, "http://a/2", "y" * 9000)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = [(h, b) for r in warc.write(df, shared_dir(spark), segment_bytes=4000).collect() for h, b in warc.parse(files.read(r.path))]
+    by_kind = {k: [h for h, _ in found if h["warc-type"] == k] for k in ("response", "revisit", "continuation", "warcinfo")}
+    assert (len(by_kind["response"]), len(by_kind["revisit"])) == (5, 1) and by_kind["continuation"]
+    assert all(h["content-type"] == "application/http; msgtype=response" for k in ("response", "revisit") for h in by_kind[k])
+    assert all(h["warc-target-uri"].startswith("http://a/") for k in ("response", "revisit", "continuation") for h in by_kind[k])
+    assert by_kind["revisit"][0]["warc-refers-to"] == next(h["warc-record-id"] for h in by_kind["response"] if h["x-page-id"] == "1")
+    whole = warc.read(spark.createDataFrame([(r.path,) for r in warc.write(df, shared_dir(spark), segment_bytes=4000).collect()], "path string"))
+    assert sorted(map(tuple, whole.collect()), key=str) == brute_pages(rows)
+
+
+def test_revisits_of_very_many_payloads(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(shared, "HOT_ROWS", 20)
+    rows = [(k, "u", f"{k % 7}" * 1500 if k % 2 else "hot" * 500) for k in range(120)] + [(200, "u", "single" * 300), (None, None, "hot" * 500)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    assert sorted(map(tuple, warc.round_trip(df).collect()), key=str) == brute_pages(rows)
+
+
 def test_chunks():
     for n in (0, 1, 8191, 8192, 8193, 50_000):
         assert warc.dechunked(warc.chunked(b"a\r\n" * n)) == b"a\r\n" * n
