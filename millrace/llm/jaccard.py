@@ -12,13 +12,17 @@ least. A block is joined by a 64-bit code of its bits (the XOR of a code for eac
 2. The classes left are joined again. A bucket (classes that share a block) isn't expanded to pairs: its members are paired with one pivot,
    the one with the fewest rare n-grams, which in a family of edited copies is near the original. Pairs that agree in E+1 blocks are verified
    on their texts.
-3. Two members of a bucket that aren't both linked with its pivot may still be linked. Such pairs are kept only where they lie in different components
-   and their dense parity sketches' Hamming distance leaves a link possible, and are verified too.
+3. Two members of a pivot's buckets may still be linked where one lies outside the pivot's component. Such pairs are kept only where they lie in different components
+   and their dense parity sketches' Hamming distance leaves a link possible, and are verified too. A pivot's members are dealt into squares of ``SIDE`` by
+   ``SIDE`` members, so no task compares those of a whole family.
+
+Codes are dealt to as many partitions as the session has; a partition of more than ``BIN_BYTES`` of codes is split further and goes through memory bin by bin.
 
 Links, components and sets stay on the executors; what is broadcast is the table of n-gram frequencies, of fixed size, and tables of checked size.
 
 Defined results: a null or empty text has no n-grams, is linked with nothing and is its own component; repeated rows each
-get a row and link with each other by their text; rows with a null id get a row and make no links of their own; other columns aren't read.
+get a row and link with each other by their text; rows with a null id get a row and make no links of their own; an empty table gives no rows; other columns aren't read,
+whatever their names. ``representatives`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import staged, width
+from .shared import free, looked_up, quoted, row_digest, staged, width
 from .words import SPACED, buffers, grams, mix, slices, word_hashes
 
 SHINGLE, PERCENT, BAND = 5, 80, 1.6
@@ -40,8 +44,8 @@ COUNTERS, PARTS = 1 << 18, 16
 _SHIFT = np.uint64(64 - 18)
 #: Text whose codes are packed together, and bytes of codes that are sorted together.
 PACK_BYTES, BIN_BYTES = 8 << 20, 16 << 20
-#: Members verified against one text by one task at most.
-FAN = 1024
+#: Members verified against one text by one task at most; members of a family whose sketches one task compares with as many others.
+FAN, SIDE = 1024, 256
 #: Ids in a broadcast semi-join; more are joined by a shuffle.
 SEMI_IDS = 1_000_000
 
@@ -247,37 +251,86 @@ def _keys(docs: DataFrame, freq: np.ndarray, n: int, percent: int, bins: int) ->
             for part_lo, part_hi in slices(at, PACK_BYTES):
                 yield from packed(raw[at[part_lo] : at[part_hi]], at[part_lo : part_hi + 1] - at[part_lo])
 
-    return docs.mapInArrow(run, "bin int, sid binary, odd binary, band binary, least binary, many binary, keys binary")
+    return docs.mapInArrow(run, _PACKED)
+
+
+_PACKED = "bin int, sid binary, odd binary, band binary, least binary, many binary, keys binary"
+_TYPES = (np.int64, np.uint8, np.uint8, np.uint32, np.uint32, np.uint8)
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(key, sid, band, least) of the blocks that two or more classes share, sorted by key and then by the pivot's order."""
-    bins: dict[int, list] = {}
+    """(key, sid, band, least) of the blocks that two or more classes share, sorted by key and then by the pivot's order. Rows come bin by bin."""
+    number, held = None, []
     for b in batches:
         for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            bins.setdefault(r[0], []).append(r[1:])
-    for k in list(bins):
-        sid, odd, band, least, many, five = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*bins.pop(k), strict=True), (np.int64, np.uint8, np.uint8, np.uint32, np.uint32, np.uint8), strict=True))
-        wide = np.zeros((len(five) // 5, 8), np.uint8)
-        wide[:, :5] = five.reshape(-1, 5)
-        key = wide.view(np.uint64).ravel()
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        same = key[1:] == key[:-1]
-        held = np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(key) else np.zeros(0, bool)
-        order, key = order[held], key[held]
-        if not len(key):
-            continue
-        who = np.repeat(np.arange(len(sid)), many)[order]
-        order = np.lexsort((sid[who], odd[who], key))
-        key, who = key[order], who[order]
-        once = np.concatenate([[True], (key[1:] != key[:-1]) | (sid[who][1:] != sid[who][:-1])])
-        key, who = key[once], who[once]
-        same = key[1:] == key[:-1]
-        held = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        key, who = key[held], who[held]
-        if len(key):
-            yield key, sid[who], band[who].astype(np.int64), least[who].astype(np.int64)
+            if r[0] != number:
+                if held:
+                    yield from _met_in(held)
+                number, held = r[0], []
+            held.append(r[1:])
+    if held:
+        yield from _met_in(held)
+
+
+def _met_in(rows: list[tuple]) -> Iterator[tuple[np.ndarray, ...]]:
+    sid, odd, band, least, many, five = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*rows, strict=True), _TYPES, strict=True))
+    rows.clear()
+    wide = np.zeros((len(five) // 5, 8), np.uint8)
+    wide[:, :5] = five.reshape(-1, 5)
+    key = wide.view(np.uint64).ravel()
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    same = key[1:] == key[:-1]
+    held = np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(key) else np.zeros(0, bool)
+    order, key = order[held], key[held]
+    if not len(key):
+        return
+    who = np.repeat(np.arange(len(sid)), many)[order]
+    order = np.lexsort((sid[who], odd[who], key))
+    key, who = key[order], who[order]
+    once = np.concatenate([[True], (key[1:] != key[:-1]) | (sid[who][1:] != sid[who][:-1])])
+    key, who = key[once], who[once]
+    same = key[1:] == key[:-1]
+    held = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    key, who = key[held], who[held]
+    if len(key):
+        yield key, sid[who], band[who].astype(np.int64), least[who].astype(np.int64)
+
+
+def _split(batches: Iterator[pa.RecordBatch], subs: int) -> Iterator[pa.RecordBatch]:
+    """Packed rows of a partition as rows of ``subs`` bins, by the codes themselves."""
+    names = [x.split()[0] for x in _PACKED.split(", ")]
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        sid, odd, band, least, many, five = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*rows, strict=True), _TYPES, strict=True))
+        five = five.reshape(-1, 5)
+        low = np.ascontiguousarray(five[:, :4]).view(np.uint32).ravel().astype(np.uint64)
+        sub = (low * np.uint64(subs) >> np.uint64(32)).astype(np.int64)
+        who = np.repeat(np.arange(len(sid)), many)
+        order = np.lexsort((who, sub))
+        sub, who, five = sub[order], who[order], five[order]
+        run = np.flatnonzero(np.concatenate([[True], (sub[1:] != sub[:-1]) | (who[1:] != who[:-1])]))
+        each = np.diff(np.append(run, len(sub))).astype(np.uint32)
+        bins, first = np.unique(sub[run], return_index=True)
+        cut = np.append(first, len(run))
+        ends = np.append(run, len(sub))
+        cols: list[list] = [[] for _ in names]
+        for n, a, z in zip(bins.tolist(), cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            own = who[run[a:z]]
+            for c, x in zip(cols, (n, *(v.tobytes() for v in (sid[own], odd[own], band[own], least[own], each[a:z], five[ends[a] : ends[z]]))), strict=True):
+                c.append(x)
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names)
+
+    rows, size = [], 0
+    for b in batches:
+        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            rows.append(r[1:])
+            size += len(r[6])
+            if size >= 2 * BIN_BYTES:
+                yield out(rows)
+                rows, size = [], 0
+    if rows:
+        yield out(rows)
 
 
 def _tallied(cols: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
@@ -288,15 +341,17 @@ def _tallied(cols: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(pa.array(c[first], pa.int64()) for c in cols), pa.array(np.diff(np.append(first, len(cols[0]))), pa.int64())], [*names, "n"])
 
 
-def _dealt(packed: DataFrame, bins: int) -> DataFrame:
-    parts = max(1, min(bins, width(packed.sparkSession)))
-    return packed.repartitionById(parts, F.col("bin") % parts)
+def _dealt(packed: DataFrame, bins: tuple[int, int]) -> DataFrame:
+    """Packed codes, a partition for each bin; where a partition holds several bins' worth, its rows are split and sorted by bin (which spills, if need be)."""
+    parts, subs = bins
+    out = packed.repartitionById(parts, F.col("bin"))
+    return out if subs == 1 else out.mapInArrow(lambda batches: _split(batches, subs), _PACKED).sortWithinPartitions("bin")
 
 
-def _shared_blocks(packed: DataFrame, bins: int) -> DataFrame:
+def _shared_blocks(packed: DataFrame, bins: tuple[int, int]) -> DataFrame:
     """(sid): classes that share enough blocks with others to be linked with one."""
 
-    parts = max(1, min(bins, width(packed.sparkSession)))
+    parts = bins[0]
     kinds = (np.int64, np.uint8, np.uint32, np.uint32)
 
     def tally(cols: tuple[np.ndarray, ...], n: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -328,7 +383,7 @@ def _shared_blocks(packed: DataFrame, bins: int) -> DataFrame:
     return met.repartitionById(parts, F.col("bin")).mapInArrow(pick, "sid bigint")
 
 
-def _pivot_edges(packed: DataFrame, bins: int) -> DataFrame:
+def _pivot_edges(packed: DataFrame, bins: tuple[int, int]) -> DataFrame:
     """(a, b, maybe): members b of buckets with pivot a, and whether they share enough blocks to be linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,22 +462,50 @@ def _linked(percent: int):
     return F.expr(f"100 * shared >= {percent} * (n_a + n_b - shared)")
 
 
+def _residual(edges: DataFrame, links: DataFrame, sketches: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of members of one pivot that lie in different components and whose sketches leave a link possible.
+
+    Members in the pivot's own component need no pairs among each other, so each pair has a member (x) outside it. For each pivot x and all members (y)
+    are dealt into squares: a member is repeated once for each ``SIDE`` of the others.
+    """
+    rows = staged(edges.select("a", "b").join(links.withColumn("on", F.lit(True)), ["a", "b"], "left").join(sketches.toDF("b", "size", "bits"), "b").join(label.toDF("b", "label"), "b"))
+    # the pivot's label is known without a join on it: a member that it is linked with has it, and otherwise the pivot is alone
+    of = rows.select("a").distinct().join(label.toDF("a", "own"), "a")
+    told = staged(looked_up(rows, of, ["a"]).withColumn("out", F.col("label") != F.col("own")))
+    load = told.groupBy("a").agg(F.sum(F.col("out").cast("long")).alias("n_x"), F.count(F.lit(1)).alias("n_y")).where("n_x > 0")
+    load = staged(load.selectExpr("a", f"cast(ceil(n_x / {SIDE}) as int) as by_x", f"cast(ceil(n_y / {SIDE}) as int) as by_y"))
+    told = staged(looked_up(told, load, ["a"]))
+    deal_x, deal_y = F.pmod(F.xxhash64("b"), F.col("by_x")).cast("int"), F.pmod(F.xxhash64("b", F.lit(1)), F.col("by_y")).cast("int")
+    x = told.where("out").select("a", deal_x.alias("at_x"), F.explode(F.expr("sequence(0, by_y - 1)")).alias("at_y"), *(F.col(c).alias(f"{c}_x") for c in ("b", "size", "bits", "label")))
+    y = told.select("a", F.explode(F.expr("sequence(0, by_x - 1)")).alias("at_x"), deal_y.alias("at_y"), *(F.col(c).alias(f"{c}_y") for c in ("b", "size", "bits", "label", "out")))
+    apart = F.aggregate(F.zip_with("bits_x", "bits_y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    most = F.expr(f"(size_x + size_y) * {100 - percent} div {100 + percent}")
+    # the first 1,024 bits bound the distance too, in compiled code; the rest only of large sets
+    begun = F.expr(" + ".join(f"bit_count(element_at(bits_x, {k}) ^ element_at(bits_y, {k}))" for k in range(1, 17)))
+    near = F.expr(f"100 * least(size_x, size_y) >= {percent} * greatest(size_x, size_y)") & ((F.size("bits_x") != F.size("bits_y")) | ((begun <= most) & ((F.size("bits_x") == 16) | (apart <= most))))
+    other = (F.col("label_x") != F.col("label_y")) & (~F.col("out_y") | (F.col("b_x") < F.col("b_y")))
+    same = (x["a"] == y["a"]) & (x["at_x"] == y["at_x"]) & (x["at_y"] == y["at_y"])
+    return x.join(y, same & other & near).select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) of each row: the least id that links of at least ``percent`` reach from it."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    rows = docs.select(F.col(quoted(id_col)).alias("i"), F.col(quoted(text_col)).alias("t"))
     noted = staged(_profile(rows, n))
     profile = noted.where("part is null").select("i", "n", "s1", "s2")
     freq = _frequencies(noted.where("part is not null"))
     classes = staged(profile.where("n > 0 and i is not null").groupBy("s1", "s2", "n").agg(F.min("i").alias("rep")))
     # about 0.7 codes an n-gram, of 6 bytes or more
-    bins = max(4, min(4 * width(spark), (profile.agg(F.sum("n")).first()[0] or 0) * 4 // BIN_BYTES))
-    alive = _shared_blocks(_keys(rows, freq, n, percent, bins), bins).toDF("s1")
+    need = max(4, (profile.agg(F.sum("n")).first()[0] or 0) * 4 // BIN_BYTES)
+    parts = min(need, max(4, width(spark)))
+    bins = (parts, -(-need // parts))
+    alive = _shared_blocks(_keys(rows, freq, n, percent, parts), bins).toDF("s1")
     some = staged(_texts(rows, classes, alive, n).withColumnRenamed("s1", "i"))
     # without the classes that left, others have fewer shared blocks
-    alive = _shared_blocks(_keys(some, freq, n, percent, bins), bins).toDF("i")
+    alive = _shared_blocks(_keys(some, freq, n, percent, parts), bins).toDF("i")
     some = staged(some.join(alive, "i", "left_semi"))
-    edges = staged(_pivot_edges(_keys(some, freq, n, percent, bins), bins))
+    edges = staged(_pivot_edges(_keys(some, freq, n, percent, parts), bins))
     likely = edges.where("maybe").select("a", "b")
     used = staged(likely.select("a").union(likely.select("b")).distinct().toDF("s1"))
     checked = staged(_verified(likely, some.withColumnRenamed("i", "s1").join(F.broadcast(used) if used.count() <= SEMI_IDS else used, "s1", "left_semi"), n))
@@ -434,23 +517,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     links = checked.where(_linked(percent)).select("a", "b")
     groups = grown(links)
-    # members of one pivot, of which not both are linked with it
     label = member.join(groups.toDF("rep", "label"), "rep", "left").select("s1", F.coalesce("label", "rep").alias("label"))
-    told = staged(edges.select("a", "b").join(links.withColumn("on", F.lit(True)), ["a", "b"], "left").join(_sketched(some, n).toDF("b", "size", "bits"), "b").join(label.toDF("b", "label"), "b").select("a", "b", "size", "bits", "label", F.coalesce("on", F.lit(False)).alias("on")))
-    x = told.where("not on").select("a", *(F.col(c).alias(f"{c}_x") for c in ("b", "size", "bits", "label")))
-    y = told.join(told.where("not on").select("a").distinct(), "a", "left_semi").select("a", *(F.col(c).alias(f"{c}_y") for c in ("b", "size", "bits", "label", "on")))
-    apart = F.aggregate(F.zip_with("bits_x", "bits_y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-    most = F.expr(f"(size_x + size_y) * {100 - percent} div {100 + percent}")
-    # the first 1,024 bits bound the distance too, in compiled code; the rest only of large sets
-    begun = F.expr(" + ".join(f"bit_count(element_at(bits_x, {k}) ^ element_at(bits_y, {k}))" for k in range(1, 17)))
-    near = F.expr(f"100 * least(size_x, size_y) >= {percent} * greatest(size_x, size_y)") & ((F.size("bits_x") != F.size("bits_y")) | ((begun <= most) & ((F.size("bits_x") == 16) | (apart <= most))))
-    other = (F.col("label_x") != F.col("label_y")) & (F.col("on_y") | (F.col("b_x") < F.col("b_y")))
-    left = x.join(y, (x["a"] == y["a"]) & other & near).select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b")).distinct()
+    left = _residual(edges, links, _sketched(some, n), label, percent)
     done = edges.where("maybe").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     left = staged(left.join(done, ["a", "b"], "left_anti"))
     if left.limit(1).count():
         more = staged(_verified(left, _texts(rows, classes, left.select("a").union(left.select("b")).distinct().toDF("s1"), n), n))
         links = links.union(more.where(_linked(percent)).select("a", "b"))
         groups = grown(links)
-    ids = classes.join(groups.toDF("rep", "label"), "rep", "left").select("s1", "s2", "n", F.coalesce("label", "rep").alias("component_id"))
-    return profile.join(ids, ["s1", "s2", "n"], "left").select(F.col("i").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "i").alias("component_id"))
+    ids = staged(classes.join(groups.toDF("rep", "label"), "rep", "left").select("s1", "s2", "n", F.coalesce("label", "rep").alias("component_id")))
+    some_words = looked_up(profile.where("n > 0"), ids, ["s1", "s2", "n"], "left")
+    out = some_words.select("i", "n", "component_id").unionByName(profile.where("n = 0").select("i", "n", F.col("i").alias("component_id")))
+    return out.select(F.col("i").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "i").alias("component_id"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each group of near copies: the one with the least id; ids that aren't null come first.
+
+    Rows are told apart by id and text, so rows that share an id, or have none, are judged by their own texts. Of rows with the same id and
+    text one stays (any; their other columns may differ). Rows without words are no copies and all stay.
+    """
+    (key,) = free(docs.columns, "key")
+    id_, text = F.col(quoted(id_col)), F.col(quoted(text_col))
+    keyed = docs.withColumn(key, F.struct(id_.isNull().alias("none"), id_.alias("id"), row_digest(id_, text).alias("digest")))
+    found = near_duplicates(keyed.select(F.col(key).alias("k"), text.alias("t")), "k", "t", n, percent)
+    groups = staged(found.where("n_shingles > 0").groupBy("k", "component_id").agg(F.count(F.lit(1)).alias("rows")).withColumnRenamed("k", key))
+    # tables of keys only
+    gone = groups.where(F.col(key) != F.col("component_id")).select(key)
+    repeated = groups.where((F.col(key) == F.col("component_id")) & (F.col("rows") > 1)).select(key)
+
+    def met(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return rows.join(F.broadcast(keys) if keys.count() <= SEMI_IDS else keys, key, how)
+
+    kept = met(keyed, gone, "left_anti")
+    if repeated.limit(1).count():
+        kept = met(kept, repeated, "left_anti").unionByName(met(kept, repeated, "left_semi").dropDuplicates([key]))
+    return kept.select(*map(quoted, docs.columns))

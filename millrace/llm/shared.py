@@ -75,14 +75,17 @@ HOT_ROWS, HOT_KEYS = 1000, 100_000
 def looked_up(rows: DataFrame, table_: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """``rows`` joined with ``table_``, in which each key is once; ``how`` is inner or left. Both should be staged: they are read twice.
 
-    A key of a large part of the rows is joined by broadcast, so no task gets all its rows: such keys have over 1 / HOT_KEYS of the
-    rows each, so there are HOT_KEYS at most, whatever the size. All other keys are joined as Spark chooses.
+    A key of very many rows is joined by broadcast, so no task gets all its rows. Such keys have over HOT_ROWS rows each, and where there are more than
+    HOT_KEYS of them, over 1 / HOT_KEYS of all rows: HOT_KEYS at most, whatever the size. All other keys are joined as Spark chooses.
     """
-    few = max(HOT_ROWS, rows.count() // HOT_KEYS)
-    hot = staged(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > few).select(*keys))
-    if not hot.limit(1).count():
+    (number,) = free(keys, "rows")
+    hot = staged(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(number)).where(F.col(number) > HOT_ROWS))
+    n = hot.count()
+    if not n:
         return rows.join(table_, keys, how)
-    named = F.broadcast(hot)
+    if n > HOT_KEYS:
+        hot = hot.where(F.col(number) > rows.count() // HOT_KEYS)
+    named = F.broadcast(hot.select(*keys))
     of_hot = table_.join(named, keys, "left_semi")
     cold = rows.join(named, keys, "left_anti").join(table_, keys, how)
     return rows.join(named, keys, "left_semi").join(F.broadcast(of_hot), keys, how).unionByName(cold)

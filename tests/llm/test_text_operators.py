@@ -11,7 +11,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, jaccard, sketches, tokens, toxicity
+from millrace.llm import bpe, decontaminate, jaccard, shared, sketches, tokens, toxicity
 from millrace.llm.shared import shared_dir
 
 WORDS = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in "nrst"]
@@ -196,6 +196,29 @@ def test_near_duplicates_of_ids_with_two_texts(spark):
     assert got == sorted((i, len(t.split()) - 4, i if i >= 4000 else 1000 + i % 1000) for i, t in docs)
 
 
+def test_near_duplicates_of_a_large_borderline_family(spark, monkeypatch):
+    """One family whose members are about as far from each other as links reach; codes in several bins a partition, and members in many squares."""
+    rng = random.Random(21)
+    base = prose(rng, 70).split()
+    docs = []
+    for k in range(1000):
+        copy = list(base)
+        for at in rng.sample(range(70), rng.choice((1, 2, 2, 3, 3))):
+            copy[at] = rng.choice(WORDS) + str(rng.randrange(12))
+        docs.append((k, " ".join(copy)))
+    docs += [(5000 + k, prose(rng, 40)) for k in range(100)]
+    monkeypatch.setattr(jaccard, "BIN_BYTES", 1 << 14)
+    monkeypatch.setattr(jaccard, "SIDE", 64)
+    monkeypatch.setattr(shared, "HOT_ROWS", 50)
+    seen = []
+    residual = jaccard._residual
+    monkeypatch.setattr(jaccard, "_residual", lambda *a: seen.append(residual(*a)) or seen[-1])
+    got = sorted(map(tuple, jaccard.near_duplicates(frame(spark, docs)).collect()), key=str)
+    want = brute_components(docs)
+    assert got == want and len({c for _, _, c in want}) > 100
+    assert seen[0].count() > 0
+
+
 def test_near_duplicates_of_an_empty_table(spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], EMPTY)).count() == 0
 
