@@ -3,16 +3,18 @@
 Folding: NFKC, lower case, homoglyphs and digit substitutions as Latin letters (digits only inside words that
 hold letters), and one blank between words. Accents tell words of other languages apart and stay; whole words are also looked
 up without them. The lexicon is learned from labelled rows: whole words, and stems (the
-first 3 to 6 letters of words), weighted by the log odds of their document frequencies in toxic and clean rows. A neighbour
+first 3 to 8 letters of words), weighted by the log odds of their document frequencies in toxic and clean rows. A neighbour
 that takes a lexicon word into clean rows makes an exception phrase, as do the phrases given; an exception phrase takes
 back the weight of the words inside it. The weights found are summed and divided by a slowly growing function of
-the length; a logistic curve gives the score.
+the length; a logistic curve gives the score. Its middle is learned too: where 0.7 tells toxic and clean learning rows apart best, as near to ``HALF`` as
+that allows.
 
-The lexicon comes from a bounded sample of labelled rows (SAMPLE_TOXIC, SAMPLE_CLEAN), without near copies, counted on the executors;
-it holds at most ``max_terms`` terms, which bounds what is broadcast. Rows of which ``held_out`` holds never enter.
+The lexicon comes from a bounded sample of labelled rows (SAMPLE_TOXIC, SAMPLE_CLEAN), without near copies, counted on the executors. It holds every term of
+the sample that passes the thresholds, each in MIN_TOXIC_DOCS toxic rows of the sample at least. Rows of which ``held_out`` holds never enter.
 
-Defined results: a null or empty text scores the curve's value at zero evidence, below 0.5; with no toxic labelled row the
-lexicon is empty; repeated rows score alike; other columns aren't read.
+Defined results: a null or empty text scores the curve's value at zero evidence, below 0.7; with no toxic labelled row the
+lexicon is empty and the score below 0.5; an id with both labels counts as toxic; of near copies with the same label the one with the least id (then text)
+teaches; repeated rows score alike; other columns aren't read, and ``kept`` keeps them whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,9 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import staged
+from .shared import filtered, quoted, staged
 
-MAX_TERMS, MIN_TOXIC_DOCS, MIN_LOG_ODDS, MIN_G, STEMS = 4000, 3, 3.5, 20.0, (3, 4, 5, 6)
+MIN_TOXIC_DOCS, MIN_LOG_ODDS, MIN_G, STEMS = 3, 2.5, 15.0, (3, 4, 5, 6, 7, 8)
+#: A score from which on a text is called toxic, and the length that doubles what counts as little.
+THRESHOLD, LENGTH = 0.7, 200
 #: Labelled rows of either class that the lexicon is learned from, by the least hashes of their ids; scoring reads all rows.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000
 #: Phrases in which a lexicon word is harmless.
@@ -53,11 +57,14 @@ _ASCII = {c: " " for c in range(128) if not chr(c).isalnum()}
 
 def fold(text: str) -> list[str]:
     """The words of a text, folded."""
-    text = text.lower()
     plain = text.isascii()
-    if not plain:
-        if not unicodedata.is_normalized("NFKC", text):
-            text = unicodedata.normalize("NFKC", text)
+    if plain:
+        text = text.lower()
+    else:
+        for _ in range(2):  # what has no lower case may have one once it is composed, and the other way round
+            if not unicodedata.is_normalized("NFKC", text):
+                text = unicodedata.normalize("NFKC", text)
+            text = text.lower()
         if _FOREIGN.search(text):
             text = text.translate(_GLYPHS)
     if _SIGNED.search(text):
@@ -110,12 +117,13 @@ def _weight(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
 class Lexicon:
     """Terms with weights, and exception phrases; ``score`` rates a text."""
 
-    def __init__(self, weights: dict[str, float], exceptions: tuple[str, ...] = EXCEPTIONS):
+    def __init__(self, weights: dict[str, float], exceptions: tuple[str, ...] = EXCEPTIONS, half: float = HALF):
+        self.half = half
         self.weights, self.exceptions = weights, tuple(" ".join(fold(x)) for x in exceptions)
         self._machine = self._words = None
 
     def __getstate__(self):
-        return {"weights": self.weights, "exceptions": self.exceptions, "_machine": None, "_words": None}
+        return {"half": self.half, "weights": self.weights, "exceptions": self.exceptions, "_machine": None, "_words": None}
 
     def _built(self):
         import ahocorasick
@@ -143,39 +151,72 @@ class Lexicon:
             for end, (n, w) in self._built().iter(line):
                 if w is None:
                     spared.append((end - n + 1, end))
-                else:
+                elif line[end] == " " or line[end + 1] != " ":  # a stem is the beginning of a longer word
                     best[end - n + 1] = max(w, best.get(end - n + 1, 0.0))
-        total = sum(w for at, w in best.items() if not any(a <= at < b for a, b in spared))
+        total, reach, spans = 0.0, -1, iter([*sorted(spared), (len(line) + 1, 0)])
+        start, end = next(spans)
+        for at in sorted(best):  # one walk over words and phrases
+            while start <= at:
+                reach = max(reach, end)
+                start, end = next(spans)
+            if at >= reach:
+                total += best[at]
         if self.weights and not line.isascii():
             bare = set(_MARKS.sub("", unicodedata.normalize("NFD", line)).split()) - set(words)
             total += sum(self.weights[f" {w} "] for w in bare & self._single())
         return total, len(words)
 
-    def score(self, text: str | None) -> float:
+    def strength(self, text: str | None) -> float:
+        """The evidence for the text's length."""
         total, n = self.evidence(text)
-        x = total / (1 + math.log1p(n / 500)) - HALF
+        return total / (1 + math.log1p(n / LENGTH))
+
+    def score(self, text: str | None) -> float:
+        x = self.strength(text) - self.half
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
+def middle(rows: list[tuple[float, int]]) -> float:
+    """Where the curve's middle lies best for (strength, label) of learning rows: at THRESHOLD the F1 is greatest, and it is as near to HALF as may be."""
+    step = math.log(THRESHOLD / (1 - THRESHOLD))
+    ordered = sorted(rows, reverse=True)
+    toxic, hit, best, spans = sum(y for _, y in rows), 0, 0.0, []
+    for n, (x, y) in enumerate(ordered, 1):
+        hit += y
+        below = ordered[n][0] if n < len(ordered) else 0.0
+        if below < x:
+            f1 = 2 * hit / (n + toxic) if toxic else 0.0
+            if f1 > best:
+                best, spans = f1, []
+            if f1 == best and f1 > 0:
+                spans.append((below, x))
+    if not spans:
+        return HALF
+    # a quarter of the gap stays free on either side
+    return min((min(max(HALF + step, low + (high - low) / 4), high - (high - low) / 4) - step for low, high in spans), key=lambda h: (abs(h - HALF), h))
+
+
 def _once(rows: DataFrame) -> DataFrame:
     """Labelled texts (t, y) without near copies, which would pass their chance words off as evidence: one text of each least word-triple hash."""
+    kind = dict(rows.dtypes)["i"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("t").to_pylist()
             seqs = [fold(t or "") for t in texts]
             least = [min((zlib.crc32(" ".join(s[i : i + 3]).encode()) for i in range(max(1, len(s) - 2))), default=0) for s in seqs]
-            yield pa.RecordBatch.from_arrays([b.column("t"), b.column("y"), pa.array(least, pa.int64())], ["t", "y", "m"])
+            yield pa.RecordBatch.from_arrays([b.column("i"), b.column("t"), b.column("y"), pa.array(least, pa.int64())], ["i", "t", "y", "m"])
 
-    return rows.mapInArrow(run, "t string, y int, m bigint").dropDuplicates(["m", "y"]).select("t", "y")
+    least = F.min(F.struct("i", "t")).alias("r")
+    return rows.mapInArrow(run, f"i {kind}, t string, y int, m bigint").groupBy("m", "y").agg(least).select("r.t", "y")
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_terms: int = MAX_TERMS, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """The lexicon, from at most SAMPLE_TOXIC and SAMPLE_CLEAN labelled rows that aren't held out."""
-    known = labels.select(F.col(id_col).alias("i"), F.col("toxic").cast("int").alias("y")).where(F.col("y").isin(0, 1) & ~held_out("i")).dropDuplicates(["i"])
+    known = labels.select(F.col(quoted(id_col)).alias("i"), F.col("toxic").cast("int").alias("y")).where(F.col("y").isin(0, 1) & ~held_out("i")).groupBy("i").agg(F.max("y").alias("y"))
     some = [known.where(F.col("y") == y).orderBy(F.xxhash64("i"), "i").limit(n) for y, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))]
     picked = some[0].unionByName(some[1])  # at most 12,000 ids
-    rows = staged(_once(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(F.broadcast(picked), "i").select("t", "y")))
+    rows = staged(_once(docs.select(F.col(quoted(id_col)).alias("i"), F.col(quoted(text_col)).alias("t")).join(F.broadcast(picked), "i")))
     n = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     share = F.lit(n_toxic / max(1, n_toxic + n_clean))
@@ -183,38 +224,42 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     odds = F.log((F.col("toxic") + 0.5) / F.lit(n_toxic + 1)) - F.log((F.col("clean") + 0.5) / F.lit(n_clean + 1))
     # twice the log likelihood ratio of the term's share of toxic rows against their share of all rows
     g = 2 * (F.col("toxic") * F.log(F.col("toxic") / seen / share) + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / seen / (1 - share))).otherwise(0.0))
-    strong = _terms(rows).where((F.col("toxic") >= MIN_TOXIC_DOCS) & (odds >= MIN_LOG_ODDS) & (g >= MIN_G))
-    top = strong.orderBy(odds.desc(), F.length("term"), "term").limit(max_terms).collect()
-    weights = {r.term: _weight(r.toxic, r.clean, n_toxic, n_clean) for r in top}
-    mild = frozenset(r.term.strip() for r in top if r.term.endswith(" ") and r.clean >= MIN_TOXIC_DOCS)
+    strong = _terms(rows).where((F.col("toxic") >= MIN_TOXIC_DOCS) & (odds >= MIN_LOG_ODDS) & (g >= MIN_G)).collect()
+    weights = {r.term: _weight(r.toxic, r.clean, n_toxic, n_clean) for r in sorted(strong, key=lambda r: r.term)}
+    mild = frozenset(r.term.strip() for r in strong if r.term.endswith(" ") and r.clean >= MIN_TOXIC_DOCS)
     spared: list[str] = []
     if mild:
-        found = _terms(rows, True, mild).where((F.col("clean") >= MIN_TOXIC_DOCS) & (odds < 0)).orderBy(F.desc("clean"), "term").limit(max_terms)
-        spared = [r.term for r in found.collect()]
-    return Lexicon(weights, (*exceptions, *spared))
+        spared = sorted(r.term for r in _terms(rows, True, mild).where((F.col("clean") >= MIN_TOXIC_DOCS) & (odds < 0)).collect())
+    lexicon = Lexicon(weights, (*exceptions, *spared))
+    if weights:  # a number for each row of the sample
+        strengths = rows.mapInArrow(_rated(lexicon.strength, 0), "x double, y int").collect()
+        lexicon.half = middle([(r.x, r.y) for r in strengths])
+    return lexicon
 
 
-def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7, keep: bool = False) -> DataFrame:
-    """(id, score, predicted) of each document; ``keep`` returns the documents with these two columns instead."""
-    kind = dict(docs.dtypes)[id_col]
+def _rated(rate, text_at: int):
+    """A batch function: the column at ``text_at`` rated (x), and the one after it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([rate(t) for t in b.column(text_at).to_pylist()], pa.float64()), b.column(text_at + 1)], ["x", "y"])
+
+    return run
 
-    def rated(texts: pa.Array) -> pa.Array:
-        return pa.array([lexicon.score(t) for t in texts.to_pylist()], pa.float64())
 
-    if keep:
-        columns = docs.columns
-        names = {"_score": "score"}
+def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """(id, score, predicted) of each document."""
+    kind = dict(docs.dtypes)[id_col]
+    out = docs.select(F.col(quoted(text_col)).alias("t"), F.col(quoted(id_col)).alias("i")).mapInArrow(_rated(lexicon.score, 0), f"x double, y {kind}")
+    return out.select(F.col("y").alias(id_col), F.col("x").alias("score"), (F.col("x") >= threshold).cast("int").alias("predicted"))
 
-        def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield pa.RecordBatch.from_arrays([*b.columns, rated(b.column(columns.index(text_col)))], [*columns, *names])
 
-        schema = docs.select("*", F.lit(0.0).alias("_score")).schema
-        return docs.mapInArrow(run_all, schema)
+def kept(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that score below the threshold, with all their columns."""
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("i"), rated(b.column("t"))], ["i", "score"])
+            yield b.filter(pa.array([lexicon.score(t) < threshold for t in b.column(at).to_pylist()], pa.bool_()))
 
-    out = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).mapInArrow(run, f"i {kind}, score double")
-    return out.select(F.col("i").alias(id_col), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return filtered(docs, run)
