@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import free, looked_up, quoted, row_digest, staged
+from .shared import filtered, free, looked_up, quoted, row_digest, staged
 from .words import ALNUM, buffers, gram_rows, grams, mix, place_hashes, slices, word_places
 
 WINDOW, KGRAM, BLOCK_BYTES, FILTER_BITS = 10, 5, 16 << 20, 1 << 28
@@ -362,4 +362,4 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: s
             spans = _scanned(prints, b.column(at))[1]
             yield b.filter(pa.array([not s for s in spans], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return filtered(docs, run)

@@ -35,6 +35,12 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def filtered(docs: DataFrame, run) -> DataFrame:
+    """``docs`` through a batch function that keeps its columns. They are named by place meanwhile, so their own names may be any."""
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+
+
 def free(taken: Iterable[str], *wanted: str) -> list[str]:
     """The wanted column names, with underscores added until none is among those taken (upper and lower case count as equal)."""
     used, out = {t.lower() for t in taken}, []

@@ -282,3 +282,27 @@ def test_near_copies_of_repeated_and_missing_ids(spark):
     assert len(orphans) == 1
     want = [(7, same), (9, twice), *orphans, (20, own), (10, copied), (30, clean), (None, alone), (40, ""), (41, ""), (None, None), (None, None)]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Nulls, ties, repeated ids, an empty table, and columns with the names that stages use inside, through the whole pipeline."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(17)
+    names = ("spans", "_spans", "_items", "key", "_key", "row", "_row", "_score", "score", "ids", "n_tokens", "_id", "_text", "i", "t", "cut", "component_id")
+    words = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in "nrst"]
+    w, unique, key, hot = (" ".join(rng.choice(words) for _ in range(60)) for _ in range(4))
+    item = " ".join(rng.choice(words) for _ in range(20))
+    texts = [(1, w), (1, w), (2, w), (2, unique), (3, None), (3, None), (4, ""), (None, None), (None, key + " password=0123456789abcdefXYZ"), (5, f"{hot} {item}"), (6, f"one {item}"), (7, "x" * 20_000)]
+    kind = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    for name, rows in (("some", texts), ("none", [])):
+        df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], kind)
+        df.select("*", *(F.lit(f"own {c}").alias(c) for c in names)).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(1, None, 0), (2, None, 1), (None, None, 1), (5, 1, None)] if rows else [], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        spark.createDataFrame([(1, item), (1, item), (None, None), (2, "")] if rows else [], "item_id bigint, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    got = pipeline.run(spark, f"{tmp_path}/some").collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(1, w), (2, unique), (3, None), (3, None), (4, ""), (None, None), (None, key + " [secret]"), (7, "x" * 20_000)], key=str)
+    for r in got:
+        own = {c: r[c] for c in names if c not in ("ids", "n_tokens")}
+        assert own == {c: f"own {c}" for c in own} and r.n_tokens == len(r.ids) and r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+    out = pipeline.run(spark, f"{tmp_path}/none")
+    assert out.count() == 0 and out.columns.count("ids") == 1

@@ -36,9 +36,14 @@ def odd():
     return rows
 
 
+#: Names that operators use inside or for results.
+CLASHING = ("spans", "_spans", "_items", "items", "key", "_key", "row", "_row", "rows", "_score", "score", "ids", "_ids", "_id", "_text", "i", "t", "k", "cut", "_cut", "a b.`c", "component_id", "bucket", "tail")
+
+
 def frame(spark, rows, parts=3):
     """Documents with more columns, of which some have names that operators use inside."""
-    return spark.createDataFrame([(i, t, "en", 1) for i, t in rows], "doc_id bigint, text string, lang string, n bigint").withColumn("source", F.lit("s")).withColumn("spans", F.lit(0)).withColumn("ids", F.lit(0)).withColumn("_id", F.lit(0)).repartition(parts)
+    docs = spark.createDataFrame([(i, t, "en", 1) for i, t in rows], "doc_id bigint, text string, lang string, n bigint").withColumn("source", F.lit("s"))
+    return docs.select("*", *(F.lit(7).alias(c) for c in CLASHING)).repartition(parts)
 
 
 EMPTY = "doc_id bigint, text string, source string"
@@ -245,10 +250,10 @@ def test_sketches_bound_the_difference():
 # toxicity -------------------------------------------------------------------------------------------------------------------------------------
 
 
-def test_toxicity_learns_and_folds(spark):
-    rng = random.Random(2)
+def toxic_docs(seed, n=900):
+    rng = random.Random(seed)
     docs, labels = [], []
-    for k in range(900):
+    for k in range(n):
         text, toxic = prose(rng, 60).split(), k % 6 == 0
         if toxic:
             for _ in range(2):
@@ -257,19 +262,103 @@ def test_toxicity_learns_and_folds(spark):
             text.insert(5, "trash can")
         docs.append((k, " ".join(text)))
         labels.append((k, int(toxic)))
+    return rng, docs, labels
+
+
+def brute_lexicon(docs, labels):
+    """(weights, phrases, rows (words, label)) by the operator's definition, counted one by one."""
+    import math
+
+    known = {}
+    for i, y in labels:
+        if i is not None and y in (0, 1) and zlib.crc32(str(i).encode()) % 3 != 1:
+            known[i] = max(y, known.get(i, 0))
+    least = {}
+    for i, t in docs:
+        if i in known:
+            w = (t or "").split()  # the test's words are folded already
+            m = min((zlib.crc32(" ".join(w[k : k + 3]).encode()) for k in range(max(1, len(w) - 2))), default=0)
+            least[m, known[i]] = min((i, t), least.get((m, known[i]), (i, t)))
+    rows = [((t or "").split(), y) for (_, y), (_, t) in least.items()]
+    size = [sum(y == k for _, y in rows) for k in (0, 1)]
+
+    def counted(terms_of):
+        found = defaultdict(lambda: [0, 0])
+        for w, y in rows:
+            for term in terms_of(w):
+                found[term][y] += 1
+        return found
+
+    def odds(c):
+        return math.log((c[1] + 0.5) / (size[1] + 1)) - math.log((c[0] + 0.5) / (size[0] + 1))
+
+    def ratio(c):
+        n, share = sum(c), size[1] / sum(size)
+        return 2 * (c[1] * math.log(c[1] / n / share) + (c[0] * math.log(c[0] / n / (1 - share)) if c[0] else 0))
+
+    terms = counted(lambda w: {(x, "") for x in w} | {(x[:n], "+") for x in w for n in range(3, 9) if len(x) > n})
+    strong = {k: c for k, c in terms.items() if c[1] >= 3 and odds(c) >= 2.5 and ratio(c) >= 15}
+    mild = {k for (k, stem), c in strong.items() if not stem and c[0] >= 3}
+    pairs = counted(lambda w: {f"{a} {b}" for a, b in zip(w, w[1:], strict=False) if a in mild or b in mild})
+    return {k: odds(c) for k, c in strong.items()}, {p for p, c in pairs.items() if c[0] >= 3 and odds(c) < 0}, rows
+
+
+def brute_strength(weights, phrases, words):
+    import math
+
+    total = 0.0
+    for k, w in enumerate(words):
+        found = [weights[key] for key in [(w, ""), *((w[:n], "+") for n in range(3, 9) if len(w) > n)] if key in weights]
+        spared = any(words[s : s + len(p)] == p for p in phrases for s in range(max(0, k - len(p) + 1), k + 1) if s + len(p) > k)
+        total += max(found, default=0.0) * (not spared)
+    return total / (1 + math.log1p(len(words) / 200))
+
+
+def test_toxicity_against_plain_python(spark):
+    import math
+
+    rng, docs, labels = toxic_docs(2, 500)
+    docs += [(600, docs[6][1]), (601, docs[7][1]), (6, "another text of an id"), (700, None), (701, ""), (None, "trash")]
+    labels += [(600, 1), (601, 0), (12, 0), (13, 1), (None, 1), (700, 1), (701, 0), (14, None)]
+    weights, phrases, rows = brute_lexicon(docs, labels)
+    d, y = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), spark.createDataFrame(labels, "doc_id bigint, toxic int").repartition(2)
+    lexicon = toxicity.learn(d, y)
+    assert {(k.strip(), "" if k.endswith(" ") else "+"): pytest.approx(w) for k, w in lexicon.weights.items()} == weights
+    assert set(lexicon.exceptions) == {*toxicity.EXCEPTIONS, *phrases}
+    spared = [p.split() for p in (*toxicity.EXCEPTIONS, *phrases)]
+    strengths = [(brute_strength(weights, spared, w), label) for w, label in rows]
+    at = math.log(0.7 / 0.3)
+
+    def f1(half):
+        said = [(x >= half + at, label) for x, label in strengths]
+        return 2 * sum(s and label for s, label in said) / (sum(s for s, _ in said) + sum(label for _, label in said))
+
+    assert f1(lexicon.half) == pytest.approx(max(f1(x - at) for x, _ in strengths))
+    for r in toxicity.score(d, lexicon).join(d.distinct(), "doc_id").where("doc_id <> 6").collect():
+        x = brute_strength(weights, spared, (r.text or "").split()) - lexicon.half
+        assert r.score == pytest.approx(1 / (1 + math.exp(-x))) and r.predicted == (r.score >= 0.7)
+
+
+def test_toxicity_learns_and_folds(spark):
+    rng, docs, labels = toxic_docs(2)
     d = spark.createDataFrame(docs, "doc_id bigint, text string")
     lexicon = toxicity.learn(d, spark.createDataFrame(labels + [(None, 1), (3, None)], "doc_id bigint, toxic int"))
-    assert " scumlord " in lexicon.weights and len(lexicon.weights) <= toxicity.MAX_TERMS
+    assert " scumlord " in lexicon.weights
     got = {r.doc_id: r for r in toxicity.score(d, lexicon).collect()}
     held = [(k, y) for k, y in labels if zlib.crc32(str(k).encode()) % 3 == 1]
     assert {r.doc_id for r in d.where(toxicity.held_out()).collect()} == {k for k, _ in held}
     assert sum(got[k].predicted == y for k, y in held) / len(held) > 0.97
     clean = prose(rng, 30)
-    for word in ("scumlord", "SCUMLORD", "scuml0rd", "ѕсumlоrd", "ｓｃｕｍｌｏｒｄ", "$cumlord", "scúmlord"):
+    for word in ("scumlord", "SCUMLORD", "scuml0rd", "ѕсumlоrd", "ｓｃｕｍｌｏｒｄ", "$cumlord", "scúmlord", "𝐒𝐂𝐔𝐌𝐋𝐎𝐑𝐃"):
         assert lexicon.score(f"{clean} {word} {clean}") >= 0.7, word
     assert lexicon.score(f"{clean} trash can {clean}") < 0.5 and lexicon.score(clean) < 0.5
     assert lexicon.score(None) == lexicon.score("") < 0.5
     assert lexicon.score(f"{clean} scumlord") > lexicon.score(" ".join([clean] * 300 + ["scumlord"]))
+    # exceptions of a very long text are met in one walk
+    import time
+
+    began = time.process_time()
+    assert lexicon.evidence("trash can " * 200_000)[0] == 0 and time.process_time() - began < 20
 
 
 def test_toxicity_of_odd_tables(spark, odd):
@@ -278,8 +367,8 @@ def test_toxicity_of_odd_tables(spark, odd):
     got = toxicity.score(frame(spark, odd), lexicon).collect()
     assert len(got) == len(odd) and all(0 <= r.score < 0.5 and r.predicted == 0 for r in got)
     assert toxicity.score(spark.createDataFrame([], EMPTY), lexicon).count() == 0
-    kept = toxicity.score(frame(spark, odd), lexicon, keep=True)
-    assert kept.columns == [*frame(spark, odd).columns, "_score"] and kept.count() == len(odd)
+    kept = toxicity.kept(frame(spark, odd), lexicon)
+    assert kept.columns == frame(spark, odd).columns and kept.count() == len(odd)
 
 
 # fingerprints ---------------------------------------------------------------------------------------------------------------------------------
@@ -304,6 +393,68 @@ def test_fingerprints(spark, odd):
     assert len(same) == 2 and len(set(same)) == 1
 
 
+MASK = (1 << 64) - 1
+
+
+def plain_mix(h):
+    h ^= h >> 33
+    h = h * 0xFF51AFD7ED558CCD & MASK
+    h ^= h >> 33
+    h = h * 0xC4CEB9FE1A85EC53 & MASK
+    return h ^ (h >> 33)
+
+
+def plain_paragraphs(text):
+    """Digests of a text's paragraphs, one by one: lines, cut after words whose hash is a multiple of 8; equal ones are numbered apart."""
+    out, seen = [], defaultdict(int)
+    for line in text.encode().split(b"\n"):
+        words = []
+        for word in re.findall(rb"[^\x20\x09-\x0D]+", line):
+            h = 0
+            for k, c in enumerate(word):
+                h += ((c + 32 if 65 <= c <= 90 else c) + 1) * pow(0x9E3779B97F4A7C15, k, 1 << 64)
+            words.append(plain_mix(h & MASK))
+            if words[-1] % 8 == 0:
+                out.append(words)
+                words = []
+        out.append(words)
+    digests = []
+    for words in filter(None, out):
+        d = plain_mix(sum(plain_mix((h + k * 0x9E3779B97F4A7C15) & MASK) for k, h in enumerate(words)) & MASK)
+        digests.append(plain_mix((d + seen[d] * 0xD6E8FEB86659FD93) & MASK))
+        seen[d] += 1
+    return digests
+
+
+def plain_fingerprint(text):
+    count, keys, checks = [0] * 24, [0] * 24, [0] * 24
+    digests = plain_paragraphs(text)
+    for d in digests:
+        for j, salt in enumerate((0x9AE16A3B2F90404F, 0xC949C7DEFEED5EED, 0xB492B66FBE98F273)):
+            at = j * 8 + (plain_mix(d ^ salt) >> 32) * 8 // (1 << 32)
+            count[at] += 1
+            keys[at] ^= d
+            checks[at] ^= plain_mix((d * 0xC2B2AE3D27D4EB4F + 1) & MASK)
+    cells = b"".join(n.to_bytes(4, "little") for n in count) + b"".join(n.to_bytes(8, "little") for n in keys) + b"".join((n & 0xFFFFFFFF).to_bytes(4, "little") for n in checks)
+    return f"{len(digests):08x}{hashlib.sha256(text.encode()).hexdigest()[:32]}{cells.hex()}"
+
+
+def test_fingerprints_against_plain_python(spark, odd):
+    rng = random.Random(5)
+    docs = [(k, t) for k, t in enumerate([t for _, t in odd if t is None or len(t) < 6000] + ["\n".join(rng.choice(("same line here", prose(rng, 12))) for _ in range(30)) for _ in range(8)])]
+    got = {r.doc_id: r for r in sketches.compare(frame(spark, docs)).collect()}
+    for k, (i, t) in enumerate(docs):
+        t, follow = t or "", docs[(k + 1) % len(docs)][1] or ""
+        half = len(t) // 2
+        new = t[: len(t) - half] + follow[:half]
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (plain_fingerprint(t), plain_fingerprint(new))
+        for other, near in ((new, got[i].near_edited), (follow, got[i].near_next)):
+            a, b = set(plain_paragraphs(t)), set(plain_paragraphs(other))
+            assert near == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+    with pytest.raises(TypeError, match="integers"):
+        sketches.compare(spark.createDataFrame([("x", "a")], "doc_id string, text string"))
+
+
 def test_fingerprints_of_few_rows(spark, odd):
     assert sketches.compare(spark.createDataFrame([], EMPTY)).count() == 0
     one = sketches.compare(spark.createDataFrame([(5, "a b c d", "s")], EMPTY)).first()
@@ -399,6 +550,12 @@ def test_byte_bpe(spark, odd):
         want.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     assert got == sorted(want, key=str)
     assert bpe.round_trip(spark.createDataFrame([], EMPTY), path, P.PATTERN).count() == 0
+    kept = bpe.encode(frame(spark, docs), path, P.PATTERN)
+    assert sorted(kept.columns) == sorted(frame(spark, docs).columns) and kept.where("i = 7 and size(ids) > 0").count() > 9
+    fold = bpe.Words(path, P.PATTERN).fold
+    rng = random.Random(3)
+    for text in ("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000)), "a" * 3000, "é漢" * 400):
+        assert fold(text.encode()) == enc._encode_single_piece(text)
     words = sorted({w for _, t in docs if t and len(t) < 4000 for w in bpe.Words(path, P.PATTERN).find(t)})
     folded = bpe.encode_words(spark.createDataFrame([(w,) for w in [*words, ""]], "word string"), path)
     for r in folded.collect():
