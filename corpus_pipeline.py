@@ -10,55 +10,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, decontaminate, jaccard, secrets, toxicity
-from millrace.llm.shared import staged, table
-
-THRESHOLD = 0.7
-
+from millrace.llm.shared import quoted, staged, table
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the lexicon doesn't reject; it is learned from the labelled rows of ``documents``."""
+    """Documents that the lexicon doesn't reject; it is learned from the labelled rows of ``documents``.
+
+    Null and empty texts hold no evidence and stay; rows with the same text go or stay together, whatever their ids; an empty table stays empty.
+    """
     lexicon = toxicity.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, lexicon, keep=True).where(F.col("_score") < THRESHOLD).select(*docs.columns)
+    return toxicity.kept(docs, lexicon)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: the one with the least id; ids that aren't null come first.
 
     Rows are told apart by id and text, so rows that share an id, or have none, are judged by their own texts. Of rows with the same id and
-    text one stays. Rows without words are no copies.
+    text one stays. Rows without words (null and empty texts) are no copies and stay; an empty table stays empty.
     """
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text"), F.lit(""))))
-    groups = staged(jaccard.near_duplicates(keyed.select("_key", "text"), "_key").where("n_shingles > 0").groupBy("_key", "component_id").agg(F.count(F.lit(1)).alias("n")))
-    named = groups.join(keyed.select("_key", "doc_id").distinct(), "_key")
-    least = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("least")).select("least._key")
-    # rows that go; a table of keys only
-    drop = staged(groups.select("_key").join(least, "_key", "left_anti"))
-    repeated = staged(groups.where("n > 1").join(least, "_key", "left_semi").select("_key"))
-
-    def met(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-        return rows.join(F.broadcast(keys) if keys.count() <= jaccard.SEMI_IDS else keys, "_key", how)
-
-    kept = met(keyed, drop, "left_anti")
-    if repeated.limit(1).count():
-        kept = met(kept, repeated, "left_anti").unionByName(met(kept, repeated, "left_semi").dropDuplicates(["_key"]))
-    return kept.select(*docs.columns)
+    return jaccard.representatives(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item.
+
+    Each row is judged by its own text; null and empty texts stay; benchmark items without words or text match nothing; an empty table stays empty.
+    """
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, live-looking secrets masked."""
+    """All documents, live-looking secrets masked, and ``n_chars`` counted again.
+
+    Null texts stay null, with a null ``n_chars``; a null source is one owner; repeated rows are masked alike; an empty table stays empty.
+    """
     out = secrets.redact(docs)
-    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    if "n_chars" not in docs.columns:
+        return out
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*map(quoted, docs.columns))
 
 
 def encode_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their token ids and the digest of the bytes that these decode to."""
+    """All documents with their token ids (``ids``, ``n_tokens``) and the digest of the bytes that these decode to (``decoded_sha256``).
+
+    A null text is empty: no ids, and the digest of no bytes. Columns of the documents that already have one of these three names are replaced; an empty table stays empty.
+    """
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    out = bpe.encode(docs, path, public_tokenizers.PATTERN)
+    own = ("ids", "n_tokens", "decoded_sha256")
+    out = bpe.encode(docs.select(*(quoted(c) for c in docs.columns if c.lower() not in own)), path, public_tokenizers.PATTERN)
     return out.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("decoded_sha256", F.sha2(bpe.decoded(F.col("ids"), path), 256))
 
 
