@@ -2,15 +2,20 @@
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: then up to ``?``, ``#`` or the end. A rule ``host/path``
 fits its host and every subdomain if the url's path starts with the rule's; the longest rule wins. Urls that a rule decides
-are the labelled ones: trees are fitted on a bounded sample of them (``SAMPLE`` urls, by the least hashes of their text) and judge all
-others. The suffix statistic is the smoothed share of blocked urls under a host's last label in that sample.
+are the labelled ones: trees are fitted on a bounded sample of them (about ``SAMPLE`` urls, by the least hashes of their text) and judge all
+others. Beside lengths, counts and entropy, the features are the smoothed shares of blocked urls in that sample by suffixes of the host (one label and two), by
+the path's first part, by both, by the beginning of the second part, and by the file's extension. A sample url's own shares come from the other folds of the sample, so trees never
+see a url's own label in them. Each sample url is learned from with all of its shares and with some of them as of keys never seen, so that an unknown
+host or path is judged by what is known of the url, not as the nearest share. The score from which on a url is blocked is where the F1 of scores made the same way, by trees fitted on the other folds, is greatest.
 
 Defined results: a null url or one without ``://`` has an empty host and path, fits no rule and gets the trees' verdict on its
-features; with labels of one kind only the trees say that kind, with none they allow; repeated rows each get a row.
+features; with labels of one kind only the trees say that kind, with none they allow; repeated rows each get a row; an empty table gives no rows; other
+columns aren't read, whatever their names.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import quoted
+
 #: (host/path, verdict).
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-SAMPLE, TREES, DEPTH, RATE, BINS, LEAF = 20_000, 40, 3, 0.2, 32, 20
+SAMPLE, TREES, DEPTH, RATE, BINS, LEAF, FOLDS, PRIOR = 20_000, 40, 4, 0.2, 32, 5, 3, 2.0
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -40,14 +47,43 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RUL
     return out
 
 
-FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digits", "digit_ratio", "hyphens", "host_hyphens", "entropy", "parameters", "query_length", "longest_part", "upper", "fragment", "secure", "suffix")
+FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digits", "digit_ratio", "hyphens", "host_hyphens", "entropy", "parameters", "query_length", "longest_part", "upper", "fragment", "secure")
+#: What shares of blocked urls are kept by.
+KEYS = ("label", "labels", "head", "label+head", "labels+head", "labels+head+next", "extension")
+
+
+def keys_of(url: str) -> tuple[str, ...]:
+    """A url's values of KEYS."""
+    rest = url.partition("://")[2].partition("#")[0].partition("?")[0]
+    host, _, path = rest.partition("/")
+    names, parts_ = host.lower().split("."), path.split("/")
+    one, two, head, next_ = names[-1], ".".join(names[-2:]), parts_[0], parts_[1][:1] if len(parts_) > 1 else ""
+    return one, two, head, f"{one}/{head}", f"{two}/{head}", f"{two}/{head}/{next_}", parts_[-1].rpartition(".")[2] if "." in parts_[-1] else ""
+
+
+#: Which of KEYS a sample url is learned from with: all; those of one thing; those of the path; none.
+KNOWN = np.array([[1, 1, 1, 1, 1, 1, 1], [1, 0, 1, 0, 0, 0, 1], [0, 0, 1, 0, 0, 0, 1], [1, 1, 0, 0, 0, 0, 0], [0, 0, 0, 0, 0, 0, 0]], bool)
+
 
+class Shares:
+    """Smoothed shares of blocked urls by each of KEYS."""
 
-def _suffix(url: str) -> str:
-    return url.partition("://")[2].split("/")[0].split("?")[0].split("#")[0].lower().rpartition(".")[2]
+    def __init__(self, keys: list[tuple[str, ...]], y: np.ndarray, usual: float):
+        self.usual = usual
+        self.shares: list[dict[str, float]] = []
+        for column in zip(*keys, strict=True) if keys else [()] * len(KEYS):
+            seen: dict[str, list[float]] = {}
+            for k, b in zip(column, y.tolist(), strict=True):
+                s = seen.setdefault(k, [0.0, 0.0])
+                s[0] += b
+                s[1] += 1
+            self.shares.append({k: (a + PRIOR * usual) / (n + PRIOR) for k, (a, n) in seen.items()})
 
+    def of(self, keys: list[tuple[str, ...]]) -> np.ndarray:
+        return np.array([[s.get(k, self.usual) for s, k in zip(self.shares, row, strict=True)] for row in keys]).reshape(len(keys), len(KEYS))
 
-def features(urls: list[str], suffixes: dict[str, float], usual: float) -> np.ndarray:
+
+def features(urls: list[str]) -> np.ndarray:
     """Lexical features, a row for each url."""
     out = np.zeros((len(urls), len(FEATURES)))
     for n, url in enumerate(urls):
@@ -61,7 +97,7 @@ def features(urls: list[str], suffixes: dict[str, float], usual: float) -> np.nd
         digits = sum(map(url.count, "0123456789"))
         out[n] = (
             len(url), len(host), len(path), path.count("/"), host.count("."), digits, digits / max(1, len(url)), url.count("-"), host.count("-"), -(share * np.log2(share)).sum(),
-            query.count("=") + query.count("&"), len(query), max(map(len, host.split("."))), sum(map(str.isupper, url)), len(fragment), url.startswith("https"), suffixes.get(_suffix(url), usual),
+            query.count("=") + query.count("&"), len(query), max(map(len, host.split("."))), sum(map(str.isupper, url)), len(fragment), url.startswith("https"),
         )
     return out
 
@@ -118,33 +154,64 @@ class Trees:
 
 
 class UrlModel:
+    """Shares, trees and the score from which on a url is blocked, from labelled urls. Folds go by the urls' CRC-32, so they don't hang on the order."""
+
     def __init__(self, urls: list[str], blocked: list[int]):
         y = np.array(blocked, float)
         self.usual = float(y.mean()) if len(y) else 0.0
-        seen: dict[str, list[float]] = {}
-        for u, b in zip(urls, y, strict=True):
-            s = seen.setdefault(_suffix(u), [0.0, 0.0])
-            s[0] += b
-            s[1] += 1
-        self.suffixes = {k: (a + 20 * self.usual) / (n + 20) for k, (a, n) in seen.items()}
-        self.trees = Trees(features(urls, self.suffixes, self.usual), y) if 0 < self.usual < 1 else None
+        self.trees, self.cut, keys = None, 0.5, [keys_of(u) for u in urls]
+        self.shares = Shares(keys, y, self.usual)
+        fold = np.array([zlib.crc32(u.encode()) % FOLDS for u in urls], int)
+        if not 0 < self.usual < 1:
+            return
+        plain = features(urls)
+
+        def inside(rows: np.ndarray) -> np.ndarray:
+            """Shares of the rows, each from the other folds of these rows."""
+            out = np.full((len(rows), len(KEYS)), self.usual)
+            for f in range(FOLDS):
+                own, other = fold[rows] == f, rows[fold[rows] != f]
+                out[own] = Shares([keys[k] for k in other], y[other], self.usual).of([keys[k] for k in rows[own]])
+            return out
+
+        def trees(rows: np.ndarray) -> Trees:
+            own = inside(rows)
+            masked = [np.hstack([plain[rows], np.where(known, own, self.usual)]) for known in KNOWN]
+            return Trees(np.concatenate(masked), np.tile(y[rows], len(KNOWN)))
+
+        scores = np.full(len(y), self.usual)
+        for f in range(FOLDS):
+            rest, own = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+            if len(own) and 0 < y[rest].mean() < 1:
+                seen = Shares([keys[k] for k in rest], y[rest], self.usual).of([keys[k] for k in own])
+                scores[own] = trees(rest).score(np.hstack([plain[own], seen]))
+        self.cut = best_cut(scores, y)
+        self.trees = trees(np.arange(len(y)))
 
     def score(self, urls: list[str]) -> np.ndarray:
-        if self.trees is None:
+        if self.trees is None or not urls:
             return np.full(len(urls), self.usual)
-        return self.trees.score(features(urls, self.suffixes, self.usual))
+        return self.trees.score(np.hstack([features(urls), self.shares.of([keys_of(u) for u in urls])]))
 
 
-def judged(pages: DataFrame, url_col: str = "url", rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
-    """``pages`` with _host, _path and _rule (rule, verdict)."""
-    host, path = parts(F.col(url_col))
-    return pages.withColumns({"_host": host, "_path": path}).withColumn("_rule", rule_of(F.col("_host"), F.col("_path"), rules))
+def best_cut(scores: np.ndarray, y: np.ndarray) -> float:
+    """The score from which on urls are blocked with the greatest F1: the middle of the gap there, of equal ones the gap nearest to a half."""
+    order = np.argsort(-scores, kind="stable")
+    s, hit = scores[order], np.cumsum(y[order])
+    f1 = 2 * hit / (np.arange(1, len(s) + 1) + y.sum())
+    low = np.append(s[1:], 0.0)
+    f1[low == s] = 0
+    return min((abs(c - 0.5), c) for c in ((s + low) / 2)[f1 >= f1.max() - 1e-12].tolist())[1]
 
 
 def fit(pages: DataFrame, url_col: str = "url", rules: tuple[tuple[str, str], ...] = RULES, sample: int = SAMPLE) -> UrlModel:
-    """The trees, from at most ``sample`` distinct urls that a rule decides."""
-    known = judged(pages.select(F.col(url_col).alias("u")), "u", rules).where("_rule is not null").select("u", (F.col("_rule.verdict") == "block").cast("int").alias("y")).distinct()
-    rows = known.orderBy(F.xxhash64("u"), "u").limit(sample).collect()
+    """The trees, from about ``sample`` distinct urls that a rule decides, at most: what reaches the driver is of that size, however many rows and tasks there are."""
+    host, path = parts(F.col("u"))
+    known = pages.select(F.col(quoted(url_col)).alias("u")).select("u", rule_of(host, path, rules).alias("rule")).where("rule is not null").select("u", (F.col("rule.verdict") == "block").cast("int").alias("y"))
+    # urls whose hash lies below a bound that lets a few more than needed through, by an estimate of how many different ones there are
+    n = known.agg(F.approx_count_distinct("u", 0.01)).first()[0]
+    bound = int(2**62 * min(1.0, 1.1 * (sample + 500) / max(1, n)))
+    rows = known.where(F.pmod(F.xxhash64("u"), F.lit(2**62)) < F.lit(bound)).distinct().orderBy(F.pmod(F.xxhash64("u"), F.lit(2**62)), "u").limit(sample).collect()
     return UrlModel([r.u for r in rows], [r.y for r in rows])
 
 
@@ -157,6 +224,8 @@ def verdicts(pages: DataFrame, model: UrlModel, id_col: str = "page_id", url_col
             urls = b.column("u").to_pylist()
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score([u or "" for u in urls]), pa.float64())], ["i", "u", "score"])
 
-    rated = pages.select(F.col(id_col).alias("i"), F.col(url_col).alias("u")).mapInArrow(run, f"i {kind}, u string, score double")
-    own = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
-    return judged(rated, "u", rules).select(F.col("i").alias(id_col), F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule.rule").alias("rule"), F.coalesce("_rule.verdict", own).alias("verdict"), "score")
+    rated = pages.select(F.col(quoted(id_col)).alias("i"), F.col(quoted(url_col)).alias("u")).mapInArrow(run, f"i {kind}, u string, score double")
+    own = F.when(F.col("score") >= model.cut, "block").otherwise("allow")
+    host, path = parts(F.col("u"))
+    ruled = rated.select("i", "score", host.alias("host"), path.alias("path"), rule_of(host, path, rules).alias("rule"))
+    return ruled.select(F.col("i").alias(id_col), "host", "path", F.col("rule.rule").alias("rule"), F.coalesce("rule.verdict", own).alias("verdict"), "score")
