@@ -57,6 +57,8 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
+        #: Ids are kept as narrow as the vocabulary lets them be.
+        self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
@@ -64,22 +66,22 @@ class WordEncoder:
         self.reserved = re.compile(b"|".join(map(re.escape, names)) if names else rb"(?!)").search
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def _words(self, need: list[tuple[bytes, str]]) -> Iterator[tuple[bytes, bytes]]:
         """Ids of words of letters, many in one text: a word's last id is one that closes words."""
         groups = [need[i : i + JOINED] for i in range(0, len(need), JOINED)]
         for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(w for _, w in g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
+            ids = np.array(e.ids, self.kind)
             cut = np.flatnonzero(self.closes[ids]) + 1
             if len(cut) == len(group) and cut[-1] == len(ids):
-                raw, ends = ids.tobytes(), [0, *(4 * cut).tolist()]
+                raw, ends = ids.tobytes(), [0, *(ids.itemsize * cut).tolist()]
                 yield from ((p, raw[a:z]) for (p, _), a, z in zip(group, ends, ends[1:], strict=False))
             else:  # a word that lower case takes apart
                 yield from zip([p for p, _ in group], self._encode([w for _, w in group]), strict=True)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of UTF-8 texts as little-endian 32-bit integers."""
+        """Ids of UTF-8 texts as little-endian integers of ``kind``."""
         # bytes.lower() touches A-Z only, as the normaliser does again; reserved strings are found before that, in their own case
         cut = [[p if self.reserved(p) else p.lower() for p in t.split()] if self.reserved(t) else t.lower().split() for t in texts]
         if len(self.known) > KEPT_WORDS:
@@ -262,22 +264,19 @@ class Shard:
 
 
 def encoded(docs: DataFrame, path: str, id_col: str, text_col: str, end_id: int = END_ID) -> DataFrame:
-    """(i, ids) with ids as little-endian 32-bit integers, the end id last; narrow ids travel as 16-bit ones."""
+    """(i, ids) with ids as little-endian integers of ``wide`` bytes, the end id last."""
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        tail = np.array([end_id], "<u4").tobytes()
-        narrow = enc.tokenizer.get_vocab_size() <= 1 << 16
+        tail, size = np.array([end_id], enc.kind).tobytes(), int(enc.kind[-1])
         for b in batches:
             raw, at = buffers(b.column("t"))
             whole = raw.tobytes()
             out: list[bytes] = []
             for lo in range(0, b.num_rows, 500):
                 out += [x + tail for x in enc.encode([whole[a:z] for a, z in zip(at[lo : lo + 500].tolist(), at[lo + 1 : lo + 501].tolist(), strict=False)])]
-            if narrow:
-                out = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in out]
-            yield pa.RecordBatch.from_arrays([b.column("i"), pa.array(out, pa.binary()), pa.array([2 if narrow else 4] * b.num_rows, pa.int32())], ["i", "ids", "wide"])
+            yield pa.RecordBatch.from_arrays([b.column("i"), pa.array(out, pa.binary()), pa.array([size] * b.num_rows, pa.int32())], ["i", "ids", "wide"])
 
     return docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).mapInArrow(run, f"i {kind}, ids binary, wide int")
 
