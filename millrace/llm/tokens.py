@@ -36,7 +36,7 @@ from . import files
 from .shared import range_of, shared_dir, staged, width
 from .words import buffers
 
-END_ID, SHARD_TOKENS, ROUND_PAIRS, KEPT_WORDS = 1, 1 << 20, 2048, 800_000
+END_ID, SHARD_TOKENS, ROUND_PAIRS, KEPT_WORDS = 1, 1 << 20, 3072, 800_000
 #: Words that go through the library in one call.
 JOINED = 64
 _MAGIC = b"RPG2"
