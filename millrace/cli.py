@@ -31,7 +31,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("-s", "--stream", required=True, help="name of the stream")
     p.add_argument("-t", "--metadata-table", help="folder that keeps progress; without it progress is kept in memory")
     p.add_argument("--metadata-database", help="parent folder of the progress folder")
-    p.add_argument("--create-table", action="store_true", help="accepted; the progress folder is made when first written")
+    p.add_argument("--create-table", action="store_true", help="makes the progress folder and a table over it, if they aren't there")
     p.add_argument("--start", type=time_of)
     p.add_argument("--end", type=time_of)
     p.add_argument("--heartbeat-interval", type=float, default=0.0, help="seconds")
@@ -47,8 +47,17 @@ def main(argv: list[str] | None = None) -> int:
     if args.priority:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", args.priority)
     table = f"{args.metadata_database}/{args.metadata_table}" if args.metadata_database and args.metadata_table else args.metadata_table
+    if args.create_table:
+        if not table:
+            print("--create-table needs --metadata-table", file=sys.stderr)
+            return 2
+        TableStore.create(spark, table, "partition_metadata")
     store = TableStore(spark, table) if table else MemoryStore()
-    work = args.work or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-")
+    work = args.work or spark.conf.get("spark.checkpoint.dir", None)
+    if not work and not spark.sparkContext.master.startswith("local"):
+        print("--work or spark.checkpoint.dir must name a folder that the driver and all executors share", file=sys.stderr)
+        return 2
+    work = work or tempfile.mkdtemp(prefix="millrace-")
     subscriber = Subscriber(Config(spark=spark, stream_name=args.stream, partition_storage=store, consumer=JsonLines(), path=args.database, work=work, start=args.start, end=args.end, heartbeat_interval=args.heartbeat_interval, max_inflight=args.max_inflight))
 
     def stop(*_) -> None:

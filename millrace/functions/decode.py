@@ -69,6 +69,19 @@ def complete(record: Column) -> Column:
     return record
 
 
+def data_changes(rows: DataFrame, envelope_col: str, name: str = "record") -> DataFrame:
+    """A row for each data change of the envelopes, complete, with the other columns."""
+    found = rows.select(*(c for c in rows.columns if c != envelope_col), F.explode(F.col(envelope_col)["data_change_record"]).alias(name))
+    return found.withColumn(name, complete(F.col(name)))
+
+
+def modified_rows(rows: DataFrame, record_col: str, columns: list[tuple[str, str, str | None]], keys: tuple[str, ...]) -> DataFrame:
+    """A row for each modified row of data changes, with typed columns (name, code, element code): the keys from the mod's keys, the others from its new values."""
+    mods = rows.select("*", F.explode(F.col(record_col)["mods"]).alias("_mod"))
+    out = [typed(F.col("_mod")["keys" if n in keys else "new_values"], n, c, e).alias(n) for n, c, e in columns]
+    return mods.select(*rows.columns, *out).drop(record_col)
+
+
 #: Times in JSON lines: always six digits.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 

@@ -50,8 +50,33 @@ class RetryPolicy:
             yield n
 
 
+#: What errors of Spark and of file systems say, and the status code that it stands for.
+_SAID = (
+    ("java.util.concurrent.TimeoutException", "DeadlineExceeded"), ("java.net.SocketTimeoutException", "DeadlineExceeded"), ("java.io.IOException", "Unavailable"), ("java.net.", "Unavailable"),
+    ("org.apache.hadoop.ipc.RemoteException", "Unavailable"), ("java.io.UncheckedIOException", "Unavailable"),
+)
+
+
+def status_of(error: BaseException | None) -> str:
+    """The status code of an error: its own, or that of what a write through Spark or a file system failed with."""
+    if error is None:
+        return "OK"
+    if isinstance(error, StatusError):
+        return error.code
+    if isinstance(error, TimeoutError):
+        return "DeadlineExceeded"
+    if isinstance(error, (FileNotFoundError, PermissionError, FileExistsError)):
+        return {FileNotFoundError: "NotFound", PermissionError: "PermissionDenied"}.get(type(error), "AlreadyExists")
+    if isinstance(error, OSError):
+        return "Unavailable"
+    if type(error).__module__.split(".")[0] in ("pyspark", "py4j"):
+        text = str(error)
+        return next((code for name, code in _SAID if name in text), "InvalidArgument")
+    return "Unknown"
+
+
 def retryable(error: BaseException | None) -> bool:
-    return isinstance(error, StatusError) and error.code in RETRYABLE
+    return status_of(error) in RETRYABLE
 
 
 def retried(call: Callable[[], R], policy: RetryPolicy, sleep: Callable[[float], bool | None] = time.sleep) -> R:
@@ -60,7 +85,7 @@ def retried(call: Callable[[], R], policy: RetryPolicy, sleep: Callable[[float],
     for _ in policy.attempts(sleep):
         try:
             return call()
-        except StatusError as e:
+        except Exception as e:
             last = e
             if not retryable(e):
                 break

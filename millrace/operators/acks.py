@@ -34,7 +34,7 @@ def sequenced(log: DataFrame, by: list[str], order: list[str], bucket: Column, n
     ``bucket`` must not decrease along the order. Numbers are counted inside (partition, bucket) and moved by the sizes of earlier buckets, so the
     largest sort is a bucket of a partition, not a partition.
     """
-    rows = log.withColumn("_bucket", bucket)
+    rows = log.withColumn("_bucket", bucket)  # small buckets keep sorts small, as the sizes of all buckets are far fewer rows than the log
     sizes = rows.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     number = F.row_number().over(W.partitionBy(*by, "_bucket").orderBy(*order)) - 1

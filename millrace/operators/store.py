@@ -1,16 +1,19 @@
 """Stores of partition metadata: nine operations behind which a subscription keeps its progress.
 
 ``MemoryStore`` holds rows of one process; ``TableStore`` appends transitions to a folder of JSON files through Spark, so any store that Spark reaches
-holds it and a restart finds it. Both keep a child's first row, raise KeyError for unknown tokens, and hand out copies.
+holds it and a restart finds it. Both keep a child's first row, raise KeyError for unknown tokens, and hand out copies. Changes inside ``with store.batch()`` are
+appended together, at its end, or none of them.
 """
 
 from __future__ import annotations
 
 import copy
 import threading
-from collections.abc import Callable, Iterable
+import time
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field, replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +66,17 @@ class MemoryStore:
         self.rows: dict[str, Partition] = {}
         self._lock = threading.RLock()
 
+    @contextmanager
+    def batch(self) -> Iterator[None]:
+        """What changes inside changes together; after an error nothing of it has."""
+        with self._lock:
+            before = dict(self.rows)
+            try:
+                yield
+            except BaseException:
+                self.rows = before
+                raise
+
     def _sorted(self, test: Callable[[Partition], bool], key: str) -> list[Partition]:
         with self._lock:
             return sorted((p for p in self.rows.values() if test(p)), key=lambda p: (getattr(p, key), p.partition_token))
@@ -108,8 +122,12 @@ class MemoryStore:
 class TableStore(MemoryStore):
     """The same, with each change appended to a folder as transition rows; opening the folder again finds the current ones."""
 
-    def __init__(self, spark: SparkSession, path: str, policy: RetryPolicy | None = None):
+    schema = ", ".join(f"{f.name} {'timestamp_ntz' if f.dataType.typeName() == 'timestamp' else f.dataType.simpleString()}" for f in METADATA.fields) + ", version bigint"
+
+    def __init__(self, spark: SparkSession, path: str, policy: RetryPolicy | None = None, sleep: Callable[[float], bool | None] = time.sleep):
         super().__init__()
+        self.sleep, self.appends = sleep, 0
+        self._waiting: dict[str, Partition] | None = None
         self.spark, self.path, self.policy = spark, path, policy or RetryPolicy()
         self.version = 0
         for r in self._log_rows():
@@ -130,27 +148,72 @@ class TableStore(MemoryStore):
 
     def log(self) -> DataFrame:
         """All transitions; times are UTC without a zone, so no session setting moves them."""
-        fields = ", ".join(f"{f.name} {'timestamp_ntz' if f.dataType.typeName() == 'timestamp' else f.dataType.simpleString()}" for f in METADATA.fields)
-        return self.spark.read.schema(f"{fields}, version bigint").json(self.path)
+        return self.spark.read.schema(self.schema).json(self.path)
+
+    @contextmanager
+    def batch(self) -> Iterator[None]:
+        with self._lock:
+            if self._waiting is not None:  # part of a batch around it
+                yield
+                return
+            self._waiting = {}
+            try:
+                with super().batch():
+                    yield
+                    self._append(list(self._waiting.values()))
+            finally:
+                self._waiting = None
 
     def _put(self, rows: list[Partition]) -> None:
-        if not rows:
-            return
         with self._lock:
-            version = self.version + 1
+            if self._waiting is not None:
+                self._waiting.update((p.partition_token, p) for p in rows)
+            else:
+                self._append(rows)
+            super()._put(rows)
 
-            def plain(p: Partition) -> tuple:
-                values = asdict(p)
-                return (*(v.astimezone(timezone.utc).replace(tzinfo=None) if isinstance(v := values[f], datetime) else list(v) if f == "parent_tokens" else v for f in partitions.FIELDS), version)
+    def _frame(self, rows: list[Partition], version: int) -> DataFrame:
+        def plain(p: Partition) -> tuple:
+            values = asdict(p)
+            return (*(v.astimezone(timezone.utc).replace(tzinfo=None) if isinstance(v := values[f], datetime) else list(v) if f == "parent_tokens" else v for f in partitions.FIELDS), version)
 
-            fields = ", ".join(f"{f.name} {'timestamp_ntz' if f.dataType.typeName() == 'timestamp' else f.dataType.simpleString()}" for f in METADATA.fields)
-            frame = self.spark.createDataFrame([plain(p) for p in rows], f"{fields}, version bigint").coalesce(1)
-            retried(lambda: frame.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(self.path), self.policy)
-            self.version = version
-            super()._put(rows)
+        return self.spark.createDataFrame([plain(p) for p in rows], self.schema).coalesce(1)
+
+    def _write(self, frame: DataFrame) -> None:
+        frame.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(self.path)
+
+    def _append(self, rows: list[Partition]) -> None:
+        """One write of all rows; another attempt after a failed one may leave a row twice, with the same version."""
+        if not rows:
+            return
+        frame = self._frame(rows, self.version + 1)
+        retried(lambda: self._write(frame), self.policy, self.sleep)
+        self.version += 1
+        self.appends += 1
 
     def compact(self, target: str, now: datetime | None = None, days: int = 1) -> None:
         """The current rows without long finished ones, written to another folder."""
         at = F.lit((now or _now()).astimezone(timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
         kept = partitions.retained(partitions.current(self.log()), at, days).withColumn("version", F.lit(self.version).cast("long"))
         kept.coalesce(1).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(target)
+
+    def trim(self, now: datetime | None = None, days: int = 1) -> None:
+        """The log's files replaced by one with the current rows, without long finished ones: it is written first, then the others are deleted."""
+        limit = (now or _now()) - timedelta(days=days)
+        with self._lock:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+            files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            old = [f.getPath() for f in files.listStatus(folder) if f.getPath().getName().startswith("part-")] if files.exists(folder) else []
+            self.rows = {t: p for t, p in self.rows.items() if p.finished_at is None or p.finished_at >= limit}
+            self._append(list(self.rows.values()))
+            for path in old:
+                files.delete(path, False)
+            self.appends = 0
+
+    @staticmethod
+    def create(spark: SparkSession, path: str, name: str | None = None) -> None:
+        """Makes the log's folder, if it isn't there, and with a name a table over it. Doing so again changes nothing."""
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+        if name:
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({TableStore.schema}) USING json LOCATION '{path}'")

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import decode, retry
-from ..functions.schemas import SCHEDULED, TYPE_CODES
-from ..operators import acks, partitions
+from ..functions.schemas import COLUMN_TYPE, DATA_CHANGE, FINISHED, RUNNING, SCHEDULED, TYPE_CODES
+from ..operators import acks, partitions, store
 from ..sources import changelog
+from ..streaming import subscriber
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,6 +51,16 @@ def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog.derived_metadata(_log(spark, sf_dir))
 
 
+def _shared(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='millrace-')}"
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def _time(value: datetime):
     return F.lit(str(value)).cast("timestamp_ntz")
 
@@ -61,7 +74,15 @@ def read_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
   row_number() OVER (PARTITION BY token ORDER BY date_trunc('hour', ts), CASE kind WHEN 'data' THEN 0 WHEN 'heartbeat' THEN 1 ELSE 2 END, ts, event_id) - 1 AS seq FROM log""")
 def demux(spark: SparkSession, sf_dir: str) -> DataFrame:
     hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
-    return changelog.demultiplexed(changelog.envelopes(_log(spark, sf_dir), ["token"], hour), ["token"])
+    return changelog.numbered(_log(spark, sf_dir), ["token"], hour, ["ts", "event_id"]).select("token", hour.alias("bucket"), "kind", "ts", "event_id", "seq")
+
+
+@query(f"""WITH {_LOG} SELECT token, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS bucket, kind, ts, event_id,
+  row_number() OVER (PARTITION BY token ORDER BY date_trunc('minute', ts), CASE kind WHEN 'data' THEN 0 WHEN 'heartbeat' THEN 1 ELSE 2 END, ts, event_id) - 1 AS seq FROM log""")
+def demux_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes as they come on the wire, arrays of a minute's records each."""
+    minute = F.date_trunc("minute", "ts").cast("timestamp_ntz")
+    return changelog.demultiplexed(changelog.envelopes(_log(spark, sf_dir), ["token"], minute), ["token"])
 
 
 @query(f"""WITH {_LOG}, gap AS (SELECT token, min(CASE WHEN kind = 'data' AND NOT acked THEN seq END) AS first_gap FROM log GROUP BY token)
@@ -92,7 +113,7 @@ def heartbeat_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_LOG} SELECT event_id, token, seq FROM log""")
 def sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return acks.sequenced(_log(spark, sf_dir), ["token"], ["ts", "event_id"], F.date_trunc("day", "ts")).select("event_id", "token", "seq")
+    return acks.sequenced(_log(spark, sf_dir), ["token"], ["ts", "event_id"], F.date_trunc("minute", "ts")).select("event_id", "token", "seq")
 
 
 @query(f"""WITH {_LOG} SELECT event_id, token, seq FROM log WHERE seq < 5""")
@@ -168,9 +189,35 @@ def decode_mods(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT o_orderkey, l_linenumber, l_partkey, CASE WHEN o_orderstatus = 'F' THEN 'INSERT' ELSE 'UPDATE' END AS mod_type FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
 def mods_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lines = spark.read.parquet(f"{sf_dir}/orders.parquet"), spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    mods = lines.select("l_orderkey", F.struct("l_linenumber", "l_partkey").alias("m")).groupBy("l_orderkey").agg(F.collect_list("m").alias("mods"))
+    keys, new = F.to_json(F.struct(F.col("l_linenumber").cast("string").alias("l_linenumber"))), F.to_json(F.struct(F.col("l_partkey").cast("string").alias("l_partkey")))
+    mods = lines.select("l_orderkey", F.struct(keys.alias("keys"), new.alias("new_values"), F.lit(None).cast("string").alias("old_values")).alias("m")).groupBy("l_orderkey").agg(F.collect_list("m").alias("mods"))
     records = orders.select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "INSERT").otherwise("UPDATE").alias("mod_type")).join(mods, F.col("o_orderkey") == F.col("l_orderkey"))
-    return records.select("o_orderkey", "mod_type", F.explode("mods").alias("m")).select("o_orderkey", "m.l_linenumber", "m.l_partkey", "mod_type")
+    rows = decode.modified_rows(records.select("o_orderkey", "mod_type", F.struct("mods").alias("record")), "record", [("l_linenumber", "INT64", None), ("l_partkey", "INT64", None)], ("l_linenumber",))
+    return rows.select("o_orderkey", F.col("l_linenumber").cast("int").alias("l_linenumber"), "l_partkey", "mod_type")
+
+
+_LINE = """'{"commit_timestamp":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || 'Z","record_sequence":"' || lpad(CAST(o_orderkey % 100 AS VARCHAR), 8, '0') || '","server_transaction_id":"tx' || CAST(o_custkey AS VARCHAR)
+  || '","is_last_record_in_transaction_in_partition":true,"table_name":"orders","column_types":' || CASE WHEN o_orderkey % 3 = 0 THEN '[]' ELSE '[{"name":"o_orderkey","type":{"code":"INT64"},"is_primary_key":true,"ordinal_position":1},{"name":"tags","type":{"code":"ARRAY","array_element_type":{"code":"STRING"}},"ordinal_position":2}]' END
+  || ',"mods":' || CASE WHEN o_orderkey % 5 = 0 THEN '[]' ELSE '[{"keys":{"o_orderkey":"' || CAST(o_orderkey AS VARCHAR) || '"}' || CASE WHEN o_orderstatus = 'F' THEN '' ELSE ',"new_values":{"tags":["' || o_orderpriority || '"]}' END || '}]' END
+  || ',"mod_type":"' || CASE WHEN o_orderstatus = 'F' THEN 'DELETE' ELSE 'INSERT' END || '","value_capture_type":"NEW_VALUES","number_of_records_in_transaction":1,"number_of_partitions_in_transaction":1,"transaction_tag":"","is_system_transaction":false}'"""
+
+
+@query(f"""SELECT o_orderkey, {_LINE} AS line FROM orders""")
+def envelope_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes with one data change each, some without column types or mods, as JSON lines."""
+    gone, key = F.col("o_orderstatus") == "F", F.col("o_orderkey").cast("string")
+    types = F.from_json(F.lit('[{"name":"o_orderkey","type":{"code":"INT64"},"is_primary_key":true,"ordinal_position":1},{"name":"tags","type":{"code":"ARRAY","array_element_type":{"code":"STRING"}},"is_primary_key":false,"ordinal_position":2}]'), f"array<{COLUMN_TYPE}>")
+    mod = F.struct(F.concat(F.lit('{"o_orderkey":"'), key, F.lit('"}')).alias("keys"), F.when(gone, "{}").otherwise(F.concat(F.lit('{"tags":["'), F.col("o_orderpriority"), F.lit('"]}'))).alias("new_values"), F.when(gone, F.lit(None)).otherwise("{}").alias("old_values"))
+    fields = {
+        "commit_timestamp": F.col("o_orderdate").cast("timestamp"), "record_sequence": F.lpad((F.col("o_orderkey") % 100).cast("string"), 8, "0"), "server_transaction_id": F.concat(F.lit("tx"), F.col("o_custkey").cast("string")),
+        "is_last_record_in_transaction_in_partition": F.lit(True), "table_name": F.lit("orders"), "column_types": F.when(F.col("o_orderkey") % 3 != 0, types), "mods": F.when(F.col("o_orderkey") % 5 != 0, F.array(mod)),
+        "mod_type": F.when(gone, "DELETE").otherwise("INSERT"), "value_capture_type": F.lit("NEW_VALUES"), "number_of_records_in_transaction": F.lit(1).cast("long"), "number_of_partitions_in_transaction": F.lit(1).cast("long"),
+        "transaction_tag": F.lit(""), "is_system_transaction": F.lit(False),
+    }
+    record = F.struct(*(c.alias(n) for n, c in fields.items())).cast(DATA_CHANGE)
+    envelope = F.struct(F.array(record).alias("data_change_record"))
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", envelope.alias("envelope"))
+    return decode.data_changes(rows, "envelope").select("o_orderkey", decode.change_line(F.col("record")).alias("line"))
 
 
 @query(f"""WITH {_LOG} SELECT event_id, '{{"commit_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","token":"' || token || '","kind":"' || kind || '"' || CASE WHEN mod_type IS NULL THEN '' ELSE ',"mod_type":"' || mod_type || '"' END || '}}' AS line FROM log""")
@@ -187,6 +234,60 @@ def decode_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", t["code"].alias("code"), t["array_element_type"]["code"].alias("element"), t["proto_type_fqn"].alias("fqn"))
 
 
+_ODD_TYPES = ("null", "3", "[]", '"x"', "no json", "{}", '{"code":1}', '{"code":"ARRAY","array_element_type":{}}', '{"code":"UUID"}', '{"code":"ARRAY","array_element_type":{"code":"PROTO","proto_type_fqn":"a.B"}}')
+
+
+@query(f"""WITH {_LOG}, d AS (SELECT event_id, CAST(event_id % {len(_ODD_TYPES) + 1} AS INTEGER) AS k FROM log)
+SELECT event_id, CASE WHEN k < 5 OR k = {len(_ODD_TYPES)} THEN '' WHEN k IN (5, 6) THEN NULL WHEN k = 8 THEN 'UUID' ELSE 'ARRAY' END AS code, CASE WHEN k = 9 THEN 'PROTO' END AS element, CASE WHEN k = 9 THEN 'a.B' END AS fqn FROM d""")
+def decode_types_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column types that are null, no objects, or objects without a code, read without failing."""
+    k = (F.col("event_id") % (len(_ODD_TYPES) + 1)).cast("int")
+    rows = _log(spark, sf_dir).select("event_id", F.get(F.array(*map(F.lit, _ODD_TYPES)), k).alias("j"))
+    t = decode.column_type(F.col("j"), strict=False)
+    return rows.select("event_id", t["code"].alias("code"), t["array_element_type"]["code"].alias("element"), t["array_element_type"]["proto_type_fqn"].alias("fqn"))
+
+
+def _moved(spark: SparkSession, sf_dir: str, state: str, stamp: str) -> DataFrame:
+    meta = _meta(spark, sf_dir).withColumns({c: F.lit(None).cast("timestamp") for c in ("running_at", "finished_at")})
+    return partitions.transition(meta, F.col("partition_token") == "p4", state, F.current_timestamp()).select("partition_token", "state", "watermark", F.col(stamp).isNotNull().alias("stamped"))
+
+
+_MOVED = "SELECT partition_token, CASE WHEN partition_token = 'p4' THEN '{0}' ELSE state END AS state, watermark, partition_token = 'p4' AS stamped FROM meta"
+
+
+@query(f"WITH {_META} {_MOVED.format('RUNNING')}")
+def state_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _moved(spark, sf_dir, RUNNING, "running_at")
+
+
+@query(f"WITH {_META} {_MOVED.format('FINISHED')}")
+def state_finished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The watermark stays as it was."""
+    return _moved(spark, sf_dir, FINISHED, "finished_at")
+
+
+@query(f"""WITH {_LOG} SELECT event_id, token, ts FROM log WHERE kind = 'data' AND ts >= TIMESTAMP '{START}' AND ts <= TIMESTAMP '{END}'""")
+def bounded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a subscription with a start and an end bound gives its consumer, over the derived log as files; it ends by itself."""
+    folder = _shared(spark)
+    log = _log(spark, sf_dir)
+    record = F.when(F.col("kind") == "child", F.lit('{"child_partitions":[]}')).otherwise(F.to_json(F.struct("event_id")))
+    changelog.write_log(log.select("token", "kind", "ts", "event_id", record.alias("record")), f"{folder}/log", ["ts", "event_id"])
+    found = log.select("token").distinct().agg(F.array_sort(F.collect_list(F.struct("token", F.array(F.lit("Parent0")).alias("parent_partition_tokens")))).alias("child_partitions"))
+    root = found.select(F.lit("Parent0").alias("token"), F.lit("child").alias("kind"), _time(START).alias("ts"), F.to_json(F.struct("child_partitions")).alias("record"))
+    changelog.write_log(root, f"{folder}/log", ["ts"])
+    utc = timezone.utc
+    parsed = F.from_json("record", "event_id bigint")["event_id"]
+
+    def keep(rows: DataFrame) -> None:
+        rows.select(parsed.alias("event_id"), "token", F.expr("timestamp_micros(unix_micros(ts))").alias("at")).write.mode("append").parquet(f"{folder}/out")
+
+    subscriber.Subscriber(
+        subscriber.Config(spark=spark, stream_name="derived", partition_storage=store.MemoryStore(), batch_consumer=keep, path=f"{folder}/log", work=f"{folder}/work", start=START.replace(tzinfo=utc), end=END.replace(tzinfo=utc), partition_discovery_interval=0.2)
+    ).subscribe()
+    return spark.read.schema("event_id bigint, token string, at timestamp").parquet(f"{folder}/out").select("event_id", "token", F.to_timestamp_ntz(F.date_format(F.to_utc_timestamp("at", F.current_timezone()), "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("ts"))
+
+
 @query("""SELECT attempt, least(100 * power(2, attempt - 1), 5000) AS wait_ms FROM (SELECT CAST(range AS BIGINT) + 1 AS attempt FROM range(7))""")
 def backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1, 8).select(F.col("id").alias("attempt"), retry.backoff_ms(F.col("id"), 100, 5000, 2).alias("wait_ms"))
@@ -195,8 +296,12 @@ def backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT closed, failed, shut, cancelled, CASE WHEN closed THEN 'closed' WHEN failed THEN 'error' WHEN shut THEN 'shutdown' WHEN cancelled THEN 'cancelled' ELSE 'none' END AS result
 FROM (SELECT n % 2 = 1 AS closed, n // 2 % 2 = 1 AS failed, n // 4 % 2 = 1 AS shut, n // 8 % 2 = 1 AS cancelled FROM (SELECT range AS n FROM range(16)))""")
 def exit_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags = [(F.expr(f"id DIV {2**k} % 2 = 1")).alias(n) for k, n in enumerate(("closed", "failed", "shut", "cancelled"))]
-    return spark.range(16).select(*flags).withColumn("result", F.when(F.col("closed"), "closed").when(F.col("failed"), "error").when(F.col("shut"), "shutdown").when(F.col("cancelled"), "cancelled").otherwise("none"))
+    names = {type(None): "none", subscriber.Closed: "closed", ValueError: "error", subscriber.Shutdown: "shutdown", subscriber.Cancelled: "cancelled"}
+    rows = []
+    for n in range(16):
+        closed, failed, shut, cancelled = (n >> k & 1 == 1 for k in range(4))
+        rows.append((closed, failed, shut, cancelled, names[type(subscriber.exit_error(closed, ValueError() if failed else None, shut, cancelled))]))
+    return spark.createDataFrame(rows, "closed boolean, failed boolean, shut boolean, cancelled boolean, result string")
 
 
 @query("""SELECT 'Parent0' AS partition_token, 0 AS n_parents, TIMESTAMP '2024-01-01 00:00:00' AS start_timestamp, TIMESTAMP '2024-01-01 01:00:00' AS end_timestamp, CAST(10000 AS BIGINT) AS heartbeat_millis, 'CREATED' AS state, TIMESTAMP '2024-01-01 00:00:00' AS watermark""")
@@ -222,8 +327,9 @@ def retryable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT name, coalesce(nullif(given, 0), standard) AS used FROM (VALUES ('heartbeat_ms', 0, 10000), ('max_inflight', 7, 1), ('discovery_ms', 0, 1000)) v(name, given, standard)""")
 def config_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.sql("SELECT * FROM VALUES ('heartbeat_ms', 0, 10000), ('max_inflight', 7, 1), ('discovery_ms', 0, 1000) AS v(name, given, standard)")
-    return rows.select("name", F.coalesce(F.nullif(F.col("given"), F.lit(0)), F.col("standard")).alias("used"))
+    used = subscriber.validated(subscriber.Config(spark=spark, stream_name="s", partition_storage=store.MemoryStore(), consumer=print, max_inflight=7))
+    rows = [("heartbeat_ms", round(used.heartbeat_interval * 1000)), ("max_inflight", used.max_inflight), ("discovery_ms", round(used.partition_discovery_interval * 1000))]
+    return spark.createDataFrame(rows, "name string, used int")
 
 
 #: The query that a smoke check runs.

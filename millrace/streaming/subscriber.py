@@ -1,27 +1,42 @@
 """Subscriptions: partitions are found, scheduled, read, given to a consumer and finished, with progress in a store.
 
-One streaming query reads all scheduled partitions. Each micro-batch is given to the consumer in order of (token, seq); after that, in this order,
-child partitions are stored, positions are stored, ended partitions are finished, and new ones are scheduled; then the batch commits. A consumer's error fails the batch:
-nothing of it is stored, and a later subscription gets it again (at least once).
+One streaming query reads all scheduled partitions, each from its stored watermark (inclusive) to its end bound. A record past the bound, or the log's own
+end, finishes a partition. Each subscription begins with a checkpoint of its own: where to go on is the store's alone to say, so a restart reads again
+everything at or after the stored watermarks (at least once).
 
-``max_inflight`` bounds the records of a partition in a batch, as admission control of the source.
+A partition's data records are given to the consumer in read order, ``max_inflight`` at a time; the next one follows as soon as one returns. A watermark covers the
+acknowledged records before the first that isn't; heartbeats and child records are acknowledged at once, but wait behind earlier data. After each micro-batch all its progress
+(children, watermarks, ended and newly scheduled partitions) is stored by one write. After an error the acknowledged prefixes are stored and the subscription ends.
+
+The consumer runs
+
+* on the executors, one task for each partition of a batch (``executor_consumer``, a picklable function), which is the way for many partitions;
+* on the driver, one thread for each partition of a batch (``consumer``), for small streams and the command line;
+* or as a function of each batch's data as a DataFrame (``batch_consumer``), all of it acknowledged when that returns.
 """
 
 from __future__ import annotations
 
+import inspect
 import json
 import threading
 import time
-from collections.abc import Callable
-from dataclasses import dataclass
+import uuid
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
+from contextlib import nullcontext
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from itertools import groupby
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.schemas import ROOT_TOKEN
 from ..operators.store import PartitionStore
-from ..sources.changelog import ChangeLogSource, announce
+from ..sources.changelog import ChangeLogSource, announce, retire
 
 #: Fixed value: the end of a subscription without a bound.
 OPEN_END = datetime(9999, 12, 31, 23, 59, 59, 999999, tzinfo=timezone.utc)
@@ -37,12 +52,35 @@ class Closed(Exception):
     """The subscription ended by ``close``."""
 
 
-Consumer = Callable[[Row], object]
+class Cancelled(Exception):
+    """The subscription ended because its caller's event was set."""
+
+
+class Record(NamedTuple):
+    token: str
+    seq: int
+    kind: str
+    ts: datetime
+    record: str
+
+
+class Context(NamedTuple):
+    """What a consumer that takes two arguments gets beside the record: its partition, and whether the subscription was closed meanwhile."""
+
+    token: str
+    cancelled: Callable[[], bool]
+
+
+#: A function of a record, or of a record and a Context; what it raises ends the subscription.
+Consumer = Callable[..., object]
 
 
 @dataclass
 class Config:
-    """``path`` is the change log's folder, ``work`` a shared folder for tokens and the checkpoint. Zeros and Nones are defaults."""
+    """``path`` is the change log's folder, ``work`` a shared folder for announcements and checkpoints. Zeros and Nones are defaults.
+
+    ``poll_seconds`` is how often the log is looked at, ``max_bytes`` how much of a partition's file a micro-batch reads, ``cancelled`` an event of the caller.
+    """
 
     spark: SparkSession | None = None
     stream_name: str = ""
@@ -56,13 +94,17 @@ class Config:
     max_inflight: int = 0
     partition_discovery_interval: float = 0.0
     batch_consumer: Callable[[DataFrame], object] | None = None
+    executor_consumer: Consumer | None = None
+    poll_seconds: float = 0.2
+    max_bytes: int = 16 << 20
+    cancelled: threading.Event | None = None
 
 
 def validated(config: Config | None) -> Config:
     """The config with defaults; the first fault is raised."""
     if config is None:
         raise ValueError("config is required")
-    for name, value in (("SparkSession", config.spark), ("StreamName", config.stream_name), ("PartitionStorage", config.partition_storage), ("Consumer", config.consumer or config.batch_consumer)):
+    for name, value in (("SparkSession", config.spark), ("StreamName", config.stream_name), ("PartitionStorage", config.partition_storage), ("Consumer", config.consumer or config.batch_consumer or config.executor_consumer)):
         if not value:
             raise ValueError(f"{name} is required")
     for name, value in (("MaxInflight", config.max_inflight), ("HeartbeatInterval", config.heartbeat_interval), ("PartitionDiscoveryInterval", config.partition_discovery_interval)):
@@ -77,18 +119,134 @@ def validated(config: Config | None) -> Config:
     )
 
 
-def exit_error(closed: bool, error: BaseException | None, shut: bool) -> BaseException | None:
-    """What ends a subscription: closing before an error before a shutdown before a normal end."""
-    return Closed() if closed else error if error is not None else Shutdown() if shut else None
+def exit_error(closed: bool, error: BaseException | None, shut: bool, cancelled: bool = False) -> BaseException | None:
+    """What ends a subscription: closing before an error before a shutdown before the caller's event before a normal end."""
+    return Closed() if closed else error if error is not None else Shutdown() if shut else Cancelled() if cancelled else None
+
+
+@dataclass
+class Progress:
+    """How far one partition came in one micro-batch."""
+
+    token: str
+    watermark: datetime | None = None
+    ended: bool = False
+    children: list[Record] = field(default_factory=list)
+    error: BaseException | None = None
+
+
+def consume(token: str, rows: Iterable[Record], consumer: Consumer, most: int = 1, cancelled: Callable[[], bool] = lambda: False) -> Progress:
+    """A partition's records through the consumer, in order, at most ``most`` at a time; how far the acknowledged prefix reaches."""
+    out, context = Progress(token), Context(token, cancelled)
+    try:
+        pair = sum(p.kind in (p.POSITIONAL_ONLY, p.POSITIONAL_OR_KEYWORD) and p.default is p.empty for p in inspect.signature(consumer).parameters.values()) >= 2
+    except (TypeError, ValueError):
+        pair = False
+    running: deque[tuple[Record, Future | None]] = deque()
+    free = threading.Semaphore(most)
+
+    def call(r: Record) -> None:
+        try:
+            consumer(r, context) if pair else consumer(r)
+        finally:
+            free.release()
+
+    def settle(wait: bool) -> None:
+        while running and out.error is None:
+            r, future = running[0]
+            if future is not None:
+                if not wait and not future.done():
+                    return
+                out.error = future.exception()
+                if out.error is not None:
+                    return
+            running.popleft()
+            if r.kind == "end":
+                out.ended = True
+            else:
+                out.watermark = r.ts
+
+    with ThreadPoolExecutor(most) as pool:
+        for r in rows:
+            future = None
+            if r.kind == "data":
+                free.acquire()
+                settle(False)
+                if out.error is not None or cancelled():
+                    break
+                future = pool.submit(call, r)
+            elif r.kind == "child":
+                out.children.append(r)
+            running.append((r, future))
+            settle(False)
+            if out.error is not None:
+                break
+        settle(True)
+    return out
+
+
+def _records(batches: Iterable[pa.RecordBatch]) -> Iterator[Record]:
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            yield Record(*row)
+
+
+_PROGRESS = "token string, watermark timestamp, ended boolean, children string, error string"
+
+
+def on_executors(rows: DataFrame, consumer: Consumer, most: int) -> list[Progress]:
+    """``consume`` for each partition of a batch, in tasks; a row for each partition reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for token, own in groupby(_records(batches), lambda r: r.token):
+            p = consume(token, own, consumer, most)
+            children = json.dumps([[r.seq, r.ts.isoformat(), r.record] for r in p.children])
+            cols = [pa.array([token]), pa.array([p.watermark], pa.timestamp("us", "UTC")), pa.array([p.ended]), pa.array([children]), pa.array([None if p.error is None else f"{type(p.error).__name__}: {p.error}"], pa.string())]
+            yield pa.RecordBatch.from_arrays(cols, ["token", "watermark", "ended", "children", "error"])
+
+    dealt = rows.repartition("token").sortWithinPartitions("token", "seq").mapInArrow(run, _PROGRESS)
+    out = []
+    for r in dealt.collect():
+        children = [Record(r.token, seq, "child", datetime.fromisoformat(ts), record) for seq, ts, record in json.loads(r.children)]
+        out.append(Progress(r.token, r.watermark and r.watermark.astimezone(timezone.utc), r.ended, children, None if r.error is None else RuntimeError(r.error)))
+    return out
+
+
+def on_driver(rows: DataFrame, consumer: Consumer, most: int, cancelled: Callable[[], bool]) -> list[Progress]:
+    """``consume`` for each partition of a batch, in threads."""
+    plain = rows.withColumn("ts", F.unix_micros("ts")).orderBy("token", "seq").toLocalIterator()
+    records = (Record(r.token, r.seq, r.kind, datetime.fromtimestamp(r.ts // 1_000_000, timezone.utc).replace(microsecond=r.ts % 1_000_000), r.record) for r in plain)
+    with ThreadPoolExecutor(8) as pool:
+        return [f.result() for f in [pool.submit(consume, token, list(own), consumer, most, cancelled) for token, own in groupby(records, lambda r: r.token)]]
+
+
+def as_batch(rows: DataFrame, consumer: Callable[[DataFrame], object]) -> list[Progress]:
+    """A batch's data given to the consumer as a DataFrame; how far each partition comes with it."""
+    consumer(rows.where("kind = 'data'"))
+    at = F.when(F.col("kind") != "end", F.col("seq"))
+    last = rows.withColumn("ts", F.unix_micros("ts")).groupBy("token").agg(F.max_by("ts", at).alias("ts"), F.max(F.col("kind") == "end").alias("ended"), F.collect_list(F.when(F.col("kind") == "child", F.struct("seq", "ts", "record"))).alias("children"))
+
+    def time_of(us: int | None) -> datetime | None:
+        return None if us is None else datetime.fromtimestamp(us // 1_000_000, timezone.utc).replace(microsecond=us % 1_000_000)
+
+    return [Progress(r.token, time_of(r.ts), r.ended, [Record(r.token, c.seq, "child", time_of(c.ts), c.record) for c in sorted(r.children, key=lambda c: c.seq)]) for r in last.collect()]
 
 
 class Subscriber:
+    #: Appends to a store after which its log is rewritten.
+    TRIM_AFTER = 256
+
     def __init__(self, config: Config | None):
         self.config = validated(config)
         self._started, self._closed, self._shut = threading.Lock(), threading.Event(), threading.Event()
-        self._idle, self._ended = threading.Event(), threading.Event()
+        # a batch, or a look for new partitions, has the store to itself; _batching is held while a batch's records are consumed
+        self._store_lock, self._batching = threading.RLock(), threading.Lock()
         self._error: BaseException | None = None
         self._query = None
+        self._reading: set[str] = set()
+
+    def _cancelled(self) -> bool:
+        return self.config.cancelled is not None and self.config.cancelled.is_set()
 
     def subscribe(self) -> None:
         """Blocks until every partition is finished; raises what ended it otherwise. A subscriber serves once."""
@@ -97,20 +255,23 @@ class Subscriber:
         try:
             self._run()
         except BaseException as e:  # the first error counts
-            self._error = self._error or e
-        finally:
-            self._ended.set()
-        error = exit_error(self._closed.is_set(), self._error, self._shut.is_set())
+            if not self._shut.is_set() and not self._closed.is_set():
+                self._error = self._error or e
+        error = exit_error(self._closed.is_set(), self._error, self._shut.is_set(), self._cancelled())
         if error is not None:
             raise error
 
     def shutdown(self, timeout: float = 30.0) -> None:
-        """Lets the running batch end, then stops; TimeoutError if that takes longer."""
+        """Lets ``subscribe`` return at once, waits until the records in flight are through and their progress is stored, then stops reading. TimeoutError if that takes longer;
+        it goes on then until ``close``."""
         self._shut.set()
         if self._started.acquire(blocking=False):
             return  # never started
-        if not self._ended.wait(timeout):
+        if not self._batching.acquire(timeout=timeout):
             raise TimeoutError("shutdown timed out")
+        self._batching.release()
+        if self._query is not None:
+            self._query.stop()
 
     def close(self) -> None:
         """Stops at once; what isn't stored comes again."""
@@ -118,73 +279,104 @@ class Subscriber:
         if self._query is not None:
             self._query.stop()
 
+    def _changes(self):
+        store = self.config.partition_storage
+        return store.batch() if hasattr(store, "batch") else nullcontext()
+
+    def _read(self, partitions: list) -> None:
+        """Has partitions read from their watermarks to their end bounds, those that aren't read yet."""
+        store, new = self.config.partition_storage, [p for p in partitions if p.partition_token not in self._reading]
+        for p in new:
+            store.update_to_running(p.partition_token)
+        announce(self._tokens, {p.partition_token: {"start": p.watermark.isoformat(), "end": p.end_timestamp.isoformat(), "heartbeat_millis": p.heartbeat_millis} for p in new})
+        self._reading.update(p.partition_token for p in new)
+
     def _schedule(self) -> bool:
         """Schedules what can start; False when every partition is finished."""
         store = self.config.partition_storage
-        low = store.get_unfinished_min_watermark_partition()
-        if low is None:
-            return False
-        new = [p.partition_token for p in store.get_schedulable_partitions(low.watermark)]
-        if new:
-            store.update_to_scheduled(new)
-            announce(f"{self.config.work}/tokens", new)
-            for token in new:
-                store.update_to_running(token)
-        return True
+        with self._store_lock:
+            low = store.get_unfinished_min_watermark_partition()
+            if low is None:
+                return False
+            new = store.get_schedulable_partitions(low.watermark)
+            if new:
+                with self._changes():
+                    store.update_to_scheduled([p.partition_token for p in new])
+                    self._read(new)
+            return True
 
     def _run(self) -> None:
         c = self.config
         store, spark = c.partition_storage, c.spark
-        if store.get_unfinished_min_watermark_partition() is None:
-            store.initialize_root_partition(c.start, c.end, int(c.heartbeat_interval * 1000))
-        again = store.get_interrupted_partitions()
-        announce(f"{c.work}/tokens", [p.partition_token for p in again])
-        self._positions = {p.partition_token: p.watermark for p in again}
-        for p in again:
-            store.update_to_running(p.partition_token)
+        run = f"{c.work}/run-{uuid.uuid4().hex}"
+        self._tokens = f"{run}/tokens"
+        with self._store_lock, self._changes():
+            if store.get_unfinished_min_watermark_partition() is None:
+                store.initialize_root_partition(c.start, c.end, int(c.heartbeat_interval * 1000))
+            self._read(store.get_interrupted_partitions())
         self._schedule()
         spark.dataSource.register(ChangeLogSource)
-        rows = spark.readStream.format("changelog").option("path", c.path).option("tokens", f"{c.work}/tokens").option("max_inflight", str(c.max_inflight)).load()
-        self._query = rows.writeStream.foreachBatch(self._batch).option("checkpointLocation", f"{c.work}/checkpoint").trigger(processingTime=f"{int(c.partition_discovery_interval * 1000)} milliseconds").start()
-        while self._query.isActive and not self._closed.is_set():
-            done = store.get_unfinished_min_watermark_partition() is None
-            if (done or self._shut.is_set()) and not self._query.status["isTriggerActive"]:
+        rows = spark.readStream.format("changelog").option("path", c.path).option("tokens", self._tokens).option("max_bytes", str(c.max_bytes)).load()
+        self._query = rows.writeStream.foreachBatch(self._batch).option("checkpointLocation", f"{run}/checkpoint").trigger(processingTime=f"{int(c.poll_seconds * 1000)} milliseconds").start()
+        due = time.monotonic() + c.partition_discovery_interval
+        while not (self._closed.is_set() or self._shut.is_set() or self._cancelled()):
+            if self._query.awaitTermination(min(0.1, c.partition_discovery_interval)):  # raises what the query failed with
                 break
-            self._query.awaitTermination(0.2)
-        failure = None if self._closed.is_set() else self._query.exception()
-        self._query.stop()
-        if failure is not None:
-            raise self._error or failure
+            if time.monotonic() >= due and self._store_lock.acquire(blocking=False):  # a batch schedules by itself
+                try:
+                    due = time.monotonic() + c.partition_discovery_interval
+                    if not self._schedule():
+                        break
+                finally:
+                    self._store_lock.release()
+        if not self._shut.is_set():  # shutdown stops it when records in flight are through
+            self._query.stop()
 
     def _batch(self, rows: DataFrame, _: int) -> None:
         c = self.config
         store = c.partition_storage
-        rows = rows.where(F.col("ts") <= F.lit(c.end)).orderBy("token", "seq")
-        rows.persist()
-        try:
-            data = rows.where("kind = 'data'")
-            if c.batch_consumer is not None:
-                c.batch_consumer(data)
-            else:
-                for r in data.toLocalIterator():
-                    if self._closed.is_set():
-                        raise Closed()
-                    c.consumer(r)
-            # at most max_inflight rows of each partition
-            for r in rows.where("kind = 'child'").orderBy("ts", "token", "seq").toLocalIterator():
+        with self._batching:
+            if self._shut.is_set() or self._closed.is_set() or self._cancelled():
+                raise Closed()
+            rows.persist()
+            try:
+                if c.batch_consumer is not None:
+                    done = as_batch(rows, c.batch_consumer)
+                elif c.executor_consumer is not None:
+                    done = on_executors(rows, c.executor_consumer, c.max_inflight)
+                else:
+                    done = on_driver(rows, c.consumer, c.max_inflight, self._closed.is_set)
+                if self._closed.is_set():
+                    raise Closed()
+                with self._store_lock:
+                    self._settle(done)
+                for p in done:
+                    if p.error is not None:
+                        raise p.error
+            except BaseException as e:
+                self._error = self._error or (None if isinstance(e, Closed) else e)
+                raise
+            finally:
+                rows.unpersist()
+
+    def _settle(self, done: list[Progress]) -> None:
+        """Stores a batch's progress: children, then watermarks, then ends, then what can start now; one write."""
+        c = self.config
+        store = c.partition_storage
+        ended = [p.token for p in done if p.ended and p.error is None]
+        with self._changes():
+            for r in sorted((r for p in done for r in p.children), key=lambda r: (r.ts, r.token, r.seq)):
                 children = json.loads(r.record)["child_partitions"]
                 store.add_child_partitions(c.end, int(c.heartbeat_interval * 1000), r.ts.astimezone(timezone.utc), [(x["token"], x["parent_partition_tokens"]) for x in children])
-            last = rows.groupBy("token").agg(F.max_by("ts", "seq").alias("ts"), F.max(F.col("kind") == "end").alias("ended")).collect()
-            for r in last:
-                store.update_watermark(r.token, r.ts.astimezone(timezone.utc))
-                if r.ended:
-                    store.update_to_finished(r.token)
+            for p in done:
+                if p.watermark is not None:
+                    store.update_watermark(p.token, p.watermark)
+            for token in ended:
+                store.update_to_finished(token)
             self._schedule()
-        except BaseException as e:
-            self._error = self._error or e
-            raise
-        finally:
-            rows.unpersist()
+        retire(self._tokens, ended)
+        if getattr(store, "appends", 0) >= self.TRIM_AFTER:
+            store.trim()
 
 
 def wait_until(test: Callable[[], bool], seconds: float, step: float = 0.1) -> bool:
@@ -195,6 +387,3 @@ def wait_until(test: Callable[[], bool], seconds: float, step: float = 0.1) -> b
             return True
         time.sleep(step)
     return False
-
-
-ROOT = ROOT_TOKEN

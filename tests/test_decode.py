@@ -44,26 +44,26 @@ def test_values(spark):
 
 def test_typed_values(spark):
     text = json.dumps({
-        "Bool": True, "Int64": "1", "Float32": 0.25, "Float64": 0.5, "Timestamp": "2023-12-31T23:59:59Z", "Date": "2023-01-01", "String": "string", "Bytes": "Ynl0ZXM=", "Numeric": "123.456",
-        "Json": '{"name":"foobar"}', "Ints": ["1", "2"], "Blobs": ["Ynl0ZXMx", "Ynl0ZXMy"], "Numbers": ["12.345", "67.89"], "Proto": "", "Enum": "1", "Uuid": "u", "Null": None,
+        "open": True, "stock": "9007199254740993", "share": 1.75, "load": -12.5, "since": "2021-07-04T05:06:07Z", "day": "2020-02-29", "town": "Ærø", "seal": "AP8Q", "price": "80.05",
+        "more": '{"size":[3,4]}', "steps": ["-4", "17"], "keys": ["/w==", ""], "rates": ["0.001", "2.5"], "blob": "CgE=", "level": "6", "ident": "9b2f", "gap": None,
     })
-    columns = [(c, k, None) for c, k in (("Bool", "BOOL"), ("Int64", "INT64"), ("Float32", "FLOAT32"), ("Float64", "FLOAT64"), ("Timestamp", "TIMESTAMP"), ("Date", "DATE"), ("String", "STRING"), ("Bytes", "BYTES"), ("Numeric", "NUMERIC"), ("Proto", "PROTO"), ("Enum", "ENUM"), ("Uuid", "UUID"), ("Null", "INT64"), ("Missing", "INT64"))]
-    columns += [("Ints", "ARRAY", "INT64"), ("Blobs", "ARRAY", "BYTES"), ("Numbers", "ARRAY", "NUMERIC")]
-    r = decode.project(spark.createDataFrame([(text,)], "j string"), "j", columns).select("*", F.variant_get(decode.typed(F.col("j"), "Json", "JSON"), "$.name", "string").alias("name")).first()
-    assert (r.Bool, r.Int64, r.Float32, r.Float64, r.String, bytes(r.Bytes), str(r.Numeric), r.name) == (True, 1, 0.25, 0.5, "string", b"bytes", "123.456000000", "foobar")
-    assert (r.Timestamp.isoformat(), str(r.Date), bytes(r.Proto), r.Enum, r.Uuid, r.Null, r.Missing) == ("2023-12-31T23:59:59", "2023-01-01", b"", 1, "u", None, None)
-    assert (r.Ints, [bytes(b) for b in r.Blobs], [str(n) for n in r.Numbers]) == ([1, 2], [b"bytes1", b"bytes2"], ["12.345000000", "67.890000000"])
+    columns = [(c, k, None) for c, k in (("open", "BOOL"), ("stock", "INT64"), ("share", "FLOAT32"), ("load", "FLOAT64"), ("since", "TIMESTAMP"), ("day", "DATE"), ("town", "STRING"), ("seal", "BYTES"), ("price", "NUMERIC"), ("blob", "PROTO"), ("level", "ENUM"), ("ident", "UUID"), ("gap", "INT64"), ("missing", "INT64"))]
+    columns += [("steps", "ARRAY", "INT64"), ("keys", "ARRAY", "BYTES"), ("rates", "ARRAY", "NUMERIC")]
+    r = decode.project(spark.createDataFrame([(text,)], "j string"), "j", columns).select("*", F.variant_get(decode.typed(F.col("j"), "more", "JSON"), "$.size[1]", "int").alias("size")).first()
+    assert (r.open, r.stock, r.share, r.load, r.town, bytes(r.seal), str(r.price), r.size) == (True, 9007199254740993, 1.75, -12.5, "Ærø", b"\x00\xff\x10", "80.050000000", 4)
+    assert (r.since.isoformat(), str(r.day), bytes(r.blob), r.level, r.ident, r.gap, r.missing) == ("2021-07-04T05:06:07", "2020-02-29", b"\n\x01", 6, "9b2f", None, None)
+    assert (r.steps, [bytes(b) for b in r["keys"]], [str(n) for n in r.rates]) == ([-4, 17], [b"\xff", b""], ["0.001000000", "2.500000000"])
 
 
 def test_change_line_leaves_empty_parts_out(spark):
-    at = datetime(2023, 1, 1, tzinfo=timezone.utc)
-    types = [("UserID", ("STRING", None, None), True, 1), ("Tags", ("ARRAY", ("STRING", None), None), False, 2)]
-    record = (at, "00000001", "tx-123", True, "Users", types, [('{"UserID":"user-1"}', '{"Tags":["tag1","tag2"]}', "{}")], "INSERT", "OLD_AND_NEW_VALUES", 1, 1, "app=myapp", False)
+    at = datetime(2022, 3, 4, 5, 6, 7, 89, tzinfo=timezone.utc)
+    types = [("berth", ("INT64", None, None), True, 1), ("flags", ("ARRAY", ("BOOL", None), None), False, 2)]
+    record = (at, "00000042", "move-7", False, "Ships", types, [('{"berth":"12"}', "{}", '{"flags":[true,false]}')], "DELETE", "OLD_VALUES", 3, 2, "", True)
     line = spark.createDataFrame([(record,)], f"r {schemas.DATA_CHANGE}").select(decode.change_line(F.col("r")).alias("x")).first().x
     got = json.loads(line)
-    assert got["commit_timestamp"] == "2023-01-01T00:00:00.000000Z"
-    assert got["mods"] == [{"keys": {"UserID": "user-1"}, "new_values": {"Tags": ["tag1", "tag2"]}}]
-    assert got["column_types"] == [{"name": "UserID", "type": {"code": "STRING"}, "is_primary_key": True, "ordinal_position": 1}, {"name": "Tags", "type": {"code": "ARRAY", "array_element_type": {"code": "STRING"}}, "ordinal_position": 2}]
+    assert got["commit_timestamp"] == "2022-03-04T05:06:07.000089Z"
+    assert got["mods"] == [{"keys": {"berth": "12"}, "old_values": {"flags": [True, False]}}]
+    assert got["column_types"] == [{"name": "berth", "type": {"code": "INT64"}, "is_primary_key": True, "ordinal_position": 1}, {"name": "flags", "type": {"code": "ARRAY", "array_element_type": {"code": "BOOL"}}, "ordinal_position": 2}]
 
 
 def test_arrays_are_never_null(spark):

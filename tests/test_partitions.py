@@ -1,9 +1,10 @@
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from millrace.functions.retry import RetryPolicy, StatusError, retried, retryable
+from millrace.functions.retry import RetryPolicy, StatusError, retried, retryable, status_of
 from millrace.operators import acks, partitions
 from millrace.operators.store import MemoryStore, TableStore
 
@@ -90,6 +91,62 @@ def test_backoff(policy, attempt, u, ms):
     assert p.backoff(attempt) * 1000 == pytest.approx(ms)
 
 
+def test_a_failing_write_is_tried_again(spark, tmp_path, monkeypatch):
+    waits, calls, plain = [], [], TableStore._write
+
+    def write(self, frame):
+        calls.append(1)
+        if len(calls) < 3:
+            raise errors[len(calls) - 1]
+        plain(self, frame)
+
+    monkeypatch.setattr(TableStore, "_write", write)
+    store = TableStore(spark, f"file://{tmp_path}/meta", RetryPolicy(jitter=0.0), waits.append)
+    errors = [ConnectionError("gone"), PySparkException("job failed: java.io.IOException: connection reset")]
+    store.initialize_root_partition(T0, T0 + timedelta(hours=1), 10_000)
+    assert len(calls) == 3 and waits == [0.1, 0.2]
+    assert TableStore(spark, f"file://{tmp_path}/meta").rows["Parent0"].state == "CREATED"
+    # what won't pass is raised at once, and nothing of it is kept
+    calls.clear()
+    errors = [PermissionError("no")]
+    with pytest.raises(PermissionError):
+        store.update_watermark("Parent0", T0 + timedelta(seconds=9))
+    assert len(calls) == 1 and store.rows["Parent0"].watermark == T0
+    calls.clear()
+    errors = [ValueError("no")]
+    with pytest.raises(ValueError), store.batch():
+        store.update_to_scheduled(["Parent0"])
+        assert store.get_interrupted_partitions()
+    assert store.rows["Parent0"].state == "CREATED"
+
+
+def test_status_codes():
+    for error, code in ((None, "OK"), (StatusError("Aborted"), "Aborted"), (TimeoutError(), "DeadlineExceeded"), (OSError(), "Unavailable"), (FileNotFoundError(), "NotFound"), (ValueError(), "Unknown"), (PySparkException("Path exists already"), "InvalidArgument"), (PySparkException("java.net.SocketTimeoutException: x"), "DeadlineExceeded")):
+        assert status_of(error) == code and retryable(error) == (code in ("Unavailable", "DeadlineExceeded"))
+
+
+def test_a_batch_is_one_append_and_the_log_can_be_trimmed(spark, tmp_path):
+    path = f"file://{tmp_path}/meta"
+    TableStore.create(spark, path, "kept_partitions")
+    TableStore.create(spark, path, "kept_partitions")
+    store = TableStore(spark, path)
+    with store.batch():
+        store.initialize_root_partition(T0, T0 + timedelta(hours=1), 10_000)
+        store.add_child_partitions(T0 + timedelta(hours=1), 10_000, T0, [(f"c{k}", ["Parent0"]) for k in range(5)])
+        store.update_to_scheduled([f"c{k}" for k in range(5)])
+        with store.batch():
+            store.update_to_finished("c0")
+    assert store.appends == 1 and len(list((tmp_path / "meta").glob("part-*.json"))) == 1
+    assert {r.partition_token: r.state for r in spark.sql("SELECT partition_token, state FROM kept_partitions").collect()} == {"Parent0": "CREATED", "c0": "FINISHED"} | {f"c{k}": "SCHEDULED" for k in range(1, 5)}
+    for k in range(1, 4):
+        store.update_to_running(f"c{k}")
+    store.trim()
+    assert len(list((tmp_path / "meta").glob("part-*.json"))) == 1 and TableStore(spark, path).rows == store.rows
+    store.trim(now=datetime.now(timezone.utc) + timedelta(days=2))
+    assert sorted(TableStore(spark, path).rows) == ["Parent0", "c1", "c2", "c3", "c4"]
+    spark.sql("DROP TABLE kept_partitions")
+
+
 def test_retries_stop():
     calls = []
 
