@@ -101,7 +101,7 @@ def _terms(df: DataFrame, pairs: bool = False, words: frozenset[str] = frozenset
                     got = variants(seq)
                 for term in got:
                     found.setdefault(term, [0, 0])[toxic] += 1
-            if len(found) > 200_000:
+            if len(found) > 100_000:
                 yield out()
                 found.clear()
         if found:
