@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import filtered, free, looked_up, quoted, row_digest, staged
+from .shared import filtered, free, looked_up, quoted, row_digest, staged, tidy
 from .words import ALNUM, buffers, gram_rows, grams, mix, place_hashes, slices, word_places
 
 WINDOW, KGRAM, BLOCK_BYTES, FILTER_BITS = 10, 5, 16 << 20, 1 << 28
@@ -240,7 +240,7 @@ def _phrases(items: DataFrame, window: int, k: int) -> tuple[DataFrame, list[int
                 cols = [pa.concat_arrays([pa.array(x, kind), pa.nulls(len(all_), kind)]) for x, kind in ((i, pa.string()), ([p.decode() for p in phrase], pa.string()), (n, pa.int32()))]
                 yield pa.RecordBatch.from_arrays([*cols, pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(all_)])], ["i", "phrase", "n", "bit"])
 
-    rows = staged(items.mapInArrow(run, "i string, phrase string, n int, bit bigint"))
+    rows = staged(items.mapInArrow(tidy(run), "i string, phrase string, n int, bit bigint"))
     lengths = sorted(r.n for r in rows.where("phrase is not null").select("n").distinct().collect())  # as many as there are lengths of windows
     # one 64-bit word of the table for each 64 bits, put together on the executors
     table = np.zeros(FILTER_BITS // 64, np.uint64)
@@ -294,7 +294,7 @@ def _proposed(docs: DataFrame, lengths: list[int], table: np.ndarray, window: in
                 ]
                 yield pa.RecordBatch.from_arrays(cols, ["i", "row", "words", "start", "n", "phrase"])
 
-    return docs.mapInArrow(run, f"i {kind}, row string, words bigint, start bigint, n int, phrase string")
+    return docs.mapInArrow(tidy(run), f"i {kind}, row string, words bigint, start bigint, n int, phrase string")
 
 
 def _joined(docs: DataFrame, items: DataFrame, window: int, k: int) -> DataFrame:
@@ -310,7 +310,7 @@ def _joined(docs: DataFrame, items: DataFrame, window: int, k: int) -> DataFrame
             who = [_named({*named, None} if unnamed else set(named)) for named, unnamed in zip(b.column("named").to_pylist(), b.column("unnamed").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(spans, pa.list_(pa.int64())), pa.array(who, pa.list_(pa.string()))], ["row", "spans", "items"])
 
-    hit = staged(per.mapInArrow(run, "row string, spans array<bigint>, items array<string>"))
+    hit = staged(per.mapInArrow(tidy(run), "row string, spans array<bigint>, items array<string>"))
     return looked_up(rows.where("words is not null").select("i", "row", F.col("words").alias("n_words")), hit, ["row"], "left").select(
         "i", "row", "n_words", F.coalesce("spans", F.array().cast("array<bigint>")).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
     )
@@ -332,7 +332,7 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
                 counts, spans, who = _scanned(prints, b.column("t"))
                 yield pa.RecordBatch.from_arrays([b.column("i"), pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(who, pa.list_(pa.string()))], ["i", "n_words", "spans", "items"])
 
-        out = rows.mapInArrow(run, f"i {kind}, n_words bigint, spans array<bigint>, items array<string>")
+        out = rows.mapInArrow(tidy(run), f"i {kind}, n_words bigint, spans array<bigint>, items array<string>")
     return out.select(F.col("i").alias("_id"), "n_words", "spans", "items")
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import free, looked_up, quoted, row_digest, staged, width
+from .shared import free, looked_up, quoted, row_digest, staged, tidy, width
 from .words import SPACED, buffers, grams, mix, slices, word_hashes
 
 SHINGLE, PERCENT, BAND = 5, 80, 1.6
@@ -173,7 +173,7 @@ def _profile(docs: DataFrame, n: int) -> DataFrame:
             parts = [x.tobytes() for x in np.split(freq, PARTS)]
             yield pa.RecordBatch.from_arrays([pa.nulls(PARTS, type_i), *[pa.nulls(PARTS, pa.int64())] * 3, pa.array(range(PARTS), pa.int32()), pa.array(parts, pa.binary())], names)
 
-    return docs.mapInArrow(run, f"i {kind}, n bigint, s1 bigint, s2 bigint, part int, counts binary")
+    return docs.mapInArrow(tidy(run), f"i {kind}, n bigint, s1 bigint, s2 bigint, part int, counts binary")
 
 
 def _frequencies(parts: DataFrame) -> np.ndarray:
@@ -189,7 +189,7 @@ def _frequencies(parts: DataFrame) -> np.ndarray:
 
     kind = "part int, counts binary"
     total = np.zeros(COUNTERS, np.int64)
-    for r in parts.select("part", "counts").coalesce(max(1, width(parts.sparkSession))).mapInArrow(add, kind).repartition(PARTS, "part").mapInArrow(add, kind).collect():
+    for r in parts.select("part", "counts").coalesce(max(1, width(parts.sparkSession))).mapInArrow(tidy(add), kind).repartition(PARTS, "part").mapInArrow(tidy(add), kind).collect():
         total[r.part * COUNTERS // PARTS : (r.part + 1) * COUNTERS // PARTS] = np.frombuffer(r.counts, np.int64)
     usual = float(np.median(total))
     above = np.maximum(total - usual, np.sqrt(usual + 1) * 2 + 2)
@@ -251,7 +251,7 @@ def _keys(docs: DataFrame, freq: np.ndarray, n: int, percent: int, bins: int) ->
             for part_lo, part_hi in slices(at, PACK_BYTES):
                 yield from packed(raw[at[part_lo] : at[part_hi]], at[part_lo : part_hi + 1] - at[part_lo])
 
-    return docs.mapInArrow(run, _PACKED)
+    return docs.mapInArrow(tidy(run), _PACKED)
 
 
 _PACKED = "bin int, sid binary, odd binary, band binary, least binary, many binary, keys binary"
@@ -379,8 +379,8 @@ def _shared_blocks(packed: DataFrame, bins: tuple[int, int]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(sid[n >= least]), pa.int64())], ["sid"])
 
     # a task's tallies travel packed, by the class's hash
-    met = _dealt(packed, bins).mapInArrow(count, "bin int, sid binary, band binary, least binary, n binary")
-    return met.repartitionById(parts, F.col("bin")).mapInArrow(pick, "sid bigint")
+    met = _dealt(packed, bins).mapInArrow(tidy(count), "bin int, sid binary, band binary, least binary, n binary")
+    return met.repartitionById(parts, F.col("bin")).mapInArrow(tidy(pick), "sid bigint")
 
 
 def _pivot_edges(packed: DataFrame, bins: tuple[int, int]) -> DataFrame:
@@ -393,7 +393,7 @@ def _pivot_edges(packed: DataFrame, bins: tuple[int, int]) -> DataFrame:
             rest = np.arange(len(key)) != head
             yield _tallied([sid[head][rest], sid[rest], band[rest], np.maximum(least[head], least)[rest]], ["a", "b", "band", "least"])
 
-    met = _dealt(packed, bins).mapInArrow(run, "a bigint, b bigint, band bigint, least bigint, n bigint")
+    met = _dealt(packed, bins).mapInArrow(tidy(run), "a bigint, b bigint, band bigint, least bigint, n bigint")
     pairs = met.groupBy("a", "b", "band", "least").agg(F.sum("n").alias("n"))
     return pairs.groupBy("a", "b").agg(F.max(F.col("n") >= F.col("least")).alias("maybe"))
 
@@ -409,7 +409,7 @@ def _sketched(rows: DataFrame, n: int) -> DataFrame:
                 bits = [np.frombuffer(x, ">i8").tolist() for x in dense_sketch(tok, ptr)]
                 yield pa.RecordBatch.from_arrays([pa.array(_identity(tok, ptr)[0], pa.int64()), pa.array(np.diff(ptr), pa.int64()), pa.array(bits, pa.list_(pa.int64()))], ["sid", "size", "bits"])
 
-    return rows.mapInArrow(run, "sid bigint, size bigint, bits array<bigint>")
+    return rows.mapInArrow(tidy(run), "sid bigint, size bigint, bits array<bigint>")
 
 
 def _texts(docs: DataFrame, classes: DataFrame, used: DataFrame, n: int) -> DataFrame:
@@ -424,7 +424,7 @@ def _texts(docs: DataFrame, classes: DataFrame, used: DataFrame, n: int) -> Data
             keep = [_identity(*shingles(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], n))[0] == s1[lo:hi] for lo, hi in slices(at)]
             yield b.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
 
-    return docs.join(F.broadcast(wanted) if few else wanted, docs["i"] == wanted["rep"]).select("s1", "t").mapInArrow(own, "s1 bigint, t string")
+    return docs.join(F.broadcast(wanted) if few else wanted, docs["i"] == wanted["rep"]).select("s1", "t").mapInArrow(tidy(own), "s1 bigint, t string")
 
 
 def _verified(edges: DataFrame, texts: DataFrame, n: int) -> DataFrame:
@@ -455,7 +455,7 @@ def _verified(edges: DataFrame, texts: DataFrame, n: int) -> DataFrame:
             cols = list(zip(*out, strict=True)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b", "shared", "n_a", "n_b"])
 
-    return both.mapInArrow(run, "a bigint, b bigint, shared bigint, n_a bigint, n_b bigint")
+    return both.mapInArrow(tidy(run), "a bigint, b bigint, shared bigint, n_a bigint, n_b bigint")
 
 
 def _linked(percent: int):

@@ -6,6 +6,8 @@ one is lost. Nothing is ever kept in a machine-local folder of a cluster.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -35,10 +37,27 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def release() -> None:
+    """Gives memory that Arrow and the C library keep for later back to the system, where that is possible."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run):
+    """A batch function that releases what it no longer needs at the end of a task: Python workers live on beside the executor's heap."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        release()
+
+    return wrapped
+
+
 def filtered(docs: DataFrame, run) -> DataFrame:
     """``docs`` through a batch function that keeps its columns. They are named by place meanwhile, so their own names may be any."""
     plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
-    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+    return plain.mapInArrow(tidy(run), plain.schema).toDF(*docs.columns)
 
 
 def free(taken: Iterable[str], *wanted: str) -> list[str]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import filtered, quoted, staged
+from .shared import filtered, quoted, staged, tidy
 
 MIN_TOXIC_DOCS, MIN_LOG_ODDS, MIN_G, STEMS = 3, 2.5, 15.0, (3, 4, 5, 6, 7, 8)
 #: A score from which on a text is called toxic, and the length that doubles what counts as little.
@@ -107,7 +107,7 @@ def _terms(df: DataFrame, pairs: bool = False, words: frozenset[str] = frozenset
         if found:
             yield out()
 
-    return df.mapInArrow(run, "term string, toxic bigint, clean bigint").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return df.mapInArrow(tidy(run), "term string, toxic bigint, clean bigint").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def _weight(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
@@ -208,7 +208,7 @@ def _once(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("i"), b.column("t"), b.column("y"), pa.array(least, pa.int64())], ["i", "t", "y", "m"])
 
     least = F.min(F.struct("i", "t")).alias("r")
-    return rows.mapInArrow(run, f"i {kind}, t string, y int, m bigint").groupBy("m", "y").agg(least).select("r.t", "y")
+    return rows.mapInArrow(tidy(run), f"i {kind}, t string, y int, m bigint").groupBy("m", "y").agg(least).select("r.t", "y")
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
@@ -232,7 +232,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         spared = sorted(r.term for r in _terms(rows, True, mild).where((F.col("clean") >= MIN_TOXIC_DOCS) & (odds < 0)).collect())
     lexicon = Lexicon(weights, (*exceptions, *spared))
     if weights:  # a number for each row of the sample
-        strengths = rows.mapInArrow(_rated(lexicon.strength, 0), "x double, y int").collect()
+        strengths = rows.mapInArrow(tidy(_rated(lexicon.strength, 0)), "x double, y int").collect()
         lexicon.half = middle([(r.x, r.y) for r in strengths])
     return lexicon
 
@@ -250,7 +250,7 @@ def _rated(rate, text_at: int):
 def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, score, predicted) of each document."""
     kind = dict(docs.dtypes)[id_col]
-    out = docs.select(F.col(quoted(text_col)).alias("t"), F.col(quoted(id_col)).alias("i")).mapInArrow(_rated(lexicon.score, 0), f"x double, y {kind}")
+    out = docs.select(F.col(quoted(text_col)).alias("t"), F.col(quoted(id_col)).alias("i")).mapInArrow(tidy(_rated(lexicon.score, 0)), f"x double, y {kind}")
     return out.select(F.col("y").alias(id_col), F.col("x").alias("score"), (F.col("x") >= threshold).cast("int").alias("predicted"))
 
 
