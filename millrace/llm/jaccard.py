@@ -45,7 +45,7 @@ _SHIFT = np.uint64(64 - 18)
 #: Text whose codes are packed together, and bytes of codes that are sorted together.
 PACK_BYTES, BIN_BYTES = 8 << 20, 10 << 20
 #: Members verified against one text by one task at most; members of a family whose sketches one task compares with as many others.
-FAN, SIDE = 1024, 256
+FAN, SIDE = 256, 256
 #: Ids in a broadcast semi-join; more are joined by a shuffle.
 SEMI_IDS = 1_000_000
 
