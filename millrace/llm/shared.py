@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,19 +38,44 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+class Kept:
+    """The one large object that a Python worker keeps between tasks, by its key, and whether the running task asked for it."""
+
+    key, value, asked = None, None, False
+
+
+def kept(key: tuple, make: Callable):
+    """What ``make`` gives, kept by this worker as long as its tasks ask for the same key: tables of several operators never lie in one worker."""
+    if Kept.key != key:
+        Kept.key = Kept.value = None
+        gc.collect()
+        Kept.value, Kept.key = make(), key
+    Kept.asked = True
+    return Kept.value
+
+
 def release() -> None:
-    """Gives memory that Arrow and the C library keep for later back to the system, where that is possible."""
+    """Gives memory that Python, Arrow and the C library keep for later back to the system, where that is possible."""
+    gc.collect()  # functions sent for a task refer to themselves, so what they hold doesn't go by itself
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def ended() -> None:
+    """The end of a task: an object that an earlier one kept goes unless this one asked for it."""
+    if not Kept.asked:
+        Kept.key = Kept.value = None
+    Kept.asked = False
+    release()
+
+
 def tidy(run):
     """A batch function that releases what it no longer needs at the end of a task: Python workers live on beside the executor's heap."""
 
     def wrapped(batches):
         yield from run(batches)
-        release()
+        ended()  # by its name in this module: what a sent function itself refers to is a copy
 
     return wrapped
 

@@ -25,7 +25,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import files
-from .shared import range_of, shared_dir, staged, width
+from .shared import kept, range_of, shared_dir, staged, width
 from .words import buffers
 
 END_ID, SHARD_TOKENS, ROUND_PAIRS, KEPT_WORDS = 1, 1 << 20, 3072, 800_000
@@ -106,9 +105,8 @@ class WordEncoder:
         return [b"".join(map(known.__getitem__, c)) for c in cut]
 
 
-@lru_cache(maxsize=1)
 def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    return kept(("tokens", path), lambda: WordEncoder(path))
 
 
 def symbol_bits(symbols: int) -> int:
