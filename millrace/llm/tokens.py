@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import files
-from .shared import kept, range_of, shared_dir, staged, width
+from .shared import kept, range_of, shared_dir, staged, tidy, width
 from .words import buffers
 
 END_ID, SHARD_TOKENS, ROUND_PAIRS, KEPT_WORDS = 1, 1 << 20, 3072, 800_000
@@ -276,17 +276,17 @@ def encoded(docs: DataFrame, path: str, id_col: str, text_col: str, end_id: int
                 out += [x + tail for x in enc.encode([whole[a:z] for a, z in zip(at[lo : lo + 500].tolist(), at[lo + 1 : lo + 501].tolist(), strict=False)])]
             yield pa.RecordBatch.from_arrays([b.column("i"), pa.array(out, pa.binary()), pa.array([size] * b.num_rows, pa.int32())], ["i", "ids", "wide"])
 
-    return docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).mapInArrow(run, f"i {kind}, ids binary, wide int")
+    return docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).mapInArrow(tidy(run), f"i {kind}, ids binary, wide int")
 
 
 def write(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Token files below the folder: (bucket, path, n_tokens), a row per range of document ids, in their order."""
     ranges = ranges or 2 * width(docs.sparkSession)
+    vocabulary = WordEncoder(path).tokenizer.get_vocab_size()  # writers need no tokenizer of their own
     rows = encoded(docs.select(F.col(id_col).cast("long").alias(id_col), text_col), path, id_col, text_col)
     dealt = rows.withColumn("bucket", range_of(docs.select(F.col(id_col).cast("long").alias("i")), "i", ranges)).repartitionById(ranges, F.col("bucket")).sortWithinPartitions("bucket", "i", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = encoder(path).tokenizer.get_vocab_size()
         bucket, name, out, ids, seqs, held, total = None, None, None, [], [], 0, 0
 
         def flush() -> None:
@@ -317,7 +317,7 @@ def write(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_
         if out is not None:
             yield close()
 
-    return staged(dealt.mapInArrow(run, "bucket int, path string, n_tokens bigint"))
+    return staged(dealt.mapInArrow(tidy(run), "bucket int, path string, n_tokens bigint"))
 
 
 def read(written: DataFrame) -> DataFrame:
@@ -346,7 +346,7 @@ def read(written: DataFrame) -> DataFrame:
     kind = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     if not rows:
         return spark.createDataFrame([], kind)
-    return spark.createDataFrame(rows, "path string, base bigint").repartition(min(len(rows), 4 * width(spark))).mapInArrow(run, kind)
+    return spark.createDataFrame(rows, "path string, base bigint").repartition(min(len(rows), 4 * width(spark))).mapInArrow(tidy(run), kind)
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
