@@ -239,6 +239,7 @@ class Subscriber:
     def __init__(self, config: Config | None):
         self.config = validated(config)
         self._started, self._closed, self._shut = threading.Lock(), threading.Event(), threading.Event()
+        self._over = threading.Event()  # every partition is finished
         # a batch, or a look for new partitions, has the store to itself; _batching is held while a batch's records are consumed
         self._store_lock, self._batching = threading.RLock(), threading.Lock()
         self._error: BaseException | None = None
@@ -326,9 +327,13 @@ class Subscriber:
                 try:
                     due = time.monotonic() + c.partition_discovery_interval
                     if not self._schedule():
+                        self._over.set()
                         break
                 finally:
                     self._store_lock.release()
+        if self._over.is_set():
+            with self._batching:  # a batch that runs is let through, and a later one does nothing: stopping would interrupt its consumer
+                pass
         if not self._shut.is_set():  # shutdown stops it when records in flight are through
             self._query.stop()
 
@@ -336,6 +341,8 @@ class Subscriber:
         c = self.config
         store = c.partition_storage
         with self._batching:
+            if self._over.is_set():
+                return
             if self._shut.is_set() or self._closed.is_set() or self._cancelled():
                 raise Closed()
             rows.persist()

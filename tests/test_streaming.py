@@ -298,3 +298,11 @@ def test_tracker_keeps_up_with_any_order(spark, tmp_path):
     assert q.awaitTermination(180)
     last = {r.token: (r.next_seq, r.watermark.replace(tzinfo=timezone.utc)) for r in spark.table("tracked").orderBy("next_seq").collect()}
     assert last == {"a": (4, T0 + timedelta(seconds=3))}
+
+
+def test_a_batch_after_the_last_partition_ended_does_nothing():
+    got = []
+    own = Subscriber(Config(spark=object(), stream_name="s", partition_storage=MemoryStore(), consumer=got.append))
+    own._over.set()
+    own._batch(None, 0)
+    assert got == [] and own._error is None
