@@ -560,3 +560,24 @@ def test_byte_bpe(spark, odd):
     folded = bpe.encode_words(spark.createDataFrame([(w,) for w in [*words, ""]], "word string"), path)
     for r in folded.collect():
         assert r.ids == (enc._encode_single_piece(r.word) if r.word else [])
+
+
+def test_byte_bpe_folds_every_word(spark, tmp_path):
+    """Rare and long words come through the fold as frequent ones do, and groups of rows have tables of their own."""
+    import tiktoken
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.ranks_of(path), special_tokens={})
+    rng = random.Random(4)
+    long_ = ["".join(rng.choice(letters) for _ in range(n)) for n in (60, 99, 101, 150, 1000) for letters in ("a", "ab", "etaoinshr", "éñ漢a", "0123456789")]
+    docs = [(k, f"the {word} and\n{word[::-1]}") for k, word in enumerate(long_)] + [(100, None), (101, ""), (102, " \x00\n\n ")]
+    frame(spark, docs).repartition(2).write.parquet(f"file://{tmp_path}/docs")
+    rows = spark.read.parquet(f"file://{tmp_path}/docs")
+    packed = bpe.cut(bpe.placed(rows, rows.columns[1], 1000).select("g", F.col("c1").alias("t")), P.PATTERN, 4)
+    assert packed.select("g").distinct().count() > 5
+    got = bpe.folded(packed, path, 4).collect()
+    assert sorted(r.word.decode() for r in got) == sorted({w for _, t in docs for w in bpe.finder(P.PATTERN)(t or "")})
+    assert all(r.ids == enc._encode_single_piece(r.word) for r in got)
+    assert bpe.scans(rows) and not bpe.scans(rows.repartition(3))
+    for some in (rows, rows.repartition(3)):
+        assert {r[0]: r.ids for r in bpe.encode(some, path, P.PATTERN).collect()} == {i: enc.encode_ordinary(t or "") for i, t in docs}
