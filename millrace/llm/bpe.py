@@ -6,9 +6,9 @@ piece has that id at once. All distinct words are folded, each once, however rar
 * ``encode_words`` folds a table of distinct words with higher-order functions of Spark: an array of the bytes' ids, merged step by step by a literal
   table that says which id a pair of ids makes (its rank is that id), in buckets, since Spark searches a literal array or map by scanning it. The array
   of a word over ``LONG`` bytes is cut into blocks of about the square root of its length, so a merge changes three blocks at most.
-* Rows are dealt into groups of about ``GROUP_BYTES`` of text by their place in the input's files, whatever tasks read them. ``cut`` gives each group's distinct words,
-  packed by the words' hash; ``folded`` has every distinct word of all groups once, with its ids; ``returned`` brings the ids back, as one table of words a group.
-* ``encode`` cuts whole texts again in Arrow batches and looks up each word in its group's table; nothing is merged there, and a word without ids is an error.
+* Rows are dealt into groups of about ``GROUP_BYTES`` of text by their place in the input's files, whatever tasks read them. ``cut`` gives each group's distinct units (a word,
+  or a run between blanks, which may be several words), packed by the words' hash; ``folded`` has every distinct word of a bucket once, with its ids; ``returned`` brings the ids back, as tables of each group's units.
+* ``encode`` cuts whole texts again in Arrow batches and looks up each unit in its group's tables; nothing is merged there, and a unit without ids is an error.
 
 Rows must come from files to have a place, so a table that is no plain scan of Parquet files is staged first.
 
@@ -22,6 +22,7 @@ one's name is replaced.
 from __future__ import annotations
 
 import base64
+import bisect
 import heapq
 import json
 import re
@@ -36,15 +37,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import files
-from .shared import dropped, quoted, shared_dir, staged, tidy, width
+from .shared import dropped, quoted, shared_dir, staged, tidy
 
 BUCKETS = 1 << 13
 #: Text whose words share a table, and bytes from which on a word is folded in blocks.
-GROUP_BYTES, LONG = 16 << 20, 100
+GROUP_BYTES, LONG = 24 << 20, 100
+#: Text for each bucket of units, about: a task folds a bucket, and reads the literal tables for it.
+BUCKET_BYTES = 32 << 20
 #: White space as the tokenizer libraries know it.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
-#: Texts whose white space is only single blanks or line ends between other characters are cut without the pattern.
-_OTHER = re.compile(f"^[{_SPACE}]|[{_SPACE}]$|[{_SPACE}][{_SPACE}]|[\t\r\x0b\x0c\x85\xa0  -     　]")
+#: What a text that is cut without the pattern has nowhere: its white space is only single blanks or line ends between other characters.
+_OTHER = ("  ", "\n\n", " \n", "\n ", *(c for c in map(chr, range(0x3001)) if c not in " \n" and re.match(f"[{_SPACE}]", c)))
+_OTHER_ASCII = tuple(x for x in _OTHER if x.isascii())
+_SIGNS = bytes(c for c in range(128) if not chr(c).isalnum())
+
+
+def uneven(text: str) -> bool:
+    """Whether a text, not empty, must be cut by the pattern."""
+    return text[0] in " \n" or text[-1] in " \n" or any(x in text for x in (_OTHER_ASCII if text.isascii() else _OTHER))
 
 
 def explicit(pattern: str) -> str:
@@ -119,64 +129,63 @@ class Words:
         return out
 
 
-def _packed(items: list[bytes]) -> bytes:
-    body = np.array([len(x) for x in items], "<u4").tobytes() + b"".join(items)
+def _packed(items: list[bytes], kind: str = "u1") -> bytes:
+    """Byte strings, compressed; of 32-bit integers the two halves apart, since ids are mostly small."""
+    raw = b"".join(items)
+    if kind != "u1":
+        raw = np.frombuffer(raw, "<u2").reshape(-1, 2).T.tobytes()
+    body = np.array([len(x) for x in items], "<u4").tobytes() + raw
     return struct.pack("<QQ", len(items), len(body)) + pa.compress(body, "zstd", asbytes=True)
 
 
-def _unpacked(packed: bytes) -> list[bytes]:
+def _unpacked(packed: bytes, kind: str = "u1") -> list[bytes]:
     n, size = struct.unpack_from("<QQ", packed)
     body = pa.decompress(packed[16:], size, "zstd", asbytes=True)
-    at = [4 * n, *(4 * n + np.cumsum(np.frombuffer(body, "<u4", n), dtype=np.int64)).tolist()]
-    return [body[a:z] for a, z in zip(at, at[1:], strict=False)]
+    at = [0, *np.cumsum(np.frombuffer(body, "<u4", n), dtype=np.int64).tolist()]
+    raw = body[4 * n :]
+    if kind != "u1":
+        raw = np.frombuffer(raw, "<u2").reshape(2, -1).T.tobytes()
+    return [raw[a:z] for a, z in zip(at, at[1:], strict=False)]
 
 
-def words_of(texts: list[str | None], find, first: set[str], after: set[str], words: set[str]) -> None:
-    """Adds the words of texts; of texts that are cut without the pattern, the runs between blanks: at a line's start and after a blank."""
+def units_of(texts: list[str | None], find, first: set[str], after: set[str]) -> None:
+    """Adds what texts are cut into: the runs between blanks, at a line's start and after a blank; words where white space isn't that plain."""
     for t in texts:
         if not t:
             continue
-        if _OTHER.search(t):
-            words.update(find(t))
-            continue
-        lines = t.split("\n")
-        if len(lines) > 1:
-            words.add("\n")
-        for line in lines:
-            head, *rest = line.split(" ")
+        if uneven(t):
+            for w in find(t):
+                after.add(w[1:]) if w[0] == " " else first.add(w)
+        elif "\n" in t:
+            first.add("\n")
+            for line in t.split("\n"):
+                head, *rest = line.split(" ")
+                first.add(head)
+                after.update(rest)
+        else:
+            head, *rest = t.split(" ")
             first.add(head)
             after.update(rest)
 
 
 class Texts:
-    """Ids of texts through a table of all their words."""
+    """Ids of texts through tables of all their units: those that begin with a blank (without it), and the others."""
 
-    def __init__(self, find, words: dict[str, bytes]):
-        self.find, self.words, self.line = find, words, words.get("\n", b"")
-        self.first: dict[str, bytes] = {}
-        self.after: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, self.find(text)))
-
-    def _new(self, table: dict[str, bytes], lead: str, chunk: str) -> bytes:
-        got = table[chunk] = self._whole(lead + chunk)
-        return got
+    def __init__(self, find, first: dict[str, bytes], after: dict[str, bytes]):
+        self.find, self.first, self.after = find, first, after
 
     def text(self, text: str) -> bytes:
         """Ids of a text as little-endian 32-bit integers."""
-        if not text:
-            return b""
-        if _OTHER.search(text):
-            return self._whole(text)
-        first, after, out = self.first, self.after, []
+        first, after = self.first, self.after
+        if uneven(text):
+            return b"".join([after[w[1:]] if w[0] == " " else first[w] for w in self.find(text)])
+        out = []
         for n, line in enumerate(text.split("\n")):
             if n:
-                out.append(self.line)
+                out.append(first["\n"])
             head, *rest = line.split(" ")
-            out.append(first.get(head) or self._new(first, "", head))
-            for chunk in rest:
-                out.append(after.get(chunk) or self._new(after, " ", chunk))
+            out.append(first[head])
+            out += map(after.__getitem__, rest)
         return b"".join(out)
 
 
@@ -189,8 +198,8 @@ def scans(docs: DataFrame) -> bool:
     return steady and plan.nodeName() == "LogicalRelation" and "_metadata" not in map(str.lower, docs.columns)
 
 
-def placed(docs: DataFrame, text_col: str, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """``docs`` with columns c0, c1, ... and the group of each row by its place in the input's files (``g``)."""
+def placed(docs: DataFrame, text_col: str, group_bytes: int = GROUP_BYTES) -> tuple[DataFrame, int]:
+    """``docs`` with columns c0, c1, ... and the group of each row by its place in the input's files (``g``); and bytes of text."""
 
     def located(rows: DataFrame) -> DataFrame:
         return rows.select(*(F.col(quoted(c)).alias(f"c{k}") for k, c in enumerate(rows.columns)), F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row"))
@@ -203,27 +212,28 @@ def placed(docs: DataFrame, text_col: str, group_bytes: int = GROUP_BYTES) -> Da
     rows, size = out.agg(F.count(F.lit(1)), F.sum(F.octet_length(f"c{docs.columns.index(text_col)}"))).first()
     each = max(1, int(group_bytes * rows // max(1, size or 0)))
     # groups whose hashes are equal only share a table
-    return out.withColumn("g", F.xxhash64("path", F.floor(F.col("row") / each))).drop("path", "row")
+    return out.withColumn("g", F.xxhash64("path", F.floor(F.col("row") / each))).drop("path", "row"), size or 0
 
 
 def cut(rows: DataFrame, pattern: str, parts: int) -> DataFrame:
-    """(bucket, g, packed): the distinct words of each group (g, t), by the words' hash. A group that several tasks read has several rows a bucket."""
+    """(bucket, g, packed): the distinct units of each group (g, t), by a hash of their words. A group that several tasks read has several rows a bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = finder(pattern)
-        number, first, after, words = None, set(), set(), set()
+        number, first, after = None, set(), set()
 
         def found() -> pa.RecordBatch:
-            for lead, chunks in (("", first), (" ", after)):
-                while chunks:
-                    words.update(find(lead + chunks.pop()))
-            raw = sorted(w.encode() for w in words)
-            words.clear()
-            to = np.fromiter((zlib.crc32(w) % parts for w in raw), np.int64, len(raw))
+            raw = [u.encode() for u in first]
+            first.clear()
+            raw += [b" " + u.encode() for u in after]
+            after.clear()
+            raw.sort()
+            # signs at the ends are words of their own: without them the same word is in one bucket
+            to = np.fromiter((zlib.crc32(u.strip(_SIGNS)) % parts for u in raw), np.int64, len(raw))
             order = np.argsort(to, kind="stable")
             buckets, begins = np.unique(to[order], return_index=True)
-            order, ends = order.tolist(), [*begins[1:].tolist(), len(raw)]
-            packed = [_packed([raw[k] for k in order[a:z]]) for a, z in zip(begins.tolist(), ends, strict=False)]
+            ends = [*begins[1:].tolist(), len(raw)]
+            packed = [_packed([raw[k] for k in order[a:z].tolist()]) for a, z in zip(begins.tolist(), ends, strict=False)]
             return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array([number] * len(buckets), pa.int64()), pa.array(packed, pa.binary())], ["bucket", "g", "packed"])
 
         for whole in batches:
@@ -234,26 +244,28 @@ def cut(rows: DataFrame, pattern: str, parts: int) -> DataFrame:
                 runs = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])).tolist()
                 for a, z in zip(runs, [*runs[1:], len(g)], strict=True):
                     if g[a] != number:
-                        if first or words:
+                        if first or after:
                             yield found()
                         number = int(g[a])
-                    words_of(texts[a:z], find, first, after, words)
-        if first or words:
+                    units_of(texts[a:z], find, first, after)
+        if first or after:
             yield found()
 
     return rows.mapInArrow(tidy(run), "bucket int, g bigint, packed binary")
 
 
-def folded(packed: DataFrame, path: str, parts: int) -> DataFrame:
-    """(bucket, word, ids): every distinct word of all groups, once, in UTF-8."""
+def folded(packed: DataFrame, path: str, pattern: str, parts: int) -> DataFrame:
+    """(bucket, word, ids): every distinct word of the units of a bucket, once, in UTF-8."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, set[bytes]] = {}
         for b in batches:
             for k, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 held.setdefault(k, set()).update(_unpacked(p))
-        for k, words in held.items():
-            some = list(words)
+        find = finder(pattern)
+        for k, units in held.items():
+            some = [w.encode() for w in {w for u in units for w in find(u.decode())}]
+            units.clear()
             for lo in range(0, len(some), 10_000):
                 part = some[lo : lo + 10_000]
                 yield pa.RecordBatch.from_arrays([pa.array([k] * len(part), pa.int32()), pa.array(part, pa.binary())], ["bucket", "word"])
@@ -261,24 +273,28 @@ def folded(packed: DataFrame, path: str, parts: int) -> DataFrame:
     return encode_words(packed.select("bucket", "packed").repartitionById(parts, F.col("bucket")).mapInArrow(tidy(run), "bucket int, word binary"), path)
 
 
-def returned(packed: DataFrame, ids: DataFrame, parts: int, folder: str) -> DataFrame:
-    """(g, path, begin, size): where in files below the folder each group's words lie, with their ids."""
+def returned(packed: DataFrame, ids: DataFrame, pattern: str, parts: int, folder: str) -> DataFrame:
+    """(g, path, begin, size): where in files below the folder each group's units lie, with their ids."""
     both = ids.select("bucket", F.lit(None).cast("bigint").alias("g"), "word", "ids").unionByName(packed.select("bucket", "g", F.col("packed").alias("word"), F.lit(None).cast("array<int>").alias("ids")))
     dealt = both.repartitionById(parts, F.col("bucket")).sortWithinPartitions("bucket", F.col("g").isNotNull())
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, known = None, {}
+        bucket, known, whole, find = None, {}, {}, finder(pattern)
         for b in batches:
             lists = b.column(3)
             at, raw = (4 * lists.offsets.to_numpy()).tolist(), np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<i4").tobytes()
             out: list[tuple] = []
             for k, (n, g, w) in enumerate(zip(*(b.column(c).to_pylist() for c in range(3)), strict=True)):
                 if n != bucket:
-                    bucket, known = n, {}
+                    bucket, known, whole = n, {}, {}
                 if g is None:
                     known[w] = raw[at[k] : at[k + 1]]
                 else:
-                    out.append((g, w, _packed([known[x] for x in _unpacked(w)])))
+                    units = _unpacked(w)
+                    for u in units:
+                        if u not in whole:
+                            whole[u] = known.get(u) or b"".join([known[x.encode()] for x in find(u.decode())])
+                    out.append((g, w, _packed([whole[u] for u in units], "<i4")))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["g", "words", "ids"])
 
@@ -300,30 +316,35 @@ def returned(packed: DataFrame, ids: DataFrame, parts: int, folder: str) -> Data
     return tables.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(tidy(write), "g bigint, path string, begin bigint, size bigint")
 
 
-def _table(path: str, begin: int, size: int) -> dict[str, bytes]:
+def _tables(path: str, begin: int, size: int) -> tuple[dict[str, bytes], dict[str, bytes]]:
     store, name = files.open_store(path)
     with store.open_input_file(name) as f:
         f.seek(begin)
         raw = f.read(size)
-    out, at = {}, 0
+    first, after, at = {}, {}, 0
     while at < size:
         w, i = struct.unpack_from("<QQ", raw, at)
         at += 16
-        out.update(zip(map(bytes.decode, _unpacked(raw[at : at + w])), _unpacked(raw[at + w : at + w + i]), strict=True))
+        units, ids = _unpacked(raw[at : at + w]), _unpacked(raw[at + w : at + w + i], "<i4")
+        blank = bisect.bisect_left(units, b" "), bisect.bisect_left(units, b"!")  # sorted: those that begin with a blank are together
+        for a, z in ((0, blank[0]), (blank[1], len(units))):
+            first.update(zip(map(bytes.decode, units[a:z]), ids[a:z], strict=True))
+        after.update(zip([u[1:].decode() for u in units[slice(*blank)]], ids[slice(*blank)], strict=True))
         at += w + i
-    return out
+    return first, after
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of the whole text in a further column, array<int>."""
     spark = docs.sparkSession
     docs = docs.select(*(quoted(c) for c in docs.columns if c.lower() != ids_col.lower()))
-    at, parts = docs.columns.index(text_col), max(4, width(spark))
+    at = docs.columns.index(text_col)
     own = [f"c{k}" for k in range(len(docs.columns) + 1)]  # named by place, so the documents' own names may be any
-    rows = placed(docs, text_col)
+    rows, size = placed(docs, text_col)
+    parts = max(4, spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
     packed = staged(cut(rows.select("g", F.col(own[at]).alias("t")), pattern, parts))
-    ids = staged(folded(packed, path, parts))
-    tables = {r.g: (r.path, r.begin, r.size) for r in returned(packed, ids, parts, shared_dir(spark)).collect()}  # a row per GROUP_BYTES of text
+    ids = staged(folded(packed, path, pattern, parts))
+    tables = {r.g: (r.path, r.begin, r.size) for r in returned(packed, ids, pattern, parts, shared_dir(spark)).collect()}  # a row per GROUP_BYTES of text
     dropped(packed, ids)
     sent = spark.sparkContext.broadcast(tables)
 
@@ -336,7 +357,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
                 for g, t in zip(b.column(b.num_columns - 1).to_pylist(), b.column(at).to_pylist(), strict=True):
                     if t and g != number:
                         table = None  # one table at a time
-                        number, table = g, Texts(find, _table(*sent.value[g]))
+                        number, table = g, Texts(find, *_tables(*sent.value[g]))
                     found.append(table.text(t) if t else b"")
                 ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
                 values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])

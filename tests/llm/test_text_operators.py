@@ -573,10 +573,10 @@ def test_byte_bpe_folds_every_word(spark, tmp_path):
     docs = [(k, f"the {word} and\n{word[::-1]}") for k, word in enumerate(long_)] + [(100, None), (101, ""), (102, " \x00\n\n ")]
     frame(spark, docs).repartition(2).write.parquet(f"file://{tmp_path}/docs")
     rows = spark.read.parquet(f"file://{tmp_path}/docs")
-    packed = bpe.cut(bpe.placed(rows, rows.columns[1], 1000).select("g", F.col("c1").alias("t")), P.PATTERN, 4)
+    packed = bpe.cut(bpe.placed(rows, "text", 1000)[0].select("g", F.col("c1").alias("t")), P.PATTERN, 4)
     assert packed.select("g").distinct().count() > 5
-    got = bpe.folded(packed, path, 4).collect()
-    assert sorted(r.word.decode() for r in got) == sorted({w for _, t in docs for w in bpe.finder(P.PATTERN)(t or "")})
+    got = bpe.folded(packed, path, P.PATTERN, 4).collect()
+    assert {r.word.decode() for r in got} == ({w for _, t in docs for w in bpe.finder(P.PATTERN)(t or "")})
     assert all(r.ids == enc._encode_single_piece(r.word) for r in got)
     assert bpe.scans(rows) and not bpe.scans(rows.repartition(3))
     for some in (rows, rows.repartition(3)):
