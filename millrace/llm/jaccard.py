@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
@@ -44,6 +44,8 @@ COUNTERS, PARTS = 1 << 18, 16
 _SHIFT = np.uint64(64 - 18)
 #: Text whose codes are packed together, and bytes of codes that are sorted together.
 PACK_BYTES, BIN_BYTES = 8 << 20, 10 << 20
+#: Bins at least, so small tables are dealt out too.
+FEWEST_BINS = 12
 #: Members verified against one text by one task at most; members of a family whose sketches one task compares with as many others.
 FAN, SIDE = 256, 256
 #: Ids in a broadcast semi-join; more are joined by a shuffle.
@@ -488,6 +490,13 @@ def _residual(edges: DataFrame, links: DataFrame, sketches: DataFrame, label: Da
     return x.join(y, same & other & near).select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b")).distinct()
 
 
+def bins_for(grams: int | None, spark: SparkSession) -> tuple[int, int]:
+    """(partitions, bins in each) for the codes of classes with so many n-grams in all: about 0.7 codes an n-gram, of 6 bytes or more."""
+    need = max(FEWEST_BINS, (grams or 0) * 4 // BIN_BYTES)
+    parts = min(need, max(4, width(spark)))
+    return parts, -(-need // parts)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) of each row: the least id that links of at least ``percent`` reach from it."""
     spark = docs.sparkSession
@@ -496,16 +505,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     profile = noted.where("part is null").select("i", "n", "s1", "s2")
     freq = _frequencies(noted.where("part is not null"))
     classes = staged(profile.where("n > 0 and i is not null").groupBy("s1", "s2", "n").agg(F.min("i").alias("rep")))
-    # about 0.7 codes an n-gram, of 6 bytes or more
-    need = max(4, (profile.agg(F.sum("n")).first()[0] or 0) * 4 // BIN_BYTES)
-    parts = min(need, max(4, width(spark)))
-    bins = (parts, -(-need // parts))
-    alive = _shared_blocks(_keys(rows, freq, n, percent, parts), bins).toDF("s1")
+    bins = bins_for(profile.agg(F.sum("n")).first()[0], spark)
+    alive = staged(_shared_blocks(_keys(rows, freq, n, percent, bins[0]), bins).toDF("s1"))
+    # few classes are left, and a pair's tallies go into fewer rows where its blocks lie in fewer bins
+    bins = bins_for(classes.join(F.broadcast(alive) if alive.count() <= SEMI_IDS else alive, "s1", "left_semi").agg(F.sum("n")).first()[0], spark)
     some = staged(_texts(rows, classes, alive, n).withColumnRenamed("s1", "i"))
     # without the classes that left, others have fewer shared blocks
-    alive = _shared_blocks(_keys(some, freq, n, percent, parts), bins).toDF("i")
+    alive = _shared_blocks(_keys(some, freq, n, percent, bins[0]), bins).toDF("i")
     some = staged(some.join(alive, "i", "left_semi"))
-    edges = staged(_pivot_edges(_keys(some, freq, n, percent, parts), bins))
+    edges = staged(_pivot_edges(_keys(some, freq, n, percent, bins[0]), bins))
     likely = edges.where("maybe").select("a", "b")
     used = staged(likely.select("a").union(likely.select("b")).distinct().toDF("s1"))
     checked = staged(_verified(likely, some.withColumnRenamed("i", "s1").join(F.broadcast(used) if used.count() <= SEMI_IDS else used, "s1", "left_semi"), n))

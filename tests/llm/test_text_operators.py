@@ -534,6 +534,20 @@ def test_token_files(spark, odd, tmp_path):
     assert tokens.read(tokens.write(spark.createDataFrame([], EMPTY), shared_dir(spark), path)).count() == 0
 
 
+def test_pairs_are_met_in_bins_of_the_classes_left(spark, monkeypatch):
+    """Pairs are tallied a bin: bins by the size of all texts would give a pair more rows the larger the rest of the table is."""
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(5000)]
+    base = [rng.choice(words) for _ in range(200)]
+    docs = [(k, " ".join([*base[:150], *base[151:], f"x{k}"])) for k in range(4)] + [(100 + k, " ".join(rng.choice(words) for _ in range(400))) for k in range(60)]
+    seen, plain = [], jaccard._pivot_edges
+    monkeypatch.setattr(jaccard, "BIN_BYTES", 2000)
+    monkeypatch.setattr(jaccard, "_pivot_edges", lambda packed, bins: seen.append(bins) or plain(packed, bins))
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(frame(spark, docs)).collect()}
+    assert got == {i: 0 if i < 100 else i for i, _ in docs}
+    assert seen and seen[0][0] * seen[0][1] <= 16
+
+
 # byte-level BPE -------------------------------------------------------------------------------------------------------------------------------
 
 
