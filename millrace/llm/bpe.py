@@ -270,7 +270,9 @@ def folded(packed: DataFrame, path: str, pattern: str, parts: int) -> DataFrame:
                 part = some[lo : lo + 10_000]
                 yield pa.RecordBatch.from_arrays([pa.array([k] * len(part), pa.int32()), pa.array(part, pa.binary())], ["bucket", "word"])
 
-    return encode_words(packed.select("bucket", "packed").repartitionById(parts, F.col("bucket")).mapInArrow(tidy(run), "bucket int, word binary"), path)
+    distinct = staged(packed.select("bucket", "packed").repartitionById(parts, F.col("bucket")).mapInArrow(tidy(run), "bucket int, word binary"))
+    # folding is a plan of its own without a shuffle: an adaptive plan's text, with the literal tables, is kept once more for each of its stages
+    return encode_words(distinct, path)
 
 
 def returned(packed: DataFrame, ids: DataFrame, pattern: str, parts: int, folder: str) -> DataFrame:
