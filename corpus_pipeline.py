@@ -57,7 +57,8 @@ def encode_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     own = ("ids", "n_tokens", "decoded_sha256")
     out = bpe.encode(docs.select(*(quoted(c) for c in docs.columns if c.lower() not in own)), path, public_tokenizers.PATTERN)
-    return out.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("decoded_sha256", F.sha2(bpe.decoded(F.col("ids"), path), 256))
+    out = bpe.decoded(out.withColumn("n_tokens", F.size("ids").cast("long")), path, "ids", "decoded_sha256")
+    return out.withColumn("decoded_sha256", F.sha2("decoded_sha256", 256))
 
 
 STAGES = [

@@ -3,16 +3,18 @@
 A text is cut into words by the vocabulary's pattern; a word's bytes are merged pair by pair, least rank first, leftmost first; a word that is itself a
 piece has that id at once. All distinct words are folded, each once, however rare or long:
 
-* ``encode_words`` folds a table of distinct words with higher-order functions of Spark: an array of the bytes' ids, merged step by step by a literal
-  table that says which id a pair of ids makes (its rank is that id), in buckets, since Spark searches a literal array or map by scanning it. The array
-  of a word over ``LONG`` bytes is cut into blocks of about the square root of its length, so a merge changes three blocks at most.
+* ``encode_words`` folds a table of distinct words with higher-order functions of Spark: an array of the bytes' ids, merged step by step by a table
+  that says which id a pair of ids makes (its rank is that id). Spark searches an array or map by scanning it, so that table is a perfect hash: two
+  elements of arrays decide a pair. The array of a word over ``LONG`` bytes is cut into blocks of about the square root of its length, so a merge changes three blocks at most.
+* Tables of the vocabulary lie in a file of one row below the shared folder and are a scalar subquery: as literals they were in every plan's text, of which the driver keeps many.
 * Rows are dealt into groups of about ``GROUP_BYTES`` of text by their place in the input's files, whatever tasks read them. ``cut`` gives each group's distinct units (a word,
-  or a run between blanks, which may be several words), packed by the words' hash; ``folded`` has every distinct word of a bucket once, with its ids; ``returned`` brings the ids back, as tables of each group's units.
+  or a run between blanks, which may be several words), packed by the words' hash; ``folded`` has every distinct word of a bucket once, with its ids, and behind them the bucket's
+  packed units, so one shuffle serves both; ``returned`` brings the ids back, as tables of each group's units.
 * ``encode`` cuts whole texts again in Arrow batches and looks up each unit in its group's tables; nothing is merged there, and a unit without ids is an error.
 
 Rows must come from files to have a place, so a table that is no plain scan of Parquet files is staged first.
 
-``decoded`` turns ids into bytes in DataFrame functions: a literal array of pieces in hex is indexed by id, joined, and made binary.
+``decoded`` turns ids into bytes in DataFrame functions: an array of pieces in hex is indexed by id, joined, and made binary.
 
 Defined results: a null text is empty and has no ids; empty ids decode to empty bytes; repeated rows are encoded alike; a word of n bytes takes time in proportion
 to n ** 1.5 at most; an empty table gives no rows; an id without a piece raises an error; ``encode`` keeps all other columns, but a column that already has the new
@@ -24,7 +26,7 @@ from __future__ import annotations
 import base64
 import bisect
 import heapq
-import json
+import random
 import re
 import struct
 import zlib
@@ -37,12 +39,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import files
-from .shared import dropped, quoted, shared_dir, staged, tidy
+from .shared import free, quoted, shared_dir, staged, tidy
 
-BUCKETS = 1 << 13
 #: Text whose words share a table, and bytes from which on a word is folded in blocks.
 GROUP_BYTES, LONG = 24 << 20, 100
-#: Text for each bucket of units, about: a task folds a bucket, and reads the literal tables for it.
+#: Text for each bucket of units, about: a task folds a bucket.
 BUCKET_BYTES = 32 << 20
 #: White space as the tokenizer libraries know it.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -223,17 +224,15 @@ def cut(rows: DataFrame, pattern: str, parts: int) -> DataFrame:
         number, first, after = None, set(), set()
 
         def found() -> pa.RecordBatch:
-            raw = [u.encode() for u in first]
-            first.clear()
-            raw += [b" " + u.encode() for u in after]
-            after.clear()
-            raw.sort()
-            # signs at the ends are words of their own: without them the same word is in one bucket
-            to = np.fromiter((zlib.crc32(u.strip(_SIGNS)) % parts for u in raw), np.int64, len(raw))
-            order = np.argsort(to, kind="stable")
-            buckets, begins = np.unique(to[order], return_index=True)
-            ends = [*begins[1:].tolist(), len(raw)]
-            packed = [_packed([raw[k] for k in order[a:z].tolist()]) for a, z in zip(begins.tolist(), ends, strict=False)]
+            dealt: list[list[bytes]] = [[] for _ in range(parts)]
+            # those with a blank come last; signs at the ends are words of their own: without them the same word is in one bucket
+            for blank, units in ((b"", first), (b" ", after)):
+                for u in units:
+                    raw = u.encode()
+                    dealt[zlib.crc32(raw.strip(_SIGNS)) % parts].append(blank + raw)
+                units.clear()
+            buckets = [k for k, units in enumerate(dealt) if units]
+            packed = [_packed(dealt[k]) for k in buckets]
             return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array([number] * len(buckets), pa.int64()), pa.array(packed, pa.binary())], ["bucket", "g", "packed"])
 
         for whole in batches:
@@ -254,49 +253,60 @@ def cut(rows: DataFrame, pattern: str, parts: int) -> DataFrame:
     return rows.mapInArrow(tidy(run), "bucket int, g bigint, packed binary")
 
 
-def folded(packed: DataFrame, path: str, pattern: str, parts: int) -> DataFrame:
-    """(bucket, word, ids): every distinct word of the units of a bucket, once, in UTF-8."""
+def folded(packed: DataFrame, path: str, pattern: str, parts: int, carried: bool = False) -> DataFrame:
+    """(bucket, word, ids): every distinct word of the units of a bucket, once, in UTF-8. With ``carried`` (bucket, g, packed, word, ids): behind the words
+    of a bucket also its rows of ``packed``, without a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, set[bytes]] = {}
+        held: dict[int, tuple[set[bytes], list]] = {}
         for b in batches:
-            for k, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                held.setdefault(k, set()).update(_unpacked(p))
+            for k, g, p in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                units, rows = held.setdefault(k, (set(), []))
+                units.update(_unpacked(p))
+                if carried:
+                    rows.append((g, p))
+
+        def batch(k: int, n: int, g, p, word) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in (([k] * n, pa.int32()), (g, pa.int64()), (p, pa.binary()), (word, pa.binary()))], ["bucket", "g", "packed", "word"])
+
         find = finder(pattern)
-        for k, units in held.items():
+        for k, (units, rows) in held.items():
             some = [w.encode() for w in {w for u in units for w in find(u.decode())}]
             units.clear()
             for lo in range(0, len(some), 10_000):
                 part = some[lo : lo + 10_000]
-                yield pa.RecordBatch.from_arrays([pa.array([k] * len(part), pa.int32()), pa.array(part, pa.binary())], ["bucket", "word"])
+                none = [None] * len(part)
+                yield batch(k, len(part), none, none, part)
+            for lo in range(0, len(rows), 100):
+                part = rows[lo : lo + 100]
+                yield batch(k, len(part), *zip(*part, strict=True), [None] * len(part))
+            rows.clear()
 
-    distinct = staged(packed.select("bucket", "packed").repartitionById(parts, F.col("bucket")).mapInArrow(tidy(run), "bucket int, word binary"))
-    # folding is a plan of its own without a shuffle: an adaptive plan's text, with the literal tables, is kept once more for each of its stages
-    return encode_words(distinct, path)
+    kind = "bucket int, g bigint, packed binary, word binary"
+    out = encode_words(packed.select("bucket", "g", "packed").repartitionById(parts, F.col("bucket")).mapInArrow(tidy(run), kind), path)
+    return out if carried else out.select("bucket", "word", "ids")
 
 
-def returned(packed: DataFrame, ids: DataFrame, pattern: str, parts: int, folder: str) -> DataFrame:
-    """(g, path, begin, size): where in files below the folder each group's units lie, with their ids."""
-    both = ids.select("bucket", F.lit(None).cast("bigint").alias("g"), "word", "ids").unionByName(packed.select("bucket", "g", F.col("packed").alias("word"), F.lit(None).cast("array<int>").alias("ids")))
-    dealt = both.repartitionById(parts, F.col("bucket")).sortWithinPartitions("bucket", F.col("g").isNotNull())
+def returned(both: DataFrame, pattern: str, parts: int, folder: str) -> DataFrame:
+    """(g, path, begin, size): where in files below the folder each group's units lie, with their ids. ``both`` are words and packed units as ``folded`` carries them."""
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, known, whole, find = None, {}, {}, finder(pattern)
         for b in batches:
-            lists = b.column(3)
+            lists = b.column(4)
             at, raw = (4 * lists.offsets.to_numpy()).tolist(), np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<i4").tobytes()
             out: list[tuple] = []
-            for k, (n, g, w) in enumerate(zip(*(b.column(c).to_pylist() for c in range(3)), strict=True)):
+            for k, (n, g, p, w) in enumerate(zip(*(b.column(c).to_pylist() for c in range(4)), strict=True)):
                 if n != bucket:
                     bucket, known, whole = n, {}, {}
-                if g is None:
+                if p is None:
                     known[w] = raw[at[k] : at[k + 1]]
                 else:
-                    units = _unpacked(w)
+                    units = _unpacked(p)
                     for u in units:
                         if u not in whole:
                             whole[u] = known.get(u) or b"".join([known[x.encode()] for x in find(u.decode())])
-                    out.append((g, w, _packed([whole[u] for u in units], "<i4")))
+                    out.append((g, p, _packed([whole[u] for u in units], "<i4")))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["g", "words", "ids"])
 
@@ -314,7 +324,7 @@ def returned(packed: DataFrame, ids: DataFrame, pattern: str, parts: int, folder
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["g", "path", "begin", "size"])
 
-    tables = dealt.mapInArrow(tidy(answer), "g bigint, words binary, ids binary")
+    tables = both.mapInArrow(tidy(answer), "g bigint, words binary, ids binary")
     return tables.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(tidy(write), "g bigint, path string, begin bigint, size bigint")
 
 
@@ -328,26 +338,25 @@ def _tables(path: str, begin: int, size: int) -> tuple[dict[str, bytes], dict[st
         w, i = struct.unpack_from("<QQ", raw, at)
         at += 16
         units, ids = _unpacked(raw[at : at + w]), _unpacked(raw[at + w : at + w + i], "<i4")
-        blank = bisect.bisect_left(units, b" "), bisect.bisect_left(units, b"!")  # sorted: those that begin with a blank are together
-        for a, z in ((0, blank[0]), (blank[1], len(units))):
-            first.update(zip(map(bytes.decode, units[a:z]), ids[a:z], strict=True))
-        after.update(zip([u[1:].decode() for u in units[slice(*blank)]], ids[slice(*blank)], strict=True))
+        blank = bisect.bisect_left(units, True, key=lambda u: u[:1] == b" ")  # those that begin with a blank come last
+        first.update(zip(map(bytes.decode, units[:blank]), ids[:blank], strict=True))
+        after.update(zip([u[1:].decode() for u in units[blank:]], ids[blank:], strict=True))
         at += w + i
     return first, after
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with the ids of the whole text in a further column, array<int>."""
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", keep_text: bool = True) -> DataFrame:
+    """``docs`` with the ids of the whole text in a further column, array<int>; without the text unless it is kept."""
     spark = docs.sparkSession
     docs = docs.select(*(quoted(c) for c in docs.columns if c.lower() != ids_col.lower()))
     at = docs.columns.index(text_col)
+    left = [k for k in range(len(docs.columns)) if keep_text or k != at]
     own = [f"c{k}" for k in range(len(docs.columns) + 1)]  # named by place, so the documents' own names may be any
+    names = [own[k] for k in (*left, -1)]
     rows, size = placed(docs, text_col)
     parts = max(4, spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
-    packed = staged(cut(rows.select("g", F.col(own[at]).alias("t")), pattern, parts))
-    ids = staged(folded(packed, path, pattern, parts))
-    tables = {r.g: (r.path, r.begin, r.size) for r in returned(packed, ids, pattern, parts, shared_dir(spark)).collect()}  # a row per GROUP_BYTES of text
-    dropped(packed, ids)
+    both = folded(cut(rows.select("g", F.col(own[at]).alias("t")), pattern, parts), path, pattern, parts, carried=True)
+    tables = {r.g: (r.path, r.begin, r.size) for r in returned(both, pattern, parts, shared_dir(spark)).collect()}  # a row per GROUP_BYTES of text
     sent = spark.sparkContext.broadcast(tables)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,74 +372,120 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
                     found.append(table.text(t) if t else b"")
                 ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
                 values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.ListArray.from_arrays(pa.array(ends), values)], own)
+                yield pa.RecordBatch.from_arrays([*(b.column(k) for k in left), pa.ListArray.from_arrays(pa.array(ends), values)], names)
+
+    return rows.mapInArrow(tidy(run), rows.select(*names[:-1], F.array().cast("array<int>").alias(own[-1])).schema).toDF(*(docs.columns[k] for k in left), ids_col)
+
+
+def let(value: Column, use) -> Column:
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def looking_up(rows: DataFrame, name: str, columns: dict, use) -> DataFrame:
+    """``rows`` with a further column: what ``use`` makes of a struct of whole tables of the vocabulary, by (value, type).
+
+    They are a row of a file below the shared folder and a scalar subquery, so no plan's text has them. A subquery can't stand inside a
+    higher-order function, so it is a column first, which the optimizer puts in the one place that uses it.
+    """
+    import pyarrow.parquet as pq
+
+    spark = rows.sparkSession
+    at, out = files.create(shared_dir(spark), ".parquet")
+    with out:
+        pq.write_table(pa.table({c: pa.array([v], t) for c, (v, t) in columns.items()}), out)
+    (own,) = free([*rows.columns, name], "tables")
+    kinds = {pa.int32(): "int", pa.string(): "string", pa.binary(): "binary"}
+
+    def kind(t: pa.DataType) -> str:
+        return f"array<{kind(t.value_type)}>" if pa.types.is_list(t) else kinds[t]
 
-    return rows.mapInArrow(tidy(run), rows.select(*own[:-1], F.array().cast("array<int>").alias(own[-1])).schema).toDF(*docs.columns, ids_col)
+    table = spark.read.schema(", ".join(f"{c} {kind(t)}" for c, (_, t) in columns.items())).parquet(at)
+    return rows.withColumn(own, table.select(F.struct(*columns)).scalar()).withColumn(name, let(F.col(own), use)).drop(own)
 
 
-def decoded(ids: Column, path: str) -> Column:
-    """The bytes of ids."""
+def decoded(rows: DataFrame, path: str, ids_col: str, bytes_col: str) -> DataFrame:
+    """``rows`` with the bytes of the ids in a further column."""
     ranks = ranks_of(path)
-    size = max(ranks.values()) + 1
-    pieces = [""] * size
+    pieces = [""] * (max(ranks.values()) + 1)
     for piece, rank in ranks.items():
         pieces[rank] = piece.hex()
-    table = F.from_json(F.lit(json.dumps(pieces)), "array<string>")  # folded into one literal
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(table, i + 1)), ""))
+    ids = F.col(quoted(ids_col))
 
+    def joined(pieces: Column) -> Column:
+        return F.unhex(F.array_join(F.transform(ids, lambda i: pieces[i]), ""))
 
-def encode_words(distinct: DataFrame, path: str, word_col: str = "word", ids_col: str = "ids") -> DataFrame:
-    """``distinct`` with the ids of each word, by higher-order functions: ranked merges folded over the array of the word's bytes.
+    return looking_up(rows, bytes_col, {"pieces": (pieces, pa.list_(pa.string()))}, lambda t: let(t["pieces"], joined))
+
+
+def merges(ranks: dict[bytes, int]) -> tuple[dict, int, int]:
+    """Tables of what pairs of ids make, with their two sizes, powers of 2.
 
-    The state is an array of ids and one of what each pair of neighbours makes (null: nothing); a pair's rank is the id that it makes.
-    A pair's bucket and key together name it: the bucket leaves of its second id only the multiple of BUCKETS open.
+    The pair (a, b) is in the bucket (31 a + b) modulo the first size, in which a names it; a bucket is moved so that no two pairs share one of the slots
+    (a + moved[bucket]) modulo the second size. The pair makes the slot's id if the bucket owns the slot.
     """
-    ranks = ranks_of(path)
-    over = max(ranks.values()) // BUCKETS + 1
-    pairs, makes, whole = ([[] for _ in range(BUCKETS)] for _ in range(3))
-    of_whole: list[list[int]] = [[] for _ in range(BUCKETS)]
+    top = max(ranks.values())
+    if top >= 1 << 23:
+        raise ValueError("ids over 23 bits")
+    buckets = 1 << max(8, top.bit_length())
+    pairs: list[list[tuple[int, int]]] = [[] for _ in range(buckets)]
+    names: list[list[bytes]] = [[] for _ in range(buckets)]
+    of_names: list[list[int]] = [[] for _ in range(buckets)]
     for piece, rank in ranks.items():
-        bucket = hash_of(piece.hex())
-        whole[bucket].append(piece.hex().upper())
-        of_whole[bucket].append(rank)
+        names[zlib.crc32(piece) % buckets].append(piece)
+        of_names[zlib.crc32(piece) % buckets].append(rank)
         for k in range(1, len(piece)):
             a, b = ranks.get(piece[:k]), ranks.get(piece[k:])
             if a is not None and b is not None:
-                pairs[(a * 31 + b) % BUCKETS].append(a * over + b // BUCKETS)
-                makes[(a * 31 + b) % BUCKETS].append(rank)
+                pairs[(31 * a + b) % buckets].append((a, rank))
+    slots = max(buckets, 1 << (2 * sum(map(len, pairs))).bit_length())
+    moved, owner, makes, rng = [0] * buckets, [-1] * slots, [0] * slots, random.Random(0)
+    for k in sorted(range(buckets), key=lambda k: -len(pairs[k])):
+        while any(owner[(a + moved[k]) % slots] >= 0 for a, _ in pairs[k]):
+            moved[k] = rng.randrange(slots)
+        for a, rank in pairs[k]:
+            owner[(a + moved[k]) % slots], makes[(a + moved[k]) % slots] = k, rank
+    ints = pa.list_(pa.int32())
+    tables = {
+        "moved": (moved, ints), "owner": (owner, ints), "makes": (makes, ints), "bytes": ([ranks[bytes([k])] for k in range(256)], ints),
+        "two": ([ranks.get(bytes([a, b])) for a in range(256) for b in range(256)], ints), "names": (names, pa.list_(pa.list_(pa.binary()))), "of_names": (of_names, pa.list_(ints)),
+    }
+    return tables, buckets, slots
 
-    def literal(value: list, kind: str) -> Column:
-        return F.from_json(F.lit(json.dumps(value)), kind)  # folded into one literal
 
-    whole_, of_whole_ = literal(whole, "array<array<string>>"), literal(of_whole, "array<array<int>>")
-    tables = F.struct(literal(pairs, "array<array<int>>").alias("pairs"), literal(makes, "array<array<int>>").alias("makes"), literal([ranks[bytes([k])] for k in range(256)], "array<int>").alias("bytes"))
-    none = F.array().cast("array<int>")
+def encode_words(distinct: DataFrame, path: str, word_col: str = "word", ids_col: str = "ids") -> DataFrame:
+    """``distinct`` with the ids of each word, by higher-order functions: ranked merges folded over the array of the word's bytes. A null word has none.
 
-    def let(value: Column, use) -> Column:
-        return F.element_at(F.transform(F.array(value), use), 1)
+    The state is an array of ids and one of what each id makes with the next (null: nothing); a pair's rank is the id that it makes. Both begin with a null and end with what makes nothing.
+    """
+    tables, buckets, slots = merges(ranks_of(path))
+    none = F.array().cast("array<int>")
+    word = F.col(quoted(word_col)).cast("binary")
+    length = F.octet_length(word)
 
-    def fold(name: Column, length: Column, t: Column) -> Column:
+    def fold(t: Column) -> Column:
         def made(a: Column, b: Column) -> Column:
-            at = ((a.cast("long") * 31 + b) % BUCKETS).cast("int")
-            key = (a.cast("long") * over + F.shiftright(b, BUCKETS.bit_length() - 1)).cast("int")
-            return F.get(F.get(t["makes"], at), (F.array_position(F.get(t["pairs"], at), key) - 1).cast("int"))
+            bucket = (a * 31 + b).bitwiseAND(buckets - 1)
+            slot = (F.get(t["moved"], bucket) + a).bitwiseAND(slots - 1)
+            return F.when(F.get(t["owner"], slot) == bucket, F.get(t["makes"], slot))
 
         def step(acc: Column) -> Column:
             parts, pair = acc["parts"], acc["pair"]
 
-            def at(k: Column) -> Column:
-                new, n = F.element_at(pair, k), F.size(parts)
-                left = F.when(k > 1, F.concat(F.slice(pair, F.lit(1), k - 2), F.array(made(F.element_at(parts, k - 1), new)))).otherwise(none)
-                right = F.when(k + 1 < n, F.concat(F.array(made(new, F.element_at(parts, k + 2))), F.slice(pair, k + 2, n))).otherwise(none)
-                return F.struct(F.concat(F.slice(parts, F.lit(1), k - 1), F.array(new), F.slice(parts, k + 2, n)).alias("parts"), F.concat(left, right).alias("pair"))
+            def at(least: Column) -> Column:
+                k, new = least.bitwiseAND(255), F.shiftright(least, 8)
+                left, right = made(F.get(parts, k - 1), new), made(new, F.get(parts, k + 2))
+                merged = F.filter(F.transform(parts, lambda x, i: F.when(i == k, new).otherwise(x)), lambda x, i: i != k + 1)
+                pairs = F.filter(F.transform(pair, lambda x, i: F.when(i == k, right).when(i == k - 1, left).otherwise(x)), lambda x, i: i != k + 1)
+                return F.when(least.isNull(), F.struct(parts.alias("parts"), none.alias("pair"))).otherwise(F.struct(merged.alias("parts"), pairs.alias("pair")))
 
-            least = F.array_min(pair)
-            return F.when(least.isNull(), acc).otherwise(let(F.array_position(pair, least).cast("int"), at))
+            # the leftmost of the least, without array_position, which throws what it finds
+            return F.when(F.size(pair) == 0, acc).otherwise(let(F.array_min(F.transform(pair, lambda x, i: x * 256 + i)), at))
 
-        def folded(parts: Column) -> Column:
-            n = F.size(parts)
-            pair = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: made(F.element_at(parts, i), F.element_at(parts, i + 1)))).otherwise(none)
-            return F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), F.struct(parts.alias("parts"), pair.alias("pair")), lambda acc, _: step(acc), lambda acc: acc["parts"])
+        def folded(codes: Column) -> Column:
+            head = F.array(F.lit(None).cast("int"))
+            parts = F.concat(head, F.transform(codes, lambda c: F.get(t["bytes"], c)))
+            pair = F.concat(head, F.zip_with(codes, F.slice(codes, F.lit(2), length), lambda a, b: F.get(t["two"], a * 256 + b)))
+            return F.aggregate(F.sequence(F.lit(1), length), F.struct(parts.alias("parts"), pair.alias("pair")), lambda acc, _: step(acc), lambda acc: F.slice(acc["parts"], F.lit(2), length))
 
         def step_in_blocks(acc: Column) -> Column:
             parts, pairs, least, m = acc["parts"], acc["pairs"], acc["least"], F.size(acc["least"])
@@ -477,33 +532,26 @@ def encode_words(distinct: DataFrame, path: str, word_col: str = "word", ids_col
 
             return let(pair, all_)
 
-        def bytes_of(name: Column, n: Column) -> Column:
-            return F.transform(F.sequence(F.lit(1), n), lambda i: F.get(t["bytes"], F.conv(F.substring(name, 2 * i - 1, F.lit(2)), 16, 10).cast("int")))
-
-        # a piece of a string is found by walking there, so a long one is cut twice
-        side = F.ceil(F.sqrt(length)).cast("int")
-        of_long = F.flatten(F.transform(F.sequence(F.lit(1), length, side), lambda k: let(F.substring(name, 2 * k - 1, 2 * side), lambda some: bytes_of(some, (F.length(some) / 2).cast("int")))))
-        return F.when(length > LONG, let(of_long, folded_in_blocks)).when(length > 0, let(bytes_of(name, length), folded)).otherwise(none)
+        # a byte is a letter of ISO 8859-1
+        codes = F.transform(F.split(F.decode(word, "ISO-8859-1"), ""), F.ascii)
+        alone_at = F.crc32(word).bitwiseAND(F.lit(buckets - 1).cast("bigint")).cast("int")
+        alone = F.get(F.get(t["of_names"], alone_at), (F.array_position(F.get(t["names"], alone_at), word) - 1).cast("int"))
 
-    name = F.hex(F.col(quoted(word_col)).cast("binary"))
-    length = (F.length(name) / 2).cast("int")
-    # a word that is a piece: its hex is hashed as Spark hashes it
-    bucket = (F.crc32(F.lower(name).cast("binary")) % BUCKETS).cast("int")
-    alone = F.get(F.get(of_whole_, bucket), (F.array_position(F.get(whole_, bucket), name) - 1).cast("int"))
-    # the literals are once in the plan, whose texts the driver keeps
-    return distinct.withColumn(ids_col, let(alone, lambda own: F.when(own.isNotNull(), F.array(own)).otherwise(let(tables, lambda t: fold(name, length, t)))))
+        def all_(own: Column) -> Column:
+            of_long = let(F.transform(codes, lambda c: F.get(t["bytes"], c)), folded_in_blocks)
+            return F.when(own.isNotNull(), F.array(own)).when(length > LONG, of_long).when(length > 0, let(codes, folded)).otherwise(none)
 
+        return let(alone, all_)
 
-def hash_of(name: str) -> int:
-    """The bucket of a piece's name in hex."""
-    return zlib.crc32(name.encode()) % BUCKETS
+    return looking_up(distinct, ids_col, tables, fold)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: how many ids, and digests of the ids and of the bytes that they decode to."""
-    rows = encode(docs.select(F.col(quoted(id_col)).alias("_id"), F.col(quoted(text_col)).alias("_text")), path, pattern, "_text", "_ids").select("_id", "_ids")
+    rows = encode(docs.select(F.col(quoted(id_col)).alias("_id"), F.col(quoted(text_col)).alias("_text")), path, pattern, "_text", "_ids", keep_text=False)
     ids = F.col("_ids")
-    return rows.select(
+    listed = F.to_json(ids).cast("binary")  # in brackets; much quicker than joining strings
+    return decoded(rows, path, "_ids", "_bytes").select(
         F.col("_id").alias(id_col), F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(ids.cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"), F.sha2(decoded(ids, path), 256).alias("decoded_sha256"),
+        F.sha2(F.substring(listed, F.lit(2), F.octet_length(listed) - 2), 256).alias("ids_sha256"), F.sha2("_bytes", 256).alias("decoded_sha256"),
     )

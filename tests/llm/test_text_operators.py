@@ -595,3 +595,32 @@ def test_byte_bpe_folds_every_word(spark, tmp_path):
     assert bpe.scans(rows) and not bpe.scans(rows.repartition(3))
     for some in (rows, rows.repartition(3)):
         assert {r[0]: r.ids for r in bpe.encode(some, path, P.PATTERN).collect()} == {i: enc.encode_ordinary(t or "") for i, t in docs}
+
+
+def test_byte_bpe_tables_are_in_no_plan(spark):
+    """The driver keeps the texts of many plans: with the vocabulary as literals one had 9 MB. Nor are its tables a column of any row, and words need one shuffle."""
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    words = spark.createDataFrame([("word",), (None,)], "word string")
+    packed = spark.createDataFrame([], "bucket int, g bigint, packed binary")
+    for rows in (bpe.encode_words(words, path), bpe.decoded(bpe.encode_words(words, path), path, "ids", "bytes"), bpe.folded(packed, path, P.PATTERN, 4)):
+        plans = rows._jdf.queryExecution()
+        assert len(plans.toString()) < 300_000
+        assert "tables" not in plans.optimizedPlan().output().toString() and plans.executedPlan().toString().count("Exchange") <= 1
+    ids = {r.word: r.ids for r in bpe.encode_words(words, path).collect()}
+    assert ids[None] == [] and len(ids["word"]) == 1
+
+
+def test_byte_bpe_pairs_are_named_exactly():
+    """Every pair of ids finds what it makes, and a pair that makes nothing finds nothing."""
+    ranks = bpe.ranks_of(P.path("byte_bpe_multi_50k.tiktoken"))
+    tables, buckets, slots = bpe.merges(ranks)
+    moved, owner, makes = (np.array(tables[c][0]) for c in ("moved", "owner", "makes"))
+    pieces = {i: p for p, i in ranks.items()}
+    rng = random.Random(5)
+    pairs = [(ranks[p[:k]], ranks[p[k:]]) for p in ranks for k in range(1, len(p)) if p[:k] in ranks and p[k:] in ranks]
+    pairs += [(rng.choice(list(pieces)), rng.choice(list(pieces))) for _ in range(300)]
+    a, b = np.array(pairs).T
+    bucket = (31 * a + b) & (buckets - 1)
+    slot = (moved[bucket] + a) & (slots - 1)
+    got = np.where(owner[slot] == bucket, makes[slot], -1).tolist()
+    assert got == [ranks.get(pieces[x] + pieces[y], -1) for x, y in pairs]
