@@ -44,7 +44,7 @@ from .shared import free, quoted, shared_dir, staged, tidy
 #: Text whose words share a table, and bytes from which on a word is folded in blocks.
 GROUP_BYTES, LONG = 24 << 20, 100
 #: Text for each bucket of units, about: a task folds a bucket.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 24 << 20
 #: White space as the tokenizer libraries know it.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
 #: What a text that is cut without the pattern has nowhere: its white space is only single blanks or line ends between other characters.
@@ -227,8 +227,8 @@ def cut(rows: DataFrame, pattern: str, parts: int) -> DataFrame:
             dealt: list[list[bytes]] = [[] for _ in range(parts)]
             # those with a blank come last; signs at the ends are words of their own: without them the same word is in one bucket
             for blank, units in ((b"", first), (b" ", after)):
-                for u in units:
-                    raw = u.encode()
+                while units:  # freed one by one
+                    raw = units.pop().encode()
                     dealt[zlib.crc32(raw.strip(_SIGNS)) % parts].append(blank + raw)
                 units.clear()
             buckets = [k for k, units in enumerate(dealt) if units]
@@ -273,8 +273,9 @@ def folded(packed: DataFrame, path: str, pattern: str, parts: int, carried: bool
         for k, (units, rows) in held.items():
             some = [w.encode() for w in {w for u in units for w in find(u.decode())}]
             units.clear()
-            for lo in range(0, len(some), 10_000):
-                part = some[lo : lo + 10_000]
+            while some:
+                part = some[-10_000:]
+                del some[-10_000:]
                 none = [None] * len(part)
                 yield batch(k, len(part), none, none, part)
             for lo in range(0, len(rows), 100):
