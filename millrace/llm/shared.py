@@ -54,6 +54,10 @@ def kept(key: tuple, make: Callable):
     return Kept.value
 
 
+#: What modules let go at the end of a task, besides: tables that are quickly made again.
+forgets: list[Callable[[], None]] = []
+
+
 def release() -> None:
     """Gives memory that Python, Arrow and the C library keep for later back to the system, where that is possible."""
     gc.collect()  # functions sent for a task refer to themselves, so what they hold doesn't go by itself
@@ -67,11 +71,29 @@ def ended() -> None:
     if not Kept.asked:
         Kept.key = Kept.value = None
     Kept.asked = False
+    for forget in forgets:
+        forget()
     release()
 
 
+#: Bytes of an Arrow batch on its way to a Python worker, about. Spark's 10,000 rows of whole texts may have 64 MB, in each of several buffers beside the heap and in each worker.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession | None) -> None:
+    """Lowers the session's limit of an Arrow batch's bytes to BATCH_BYTES. It stays so, since a query's last plan runs after the query has returned; a lower limit is left."""
+    if spark is None:
+        return
+    spark_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    now = spark.conf.get(_BATCH, None)
+    if now is None or not 0 < spark_bytes(now) <= BATCH_BYTES:
+        spark.conf.set(_BATCH, BATCH_BYTES)
+
+
 def tidy(run):
-    """A batch function that releases what it no longer needs at the end of a task: Python workers live on beside the executor's heap."""
+    """A batch function that releases what it no longer needs at the end of a task: Python workers live on beside the executor's heap. Its batches are small."""
+    small_batches(SparkSession.getActiveSession())
 
     def wrapped(batches):
         yield from run(batches)

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from .shared import filled
+from .shared import filled, forgets
 
 _P, _Q = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 #: Bytes of text handled at once; a longer text is handled alone.
@@ -40,6 +40,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def _forget() -> None:
+    global _pow, _inv
+    _pow = _inv = np.ones(1, np.uint64)
+
+
+forgets.append(_forget)
+
+
 class Lexer:
     """Which bytes are parts of words; A-Z count as a-z."""
 

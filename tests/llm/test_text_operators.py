@@ -11,7 +11,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, jaccard, shared, sketches, tokens, toxicity
+from millrace.llm import bpe, decontaminate, jaccard, shared, sketches, tokens, toxicity, words
 from millrace.llm.shared import shared_dir
 
 WORDS = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in "nrst"]
@@ -624,3 +624,40 @@ def test_byte_bpe_pairs_are_named_exactly():
     slot = (moved[bucket] + a) & (slots - 1)
     got = np.where(owner[slot] == bucket, makes[slot], -1).tolist()
     assert got == [ranks.get(pieces[x] + pieces[y], -1) for x, y in pairs]
+
+
+# memory of workers ----------------------------------------------------------------------------------------------------------------------------
+
+
+def test_workers_get_small_batches(spark):
+    """Long texts come in batches of a few MB, not in 10,000 rows of up to 64 MB; a lower limit of the session is left."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    rows = spark.range(3000, numPartitions=1).select("id", F.expr("repeat('x', 10000)").alias("text"))
+
+    def most():
+        import pyarrow as pa
+
+        def sizes(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.nbytes] * b.num_rows, pa.int64()), pa.array([""] * b.num_rows)], ["c0", "c1"])
+
+        out = shared.filtered(rows, sizes).agg(F.count("id"), F.max("id")).first()
+        assert out[0] == 3000
+        return out[1]
+
+    try:
+        assert most() <= 1.1 * shared.BATCH_BYTES
+        spark.conf.set(key, "1m")
+        assert most() <= 1.2 * (1 << 20) and spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_powers_go_at_the_end_of_a_task():
+    """The tables of powers (16 MB and more) are made again, so hashes are the same after a task."""
+    raw, at = np.frombuffer(b"one two three", np.uint8), np.array([0, 13])
+    run = shared.tidy(lambda batches: (words.word_hashes(raw, at, words.SPACED)[0].tolist() for _ in batches))
+    first = list(run(iter([1])))
+    assert len(words._pow) == len(words._inv) == 1
+    assert list(run(iter([1]))) == first
