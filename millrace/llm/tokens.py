@@ -11,7 +11,7 @@ symbol order (greedily, most frequent first), until no pair occurs often enough
 file, an occurrence saves one symbol, and rules that need a wider symbol must save more than the wider sequence costs. Pairs never cross the
 end of a document, so a document's symbols are a contiguous piece: reading one needs its piece and the rules only. Symbols have as many bits as they need (16 or more).
 
-Words are encoded once per worker: white space separates the tokenizer's words, so a text is cut there and every distinct piece goes
+Words are encoded once per worker: white space separates the tokenizer's words, so texts are cut there by Arrow, a batch of texts at once, and every distinct piece goes
 through the library once; a bounded table keeps them. The file's reserved strings inside a text get their ids, as the library gives them.
 
 Defined results: a null text is empty and gives the end id alone; rows with null ids come first; equal ids come in order of their ids' bytes; no rows, no files;
@@ -28,20 +28,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import files
-from .shared import kept, range_of, shared_dir, staged, tidy, width
+from .shared import filled, kept, range_of, shared_dir, staged, tidy, width
 from .words import buffers
 
 END_ID, SHARD_TOKENS, ROUND_PAIRS, KEPT_WORDS = 1, 1 << 20, 3072, 800_000
 #: Words that go through the library in one call.
 JOINED = 64
+#: Bytes of texts that are encoded at once.
+GATHERED_BYTES = 16 << 20
 _MAGIC = b"RPG2"
 #: Bits of an expansion length in the reckoning of a rule's cost.
 _LENGTH_BITS = 16
 _NULL = -(1 << 63)
+_FACTOR = 0x9E3779B97F4A7C15
 
 
 class WordEncoder:
@@ -60,49 +64,70 @@ class WordEncoder:
         self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        names = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, bytes] = {"": b""}
+        names = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.reserved = re.compile(b"|".join(map(re.escape, names)) if names else rb"(?!)").search
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _words(self, need: list[tuple[bytes, str]]) -> Iterator[tuple[bytes, bytes]]:
+    def _words(self, need: list[str]) -> Iterator[tuple[str, bytes]]:
         """Ids of words of letters, many in one text: a word's last id is one that closes words."""
         groups = [need[i : i + JOINED] for i in range(0, len(need), JOINED)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(w for _, w in g) for g in groups], add_special_tokens=False), strict=True):
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, self.kind)
             cut = np.flatnonzero(self.closes[ids]) + 1
             if len(cut) == len(group) and cut[-1] == len(ids):
                 raw, ends = ids.tobytes(), [0, *(ids.itemsize * cut).tolist()]
-                yield from ((p, raw[a:z]) for (p, _), a, z in zip(group, ends, ends[1:], strict=False))
+                yield from ((p, raw[a:z]) for p, a, z in zip(group, ends, ends[1:], strict=False))
             else:  # a word that lower case takes apart
-                yield from zip([p for p, _ in group], self._encode([w for _, w in group]), strict=True)
+                yield from zip(group, self._encode(group), strict=True)
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of UTF-8 texts as little-endian integers of ``kind``."""
-        # bytes.lower() touches A-Z only, as the normaliser does again; reserved strings are found before that, in their own case
-        cut = [[p if self.reserved(p) else p.lower() for p in t.split()] if self.reserved(t) else t.lower().split() for t in texts]
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, from the table or put there."""
         if len(self.known) > KEPT_WORDS:
-            self.known.clear()
+            self.known = {"": b""}
         known = self.known
-        new = set().union(*cut).difference(known)
-        if new:
-            ends, cores = {}, set()
-            for piece in new:
-                word = piece.decode()
-                core = word.rstrip(".,")
-                if core != word and core.isalpha():  # letters and signs are separate words to the splitter
-                    ends[piece] = (core.encode(), word[len(core) :].encode())
-                    cores.update(ends[piece])
-                else:
-                    cores.add(piece)
-            need = [(p, p.decode()) for p in cores if p not in known]
-            known.update(self._words([x for x in need if x[1].isalpha()]))
-            other = [x for x in need if not x[1].isalpha()]
-            known.update(zip([p for p, _ in other], self._encode([w for _, w in other]), strict=True))
-            known.update((p, known[a] + known[b]) for p, (a, b) in ends.items())
-        return [b"".join(map(known.__getitem__, c)) for c in cut]
+        out = list(map(known.get, pieces))
+        new = [k for k, ids in enumerate(out) if ids is None]
+        self._learn([pieces[k] for k in new])
+        for k in new:
+            out[k] = known[pieces[k]]
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        known = self.known
+        ends, cores = {}, {}
+        for piece in new:
+            if piece.isalpha():
+                cores[piece] = None
+            elif (core := piece.rstrip(".,")) != piece and core.isalpha():  # letters and signs are separate words to the splitter
+                ends[piece] = core, piece[len(core) :]
+                cores[core] = cores[ends[piece][1]] = None
+            else:
+                cores[piece] = None
+        need = [p for p in cores if p not in known]
+        known.update(self._words([p for p in need if p.isalpha()]))
+        other = [p for p in need if not p.isalpha()]
+        known.update(zip(other, self._encode(other), strict=True))
+        known.update((p, known[a] + known[b]) for p, (a, b) in ends.items())
+
+    def encode(self, texts: pa.Array, end_id: int) -> pa.Array:
+        """Ids of texts as little-endian integers of ``kind``, each text's followed by the end id. Words are told apart by Arrow, so the table is asked once for each distinct one."""
+        texts = filled(texts)
+        lower = pc.ascii_lower(texts)  # touches A-Z only, as the normaliser does again
+        if self.reserved(buffers(lower)[0]):  # pieces that are or would become reserved strings keep their own case
+            cut = ([(p, p.lower()) for p in t.encode().split()] for t in texts.to_pylist())
+            lower = pa.array([b" ".join([p if self.reserved(q) else q for p, q in pieces]).decode() for pieces in cut], texts.type)
+        lists = pc.ascii_split_whitespace(lower)
+        words = lists.values.dictionary_encode()
+        found = pa.array(self.pieces(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
+        _, offsets, data = found.buffers()
+        size = np.dtype(self.kind).itemsize
+        at = np.frombuffer(offsets, np.int64, len(found) + 1)[lists.offsets.to_numpy()] // size
+        ids = np.insert(np.frombuffer(data, self.kind, at[-1]) if at[-1] else np.zeros(0, self.kind), at[1:], end_id)
+        begins = size * (at + np.arange(len(at)))
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(begins.astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())
 
 
 def encoder(path: str) -> WordEncoder:
@@ -153,9 +178,11 @@ def repair(seq: np.ndarray, vocabulary: int, ends: np.ndarray, round_pairs: int
                 break
         chosen_ = np.sort(np.array(chosen, kind))
         left, right = chosen_ >> kind(shift), chosen_ & kind(mask)
-        is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
-        is_left[left], is_right[right] = True, True
-        at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
+        # where a pair may be a chosen one: one look into a table of bits that fits in a cache
+        factor, drop = (np.uint32(0x9E3779B1), np.uint32(14)) if kind is np.uint32 else (np.uint64(_FACTOR), np.uint64(46))
+        maybe = np.zeros(1 << 18, bool)
+        maybe[(chosen_ * factor) >> drop] = True
+        at = np.flatnonzero(maybe[(pair * factor) >> drop])
         code = pair[at]
         spot = np.minimum(np.searchsorted(chosen_, code), len(chosen_) - 1)
         hit = chosen_[spot] == code
@@ -261,20 +288,27 @@ class Shard:
         return symbol
 
 
+def gathered(batches: Iterator[pa.RecordBatch], least: int = GATHERED_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of so many bytes or a little more: a word is asked for once a batch."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.nbytes for x in held) >= least:
+            whole, held = pa.concat_batches(held), []
+            yield whole
+    if held:
+        yield pa.concat_batches(held)
+
+
 def encoded(docs: DataFrame, path: str, id_col: str, text_col: str, end_id: int = END_ID) -> DataFrame:
     """(i, ids) with ids as little-endian integers of ``wide`` bytes, the end id last."""
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        tail, size = np.array([end_id], enc.kind).tobytes(), int(enc.kind[-1])
-        for b in batches:
-            raw, at = buffers(b.column("t"))
-            whole = raw.tobytes()
-            out: list[bytes] = []
-            for lo in range(0, b.num_rows, 500):
-                out += [x + tail for x in enc.encode([whole[a:z] for a, z in zip(at[lo : lo + 500].tolist(), at[lo + 1 : lo + 501].tolist(), strict=False)])]
-            yield pa.RecordBatch.from_arrays([b.column("i"), pa.array(out, pa.binary()), pa.array([size] * b.num_rows, pa.int32())], ["i", "ids", "wide"])
+        size = int(enc.kind[-1])
+        for b in gathered(batches):
+            yield pa.RecordBatch.from_arrays([b.column("i"), enc.encode(b.column("t"), end_id), pa.array([size] * b.num_rows, pa.int32())], ["i", "ids", "wide"])
 
     return docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).mapInArrow(tidy(run), f"i {kind}, ids binary, wide int")
 

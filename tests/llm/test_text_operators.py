@@ -534,6 +534,23 @@ def test_token_files(spark, odd, tmp_path):
     assert tokens.read(tokens.write(spark.createDataFrame([], EMPTY), shared_dir(spark), path)).count() == 0
 
 
+def test_words_are_looked_up_once_a_batch(odd):
+    """The table of words is asked once for each distinct word of a batch of texts; ids are those of the library, reserved strings in their own case included."""
+    import pyarrow as pa
+
+    enc = tokens.WordEncoder(P.path("word_bpe_49k.json"))
+    reserved = [t.content for t in enc.tokenizer.get_added_tokens_decoder().values()]
+    texts = [t for _, t in odd] + ["One, two. one, TWO. (one) a.b.", "", *(f"Some {r} Some {r.upper()} x{r}y" for r in reserved[:3])] * 3
+    asked = []
+    pieces = enc.pieces
+    enc.pieces = lambda p: asked.append(list(p)) or pieces(p)
+    got = enc.encode(pa.array(texts, pa.string()), 1)
+    assert len(asked) == 1 and len(asked[0]) == len(set(asked[0]))
+    want = [[*enc.tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    assert [np.frombuffer(x, enc.kind).tolist() for x in got.to_pylist()] == want
+    assert [len(b) for b in tokens.gathered(iter([pa.record_batch({"t": ["x" * 10] * 5})] * 5), 100)] == [10, 10, 5]
+
+
 def test_pairs_are_met_in_bins_of_the_classes_left(spark, monkeypatch):
     """Pairs are tallied a bin: bins by the size of all texts would give a pair more rows the larger the rest of the table is."""
     rng = random.Random(8)
